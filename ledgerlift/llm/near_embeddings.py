@@ -22,7 +22,7 @@ from ledgerlift.llm.common import cut_lineage, groups
 from ledgerlift.llm.components import connected_components
 
 THRESHOLD, TARGET_RECALL = 0.98, 0.9999
-SAMPLE_ROWS, ROWS_PER_CELL, MOST_CENTROIDS, TILE = 8192, 64, 512, 512
+SAMPLE_ROWS, ROWS_PER_CELL, MOST_CENTROIDS, TILE, REACH_MARGIN = 8192, 64, 512, 512, 3.0
 
 
 @dataclass(frozen=True)
@@ -110,7 +110,7 @@ def unit_vectors(vectors: list) -> tuple[np.ndarray, np.ndarray]:
 def fit_index(vectors: list, labels: list, rows: int, threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, seed: int = 11) -> MultiIndex:
     """Codebooks for about `rows` vectors, fitted on a sample, and the reach that the sample's own links ask for.
 
-    The reach is the detour within which `target_recall` of the sample's linked pairs lie, with half of it added; a sample
+    The reach is the detour within which `target_recall` of the sample's linked pairs lie, times REACH_MARGIN; a sample
     of too few links gives the reach that misses nothing.
     """
     _, units = unit_vectors(vectors)
@@ -141,7 +141,7 @@ def fit_index(vectors: list, labels: list, rows: int, threshold: float = THRESHO
     cost = np.concatenate(costs) if costs else np.empty(0)
     if len(cost) < 1000:
         return index
-    return MultiIndex(index.first, index.second, min(certain, 1.5 * float(np.quantile(cost, target_recall)) + 1e-9))
+    return MultiIndex(index.first, index.second, min(certain, REACH_MARGIN * float(np.quantile(cost, target_recall)) + 1e-9))
 
 
 def _compare(batches: Iterator[pd.DataFrame], index: MultiIndex, threshold: float) -> Iterator[pd.DataFrame]:
