@@ -53,7 +53,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # A row without a full hash is alone with its length or prefix, so that (size, head) tells it from all others.
     keyed = narrow.withColumn("full", F.coalesce("text_sha256", F.lit("")))
     kept = keyed.groupBy("size", "head", "full").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    joined = keyed.join(kept, ["size", "head", "full"])
+    # Written out, so that the join deals both sides anew and a hot group of copies can be split among tasks.
+    joined = keyed.join(cut_lineage(kept), ["size", "head", "full"])
     return joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
