@@ -22,7 +22,8 @@ from ledgerlift.llm.common import cut_lineage, groups
 from ledgerlift.llm.components import connected_components
 
 THRESHOLD, TARGET_RECALL = 0.98, 0.9999
-SAMPLE_ROWS, ROWS_PER_CELL, MOST_CENTROIDS, TILE, REACH_MARGIN = 8192, 64, 512, 512, 3.0
+SAMPLE_ROWS, ROWS_PER_CELL, MOST_CENTROIDS, TILE = 8192, 64, 512, 512
+REACH_MARGIN, LEAST_LINKED = 2.0, 200
 
 
 @dataclass(frozen=True)
@@ -110,8 +111,8 @@ def unit_vectors(vectors: list) -> tuple[np.ndarray, np.ndarray]:
 def fit_index(vectors: list, labels: list, rows: int, threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, seed: int = 11) -> MultiIndex:
     """Codebooks for about `rows` vectors, fitted on a sample, and the reach that the sample's own links ask for.
 
-    The reach is the detour within which `target_recall` of the sample's linked pairs lie, times REACH_MARGIN; a sample
-    of too few links gives the reach that misses nothing.
+    The reach is the detour within which all links of `target_recall` of the sample's linked vectors lie, times REACH_MARGIN; a sample
+    of fewer than LEAST_LINKED such vectors gives the reach that misses nothing.
     """
     _, units = unit_vectors(vectors)
     by_dims: dict[int, int] = {}
@@ -137,9 +138,11 @@ def fit_index(vectors: list, labels: list, rows: int, threshold: float = THRESHO
             a, b = np.nonzero(x[part] @ x[mine].T >= threshold)
             a, b = part[a], mine[b]
             a, b = a[a != b], b[a != b]
-            costs.append(one[a, cells[b] // k] + two[a, cells[b] % k])
+            farthest = np.full(len(x), -1.0)  # by vector, so that one large group doesn't settle the reach for all
+            np.maximum.at(farthest, a, one[a, cells[b] // k] + two[a, cells[b] % k])
+            costs.append(farthest[farthest >= 0])
     cost = np.concatenate(costs) if costs else np.empty(0)
-    if len(cost) < 1000:
+    if len(cost) < LEAST_LINKED:
         return index
     return MultiIndex(index.first, index.second, min(certain, REACH_MARGIN * float(np.quantile(cost, target_recall)) + 1e-9))
 
