@@ -43,10 +43,10 @@ def time_cut(panel: DataFrame, holdout: int) -> tuple[DataFrame, DataFrame]:
 def quadrants(panel: DataFrame) -> DataFrame:
     """(unique_id, adi, cv2, quadrant) after Syntetos and Boylan, from a dense panel."""
     hit = F.when(F.col("y") > 0, F.col("y"))
-    s = panel.groupBy("unique_id").agg(F.count(F.lit(1)).alias("n"), F.count(hit).alias("k"), F.avg(hit).alias("m"), F.stddev_pop(hit).alias("s"))
+    s = panel.groupBy("unique_id").agg(F.count(F.lit(1)).alias("n"), F.count(hit).alias("k"), F.sum(hit).alias("s1"), F.sum(hit * hit).alias("s2"))
     few = F.col("k") < 2
     adi = F.when(few, F.lit(float("inf"))).otherwise(F.try_divide("n", "k"))
-    cv2 = F.when(few, 0.0).otherwise(F.coalesce(F.pow(F.try_divide("s", "m"), 2), F.lit(0.0)))
+    cv2 = F.when(few, 0.0).otherwise(F.coalesce((F.col("k") * F.col("s2") - F.col("s1") * F.col("s1")).cast("double") / F.nullif(F.col("s1") * F.col("s1"), F.lit(0)), F.lit(0.0)))
     s = s.select("unique_id", adi.alias("adi"), cv2.alias("cv2"), few.alias("few"))
     kind = F.when(F.col("few"), "slow").when((F.col("adi") < 1.32) & (F.col("cv2") < 0.49), "smooth").when(F.col("adi") < 1.32, "erratic").when(F.col("cv2") < 0.49, "intermittent").otherwise("lumpy")
     return s.select("unique_id", F.round("adi", 6).alias("adi"), F.round("cv2", 6).alias("cv2"), kind.alias("quadrant"))

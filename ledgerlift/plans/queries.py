@@ -457,8 +457,8 @@ PART_PANEL = "SELECT l_partkey AS unique_id, CAST(l_shipdate AS DATE) AS ds, CAS
 
 
 @query(f"""
-WITH s AS (SELECT unique_id, count(*) AS n, count(*) FILTER (y > 0) AS k, avg(y) FILTER (y > 0) AS m, stddev_pop(y) FILTER (y > 0) AS sd FROM ({DENSE}) d GROUP BY unique_id),
-q AS (SELECT unique_id, k, CASE WHEN k < 2 THEN CAST('inf' AS DOUBLE) ELSE n / CAST(k AS DOUBLE) END AS adi, CASE WHEN k < 2 THEN 0.0 ELSE (sd / m) * (sd / m) END AS cv2 FROM s)
+WITH s AS (SELECT unique_id, count(*) AS n, count(*) FILTER (y > 0) AS k, CAST(sum(y) FILTER (y > 0) AS BIGINT) AS s1, CAST(sum(y * y) FILTER (y > 0) AS BIGINT) AS s2 FROM ({DENSE}) d GROUP BY unique_id),
+q AS (SELECT unique_id, k, CASE WHEN k < 2 THEN CAST('inf' AS DOUBLE) ELSE n / CAST(k AS DOUBLE) END AS adi, CASE WHEN k < 2 THEN 0.0 ELSE CAST(k * s2 - s1 * s1 AS DOUBLE) / (s1 * s1) END AS cv2 FROM s)
 SELECT unique_id, round(adi, 6) AS adi, round(cv2, 6) AS cv2, CASE WHEN k < 2 THEN 'slow' WHEN adi < 1.32 AND cv2 < 0.49 THEN 'smooth' WHEN adi < 1.32 THEN 'erratic' WHEN cv2 < 0.49 THEN 'intermittent' ELSE 'lumpy' END AS quadrant FROM q
 """)
 def demand_quadrants(spark: SparkSession, d: str) -> DataFrame:
