@@ -69,7 +69,7 @@ FROM hashed JOIN sized ON hashed.text_sha256 = sized.text_sha256
 
 OP1_SQL = """
 WITH RECURSIVE good AS (
-  SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
