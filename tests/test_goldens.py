@@ -120,7 +120,7 @@ ROWS = [{"qty": "BANYAKNYA", "nama": "NAMA", "harga": "HARGA", "jumlah": "JUMLAH
 
 def test_receipts(spark):
     boxes = receipt_boxes("a", ROWS, ["qty", "nama", "harga", "jumlah"]) + receipt_boxes("b", ROWS, ["nama", "harga", "qty", "jumlah"]) + [("blank", 0, 1.0, 1.0, 5.0, 5.0, "  ", 0.5)]
-    welded = [{"nama": "BARANG", "harga": "HARGA", "jumlah": "JUMLAH"}, *({"nama": f"{r['qty']} {r['nama']}", "harga": r["harga"], "jumlah": r["jumlah"]} for r in ROWS[1:4]), ROWS[4]]
+    welded = [{"nama": "BARANG", "harga": "HARGA", "jumlah": "JUMLAH"}, *({"nama": f"{r['qty']} {r['nama']}", "harga": r["harga"], "jumlah": r["jumlah"], "conf": r.get("conf", 0.9)} for r in ROWS[1:4]), ROWS[4]]
     boxes += receipt_boxes("w", welded, ["nama", "harga", "jumlah"])
     boxes = spark.createDataFrame(boxes, "doc_id string, box_idx int, x double, y double, w double, h double, text string, conf double")
     docs = spark.createDataFrame([("a", 1536, 2048), ("b", 1536, 2048), ("w", 1536, 2048), ("blank", 1536, 2048), ("none", 1536, 2048)], "doc_id string, width int, height int")
