@@ -6,6 +6,7 @@ Nothing is repaired: what does not add up is flagged.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,6 +14,7 @@ from pyspark.sql.window import Window
 from ledgerlift.functions.text import has_digit, is_number, split_count, to_int
 
 MIN_CONFIDENCE = 0.70
+KEEP = StorageLevel.MEMORY_AND_DISK
 
 
 def upper_median(values: Column) -> Column:
@@ -133,9 +135,11 @@ def search_roles(gathered: DataFrame) -> DataFrame:
     triples = F.flatten(F.flatten(F.transform(at, lambda q: F.transform(others(q), lambda h: F.transform(others(q, h), lambda j: _candidate(q, h, j))))))
     pairs = F.flatten(F.transform(at, lambda h: F.transform(others(h), lambda j: _candidate(None, h, j))))
     picked = F.coalesce(best(triples), best(pairs))
-    g = gathered.withColumn("best", picked)
+    # one-row generators: what they make is worked out once, whatever the optimizer merges above them
+    g = gathered.select("*", F.inline(F.array(F.struct(picked.alias("best")))))
     roles = F.struct(F.col("best.matched").alias("matched"), F.col("best.plausible").alias("plausible"), F.col("best.score").alias("score"), (-F.col("best.q")).alias("qty"), (-F.col("best.h")).alias("harga"), (-F.col("best.j")).alias("jumlah"))
-    return g.select("*", F.when(F.col("best").isNotNull(), roles).otherwise(_fallback()).alias("r")).drop("best").select("*", "r.*").drop("r")
+    chosen = F.when(F.col("best").isNotNull(), roles).otherwise(_fallback())
+    return g.select("doc_id", "g", "p", F.inline(F.array(chosen)))
 
 
 def _fallback() -> Column:
@@ -157,14 +161,17 @@ def assign_roles(grid: DataFrame, strict: bool = False) -> DataFrame:
     """(doc_id, was_split, split_col, n_cols, g, p, matched, plausible, score, qty, harga, jumlah, nama), one row per document.
 
     The reading with counts split off is taken if it matches at least as many rows; the split column keeps its profile.
+    Intermediate frames stay cached (memory, then disk) until spark.catalog.clearCache().
     """
-    cells, columns = fill_cells(grid), profiles(grid)
-    plain = search_roles(gather(cells, columns)).withColumn("was_split", F.lit(0)).withColumn("split_col", F.lit(None).cast("int")).withColumn("n_cols", F.size("p"))
-    split = unmerge_counts(cells, strict)
+    # Kept, as both readings and the rows use them, and so that the planner meets small plans: it plans anew after every
+    # stage, and all of this as one plan took it longer than the work.
+    cells, columns = fill_cells(grid).persist(KEEP), profiles(grid).persist(KEEP)
+    plain = search_roles(gather(cells, columns).persist(KEEP)).withColumn("was_split", F.lit(0)).withColumn("split_col", F.lit(None).cast("int")).withColumn("n_cols", F.size("p"))
+    split = unmerge_counts(cells, strict).persist(KEEP)
     extra = profiles(split.where("col_id = new_col"))
     rules = split.groupBy("doc_id").agg(F.first("split_col").alias("split_col"), F.first("new_col").alias("n_cols"))
     old = columns.join(rules.select("doc_id"), "doc_id", "left_semi")
-    alt = search_roles(gather(split.select("doc_id", "row_id", "col_id", "text"), old.unionByName(extra))).withColumn("was_split", F.lit(1)).join(rules, "doc_id")
+    alt = search_roles(gather(split.select("doc_id", "row_id", "col_id", "text"), old.unionByName(extra)).persist(KEEP)).withColumn("was_split", F.lit(1)).join(rules, "doc_id")
     both = plain.unionByName(alt)
     best = both.groupBy("doc_id").agg(F.max_by(F.struct(*both.columns), F.struct("matched", "was_split")).alias("best")).select("best.*")
     free = F.filter("p", lambda c: ~c["col_id"].eqNullSafe(F.col("qty")) & ~c["col_id"].eqNullSafe(F.col("harga")) & ~c["col_id"].eqNullSafe(F.col("jumlah")))
@@ -225,5 +232,5 @@ def receipts(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 def extract_receipts(boxes: DataFrame, docs: DataFrame) -> DataFrame:
     """Boxes to receipts, one row per document of `docs`."""
-    grid = build_grid(boxes, docs)
+    grid = build_grid(boxes, docs).persist(KEEP)
     return receipts(read_rows(assign_roles(grid), grid), docs)

@@ -254,7 +254,7 @@ def verify_gate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _grid(spark: SparkSession, d: str) -> DataFrame:
-    return receipts.build_grid(V.view(spark, d, V.BOXES), V.view(spark, d, V.DOCS))
+    return receipts.build_grid(V.view(spark, d, V.BOXES), V.view(spark, d, V.DOCS)).persist(receipts.KEEP)
 
 
 def _assigned(spark: SparkSession, d: str) -> DataFrame:
