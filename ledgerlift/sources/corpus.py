@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +16,40 @@ RECEIPT_SCHEMA = "items array<struct<nama string, qty bigint, harga bigint, juml
 LARGEST_UPLOAD = 12 * 1024 * 1024
 
 
+def _find(spark: SparkSession, roots: tuple[str, ...], name: str) -> list[str]:
+    """Paths of the files of that name below the roots: names only, one per export."""
+    found, conf = [], spark._jsc.hadoopConfiguration()
+    for root in roots:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            at = files.next().getPath()
+            if at.getName() == name:
+                found.append(re.sub("^file:/+", "file:///", at.toString()))
+    return sorted(found)
+
+
+def _read_whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs
+
+    for batch in batches:
+        texts = []
+        for path in batch["path"]:
+            store, at = fs.FileSystem.from_uri(path)
+            with store.open_input_stream(at) as file:
+                texts.append(file.read().decode("utf-8"))
+        yield pd.DataFrame({"path": batch["path"], "value": texts})
+
+
 def read_coco(spark: SparkSession, *roots: str, name: str = "_annotations.coco.json") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(images, annotations, categories) of every export below the roots; `split` is the name of its folder."""
-    raw = spark.read.schema(COCO_SCHEMA).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", name).json(list(roots))
-    raw = raw.withColumn("split", F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1))
+    """(images, annotations, categories) of every export below the roots; `split` is the name of its folder.
+
+    Spark's file sources pass over names that begin with an underscore, as exports' do. Their paths are listed by the
+    file system's own interface, and tasks open them, one JSON document each.
+    """
+    paths = spark.createDataFrame([(p,) for p in _find(spark, roots, name)], "path string")
+    raw = paths.repartition("path").mapInPandas(_read_whole, "path string, value string")
+    raw = raw.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("split"), F.from_json("value", COCO_SCHEMA).alias("d")).select("split", "d.*")
     images = raw.select("split", F.inline("images"))
     boxes = raw.select("split", F.inline("annotations"))
     boxes = boxes.select("split", "id", "image_id", "category_id", "area", *[F.get("bbox", F.lit(i)).alias(n) for i, n in enumerate("xywh")])
