@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +21,15 @@ def whole_text(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def carried_id(df: DataFrame, name: str) -> tuple[Column, str]:
+    """An id column as it goes through pandas, and its type there.
+
+    Integers go as text: a null among them would turn all ids of its batch into floats, which are exact only to 2**53.
+    """
+    kind = df.schema[name].dataType
+    return (F.col(name).cast("string"), "string") if isinstance(kind, IntegralType) else (F.col(name), kind.simpleString())
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir; a temporary one is set only where the session has none
     (tests, a single machine)."""

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlift.llm.common import carried_id
+
 #: Elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template head title svg math iframe object select option textarea button canvas audio video".split())
@@ -202,12 +204,13 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     Whole pages are read. A null or empty page has an empty text; repeated rows are judged each on their own; an empty
     table gives an empty result; other columns are not looked at. Narrow: no shuffle.
     """
-    kind, url = pages.schema[id_col].dataType.simpleString(), pages.schema[url_col].dataType.simpleString()
+    (page_id, kind), url = carried_id(pages, id_col), pages.schema[url_col].dataType.simpleString()
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [main_text(html) for html in batch["html"]]
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    wanted = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return wanted.mapInPandas(extract, f"page_id {kind}, url {url}, text string, n_chars long")
+    wanted = pages.select(page_id.alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    out = wanted.mapInPandas(extract, f"page_id {kind}, url {url}, text string, n_chars long")
+    return out.withColumn("page_id", F.col("page_id").cast(pages.schema[id_col].dataType))

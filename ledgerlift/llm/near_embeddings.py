@@ -196,13 +196,14 @@ def near_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, target_rec
     Rows are compared when their labels are equal and not null, and linked at a cosine of at least `threshold` in double
     precision. Null, empty and zero vectors and those with null or non-finite components link with nothing; vectors of
     another length than most are compared among themselves. Rows that repeat a vec_id never link with one another and
-    share a result. vec_id is not null. An empty table gives an empty result; other columns are not looked at.
+    share a result. A row without a vec_id links with nothing, has no component and is kept. An empty table gives an empty result; other columns are not looked at.
 
     The codebooks and the reach are fitted on SAMPLE_ROWS rows picked by a hash of vec_id; every row is filed.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).cast("string").alias("label"))
-    sample = rows.where("label is not null and vector is not null").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
+    usable = rows.where("vec_id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL")
+    sample = usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
     index = fit_index([r["vector"] for r in sample], [r["label"] for r in sample], rows.count(), threshold, target_recall)
     shared = spark.sparkContext.broadcast(index)
 
@@ -219,7 +220,7 @@ def near_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, target_rec
                     visits[i] = shared.value.visited(one, two)
             yield pd.DataFrame({"vec_id": batch["vec_id"], "label": batch["label"], "dims": [len(u) for u in units], "cell": cells, "visits": visits, "unit": [u.tobytes() for u in units]})
 
-    filed = rows.where("label is not null and vector is not null").mapInPandas(file, "vec_id long, label string, dims int, cell long, visits array<long>, unit binary")
+    filed = usable.mapInPandas(file, "vec_id long, label string, dims int, cell long, visits array<long>, unit binary")
     filed = cut_lineage(filed.dropDuplicates(["vec_id"]))
     cell = ["label", "dims", "at"]
     sizes = filed.groupBy("label", "dims", F.col("cell").alias("at")).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("filed_tiles"))
@@ -238,4 +239,4 @@ def near_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, target_rec
     links = found.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
     out = rows.select("vec_id").join(links, "vec_id", "left").join(component, "vec_id", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

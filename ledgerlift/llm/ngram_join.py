@@ -208,7 +208,7 @@ def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS
     separates) is at least `threshold`. n_links counts the linked rows, class_id is the smallest doc_id reachable over
     links, kept whether the row is that one. A text of fewer words is one shingle; null, empty and blank texts have none,
     link with nothing and are kept. Rows that repeat a doc_id are rows of their own in n_links and all carry that
-    doc_id's class. doc_id is not null. An empty table gives an empty result; other columns are not looked at.
+    doc_id's class. A row without a doc_id links with nothing, has no class and is kept. An empty table gives an empty result; other columns are not looked at.
 
     Bands of 4 of 128 values miss a pair of similarity 0.8 with a chance of 5 in 100 million, pruning with one of about
     1 in 100 million a step.
@@ -226,6 +226,8 @@ def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS
                     rows.append((doc_id, None, None))
             yield pd.DataFrame(rows, columns=["doc_id", "same", "signature"])
 
+    nameless = ids.where("doc_id IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    ids = ids.where("doc_id IS NOT NULL")
     sketched = cut_lineage(ids.mapInPandas(sketch, "doc_id long, same binary, signature binary"))
     full = sketched.where("same is not null")
     classes = full.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("signature").alias("signature"))
@@ -255,7 +257,7 @@ def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS
     known = known.select("same", F.coalesce("component", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
     out = full.select("doc_id", "same").join(known, "same").select("doc_id", "class_id", "n_links")
     empty = sketched.where("same is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return out.union(empty).withColumn("kept", F.col("doc_id") == F.col("class_id"))
+    return out.union(empty).union(nameless).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

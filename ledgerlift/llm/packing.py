@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlift.llm.common import cut_lineage, whole_text
+from ledgerlift.llm.common import carried_id, cut_lineage, whole_text
 
 CAPACITY, END_ID = 4096, 1
 GROUPS, SMALL_SHARE, ROWS_PER_BUCKET = 200, 3, 20_000
@@ -95,7 +95,7 @@ def default_vocabulary() -> str:
 def pieces_of(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each document's ids and the end id, cut only beyond `capacity`."""
     path = vocabulary or default_vocabulary()
-    kind = docs.schema[id_col].dataType.simpleString()
+    doc_id, kind = carried_id(docs, id_col)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = word_encoder(path)
@@ -108,8 +108,9 @@ def pieces_of(docs: DataFrame, vocabulary: str | None = None, capacity: int = CA
                     rows.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    wanted = docs.select(F.col(id_col).alias("doc_id"), whole_text(F.col(text_col)).alias("text"))
-    return wanted.mapInPandas(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    wanted = docs.select(doc_id.alias("doc_id"), whole_text(F.col(text_col)).alias("text"))
+    pieces = wanted.mapInPandas(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return pieces.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 
 
 # --- the plan, over a histogram ---------------------------------------------------------------------------------
@@ -317,7 +318,7 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, groups: int =
 def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for each piece of each row of `docs`.
 
-    Null texts are empty ones: their only id is the end id. Repeated rows are packed each on their own; an empty table
+    Null texts are empty ones: their only id is the end id. A null doc_id stays null. Repeated rows are packed each on their own; an empty table
     gives an empty result; other columns are not looked at. Within a length, pieces are ranked by (bucket of doc_id,
     doc_id, piece): buckets grow in number with the table, so that no window holds more than about ROWS_PER_BUCKET rows.
     """
@@ -335,7 +336,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
     inside = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32"))
     ranked = placed.withColumn("inside", inside).join(sums, ["length", "bucket"])
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("inside") - 1).alias("rank"))
-    kind = pieces.schema["doc_id"].dataType.simpleString()
+    doc_id, kind = carried_id(pieces, "doc_id")
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = shared.value
@@ -349,4 +350,5 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
             batch["offset"] = found[:, 4]
             yield batch
 
-    return ranked.mapInPandas(assign, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    packed = ranked.withColumn("doc_id", doc_id).mapInPandas(assign, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return packed.withColumn("doc_id", F.col("doc_id").cast(pieces.schema["doc_id"].dataType))

@@ -15,9 +15,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlift.llm.common import carried_id
 from ledgerlift.llm.labelled import held_out, labelled_sample
 
 CHUNK, OVERLAP, WIDTH, STRIDE, FILTERS = 512, 64, 6, 2, 16
+AT_ONCE = 1024  # chunks whose responses are held together, so that a very long document needs no more memory
 SAMPLE_ROWS, SAMPLE_LONGEST, EPOCHS, BATCH = 3000, 12_000, 10, 48
 THRESHOLD = 0.3
 
@@ -37,20 +39,23 @@ class ByteNet:
         width = self.table.shape[0]
         if len(data) < width:
             data = np.pad(data, (0, width - len(data)))
-        places = np.arange(0, len(data) - width + 1, STRIDE)
-        if places[-1] != len(data) - width:
-            places = np.append(places, len(data) - width)  # the last bytes are seen too
-        response = self.table[0][data[places]]
-        for k in range(1, width):
-            response += self.table[k][data[places + k]]
+        last = len(data) - width
+        places = -(-last // STRIDE) + 1  # the last one is at the very end, so that its bytes are seen too
         step, span = (CHUNK - OVERLAP) // STRIDE, CHUNK // STRIDE
-        starts = np.arange(0, max(1, len(places) - OVERLAP // STRIDE), step)
-        top = np.empty((len(starts), response.shape[1]), np.float32)
-        at = np.empty((len(starts), response.shape[1]), np.int64)
-        for c, start in enumerate(starts):
-            part = response[start : start + span]
-            where = part.argmax(0)
-            top[c], at[c] = part[where, np.arange(part.shape[1])], places[start + where]
+        starts = np.arange(0, max(1, places - OVERLAP // STRIDE), step)
+        filters = np.arange(self.table.shape[2])
+        top = np.empty((len(starts), len(filters)), np.float32)
+        at = np.empty((len(starts), len(filters)), np.int64)
+        for first in range(0, len(starts), AT_ONCE):
+            group = starts[first : first + AT_ONCE]
+            seen = np.minimum(np.arange(group[0], min(group[-1] + span, places)) * STRIDE, last)
+            response = self.table[0][data[seen]]
+            for k in range(1, width):
+                response += self.table[k][data[seen + k]]
+            for c, start in enumerate(group - group[0], first):
+                part = response[start : start + span]
+                where = part.argmax(0)
+                top[c], at[c] = part[where, filters], seen[start + where]
         return top, at
 
     def forward(self, data: np.ndarray) -> tuple[float, np.ndarray, tuple]:
@@ -132,14 +137,15 @@ def score_quality(docs: DataFrame, net: ByteNet, id_col: str = "doc_id", text_co
     Whole texts are scored. Null and empty texts score the share of label 1 among the training labels; repeated rows are
     scored alike; an empty table gives an empty result; other columns are not looked at. Narrow: no shuffle.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    doc_id, kind = carried_id(docs, id_col)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": [shared.value.score(t) for t in batch["text"]]})
 
-    scored = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(score, f"doc_id {kind}, score double")
+    scored = docs.select(doc_id.alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(score, f"doc_id {kind}, score double")
+    scored = scored.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 

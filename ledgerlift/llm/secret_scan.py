@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlift.llm.common import carried_id
+
 #: The base patterns, and kinds in the order in which equal starts are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -142,7 +144,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Whole texts are read. A null text is an empty one and has no spans; repeated rows are scanned each on their own; an
     empty table gives an empty result; other columns are not looked at. Narrow: no shuffle.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    doc_id, kind = carried_id(docs, id_col)
     span = "array<struct<kind: string, start: int, end: int>>"
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,7 +153,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             as_rows = [[[{"kind": k, "start": a, "end": b} for a, k, b in spans] for spans in pair] for pair in rows]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "spans": [r[1] for r in as_rows], "base": [r[0] for r in as_rows]})
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(scan, f"doc_id {kind}, spans {span}, base {span}")
+    found = docs.select(doc_id.alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(scan, f"doc_id {kind}, spans {span}, base {span}")
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 
 
 def span_digests(found: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlift.llm.common import carried_id
 from ledgerlift.llm.labelled import held_out, labelled_sample
 
 SAMPLE_ROWS, SAMPLE_LONGEST = 6000, 20_000
@@ -119,7 +120,7 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
     texts are scored; null and empty texts have no features and score as clean. Repeated rows are scored alike; an
     empty table gives an empty result; other columns are not looked at. Narrow: no shuffle.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    doc_id, kind = carried_id(docs, id_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,6 +130,7 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id",
             each = np.concatenate([1 - above[:, :1], above[:, :-1] - above[:, 1:], above[:, -1:]], 1)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "severity": above.sum(1), "grade": each.argmax(1).astype("int32"), "p_toxic": above[:, 0]})
 
-    scored = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    scored = docs.select(doc_id.alias("doc_id"), F.col(text_col).alias("text"))
     scored = scored.mapInPandas(score, f"doc_id {kind}, severity double, grade int, p_toxic double")
+    scored = scored.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "severity", "grade", "p_toxic", (F.col("p_toxic") >= threshold).alias("toxic"))

@@ -199,6 +199,34 @@ def test_quality(spark, docs, no_docs):
     assert quality.fit_quality(real, labels.limit(0)).score("anything") == pytest.approx(0.5, abs=0.01)
 
 
+def test_quality_is_the_same_in_any_steps(monkeypatch):
+    rng = np.random.default_rng(0)
+    net = quality.ByteNet(rng.normal(size=(6, 256, 16)).astype(np.float32), np.zeros(16, np.float32), np.ones(32, np.float32), 0.0, 0.5)
+    for n in (0, 3, 6, 511, 512, 5001, 60_000):
+        data = rng.integers(0, 256, n).astype(np.uint8)
+        want = net.chunks(data)
+        monkeypatch.setattr(quality, "AT_ONCE", 3)
+        assert all(np.array_equal(a, b) for a, b in zip(net.chunks(data), want, strict=True))
+        monkeypatch.undo()
+
+
+def test_null_and_large_ids(spark):
+    """An id above 2**53 stays exact beside a null one; rows without an id are judged by text and link with nothing."""
+    big, text = 2**60 + 1, "one two three four five six seven eight nine ten"
+    rows = [(None, text), (None, text), (big, text), (big + 1, text), (big + 2, "token=abcdefghijklmnop"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    net, model = quality.fit([], []), toxicity.fit([], [])
+    for got in (secret_scan.span_digests(secret_scan.scan_secrets(df)), bpe.encode_digests(df), quality.score_quality(df, net), toxicity.score_toxicity(df, model), packing.pack(df)):
+        assert got.schema["doc_id"].dataType == df.schema["doc_id"].dataType
+        assert Counter(r["doc_id"] for r in got.collect()) == Counter(i for i, _ in rows)
+    joined = ngram_join.ngram_join(df).collect()
+    assert sorted(tuple(r) for r in joined if r["doc_id"]) == [(big, big, 1, True), (big + 1, big, 1, False), (big + 2, big + 2, 0, True)]
+    assert [tuple(r) for r in joined if r["doc_id"] is None] == [(None, None, 0, True)] * 3
+    assert Counter(r["doc_id"] for r in ngram_join.drop_near_copies(df).collect()) == {None: 3, big: 1, big + 2: 1}
+    named = spark.createDataFrame([("a", text), (None, text)], "doc_id string, text string")
+    assert {r["doc_id"] for r in packing.pack(named).collect()} == {"a", None}
+
+
 def test_quality_covers_the_whole_text():
     net = quality.ByteNet(np.zeros((6, 256, 16), np.float32), np.zeros(16, np.float32), np.zeros(32, np.float32), 0.0, 0.5)
     net.table[:, ord("#"), 0] = 1.0

@@ -53,6 +53,16 @@ def test_near_embeddings(spark, tile):
         assert near_embeddings.near_embeddings(df.limit(0)).count() == 0
 
 
+def test_null_and_large_ids(spark):
+    big = 2**60 + 1
+    df = spark.createDataFrame([(None, [1.0, 2.0], 1), (None, [1.0, 2.0], 1), (big, [1.0, 2.0], 1), (big + 1, [1.0, 2.0], 1), (big + 2, None, None)], "vec_id bigint, embedding array<double>, label int").coalesce(1)
+    got = sorted((tuple(r) for r in near_embeddings.near_embeddings(df).collect()), key=str)
+    assert got == sorted([(None, 0, None, True)] * 2 + [(big, 1, big, True), (big + 1, 1, big, False), (big + 2, 0, big + 2, True)], key=str)
+    pages = spark.createDataFrame([(None, None, "<p>x"), (big, "u", None)], "page_id bigint, url string, html string").coalesce(1)
+    for out in (html_extract.extract_pages(pages), url_filter.filter_urls(pages)):
+        assert {r["page_id"] for r in out.collect()} == {None, big}
+
+
 def test_certain_reach_misses_nothing():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 8))
