@@ -65,3 +65,8 @@ def thousands(number: Column) -> Column:
 def is_label(text: Column) -> Column:
     """Not blank and no placeholder class."""
     return (F.trim(text) != "") & ~F.trim(text).isin(*PLACEHOLDERS)
+
+
+def jittered_price(base: Column, factor: Column, step: int = 500) -> Column:
+    """base x factor cut down to whole steps; the base itself where nothing would be left."""
+    return F.coalesce(F.nullif((F.floor(base * factor / step) * step).cast("bigint"), F.lit(0)), base.cast("bigint"))

@@ -1,4 +1,4 @@
-"""Audits of an annotated corpus (A-01 to A-06, A-25 to A-29, F-07 to F-17, J-01 to J-05, T-01): all joins and aggregates."""
+"""Audits of an annotated corpus (A-01 to A-06, A-23, A-25 to A-29, F-07 to F-17, J-01 to J-05, T-01): all joins and aggregates."""
 
 from __future__ import annotations
 
@@ -84,3 +84,33 @@ def json_keys(rows: DataFrame, column: str) -> DataFrame:
     """(key, records, filled) over JSON objects: how many hold a key, and how many with a value."""
     entries = rows.select(F.explode(F.from_json(column, "map<string,string>")).alias("key", "value"))
     return entries.groupBy("key").agg(F.count(F.lit(1)).alias("records"), F.count("value").alias("filled"))
+
+
+def dataset_counts(images: DataFrame, annotations: DataFrame) -> DataFrame:
+    """(split, images, annotations, categories) of images (id, split) and their annotations; both sides are counted before they meet."""
+    per_image = annotations.groupBy("image_id", "category_id").agg(F.count(F.lit(1)).alias("n"))
+    seen = images.select(F.col("id").alias("image_id"), "split").join(per_image, "image_id")
+    boxes = seen.groupBy("split").agg(F.sum("n").alias("annotations"), F.count_distinct("category_id").alias("categories"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    return images.groupBy("split").agg(F.count(F.lit(1)).alias("images")).join(boxes, "split", "left").select("split", "images", zero("annotations"), zero("categories"))
+
+
+def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """`describe` of several columns in one pass: one row for each, by name."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns])
+    v = F.col("v")
+    one = df.select(F.inline(pairs)).groupBy("name").agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.max(v).alias("max"))
+    return one.select("name", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", F.round(F.col("q")[0], 6).alias("p25"), F.round(F.col("q")[1], 6).alias("p50"), F.round(F.col("q")[2], 6).alias("p75"), "max")
+
+
+def text_fields(rows: DataFrame, column: str, candidates: list[str]) -> DataFrame:
+    """(field, n): which of the candidate keys, in their order, is the first with a value in each JSON object; null if none is."""
+    entries = F.from_json(column, "map<string,string>")
+    first = F.coalesce(*[F.when(entries[key].isNotNull(), key) for key in candidates])
+    return rows.groupBy(first.alias("field")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def label_summary(annotations: DataFrame) -> DataFrame:
+    """(labels, receipts, words, numeric_share) of named annotations (name, source)."""
+    numeric = F.coalesce(F.col("name").rlike("^[0-9]+$"), F.lit(False)).cast("double")
+    return annotations.agg(F.count("name").alias("labels"), F.count_distinct("source").alias("receipts"), F.count_distinct("name").alias("words"), F.round(F.avg(numeric), 6).alias("numeric_share"))

@@ -1,4 +1,4 @@
-"""Leakage-safe splits and their independent verification (T-05 to T-07, W-02, O-01, O-02, A-26)."""
+"""Leakage-safe splits and their independent verification (T-05 to T-08, W-02, W-03, O-01, O-02, O-05, A-26)."""
 
 from __future__ import annotations
 
@@ -55,3 +55,19 @@ def contamination(placed: DataFrame, key: str) -> DataFrame:
     train = placed.where("split = 'train'").select(key).distinct().withColumn("in_train", F.lit(1))
     held = placed.where("split <> 'train'").join(train, key, "left")
     return held.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count("in_train").alias("leaked"), F.count_distinct(key).alias("n_sources"), F.count_distinct(F.when(F.col("in_train") == 1, F.col(key))).alias("leaked_sources"))
+
+
+def first_pages(images: DataFrame, pages: int, source: str = "source") -> DataFrame:
+    """The first page of each receipt by id, and of those the first `pages`: a limit that is the feature."""
+    first = images.groupBy(source).agg(F.min_by(F.struct("*"), "id").alias("one")).select("one.*")
+    return first.orderBy("id").limit(pages)
+
+
+def layout_holdout(layout: Column, held_out: list) -> Column:
+    """'test' for forms whose column order is held out, else 'train'."""
+    return F.when(layout.isin(*held_out), "test").otherwise("train")
+
+
+def display_sample(rows: DataFrame, key: str, n: int = 24) -> DataFrame:
+    """n rows in the order of a hash of `key`: a repeatable sample for looking at."""
+    return rows.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)

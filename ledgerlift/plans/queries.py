@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.functions import geometry as G
 from ledgerlift.functions import text as T
-from ledgerlift.operators import audit, demand, evaluate, receipts, scanlines, splits
+from ledgerlift.operators import audit, demand, evaluate, quads, receipts, scanlines, splits
 from ledgerlift.plans import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -604,6 +604,122 @@ def synth_demand(spark: SparkSession, d: str) -> DataFrame:
     return demand.generate_demand(items, "2024-01-01", 28)
 
 
+# --- corpus shape, samples and page decisions ---------------------------------------------------------------------
+
+
+@query(f"""
+SELECT split, count(DISTINCT id) AS images, count(image_id) AS annotations, count(DISTINCT category_id) AS categories
+FROM (SELECT id, {SPLIT_CASE.format(k='id')} AS split FROM ({V.IMAGES}) i) p LEFT JOIN ({V.ANNOTATIONS}) a ON a.image_id = p.id GROUP BY split
+""")
+def dataset_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A-01."""
+    images = V.view(spark, d, V.IMAGES).withColumn("split", splits.naive_split(F.col("id")))
+    return audit.dataset_counts(images, V.view(spark, d, V.ANNOTATIONS))
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, min({c}) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, round(quantile_cont({c}, 0.75), 6) AS p75, max({c}) AS max FROM ({V.ANNOTATIONS}) a" for c in "xywh"))
+def bbox_describe(spark: SparkSession, d: str) -> DataFrame:
+    """A-05, F-12."""
+    return audit.describe_columns(V.view(spark, d, V.ANNOTATIONS), ["x", "y", "w", "h"])
+
+
+FIELDS = "SELECT event_id, CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN replace(props, '\"k\"', '\"text\"') WHEN 2 THEN replace(props, '\"k\"', '\"label\"') ELSE replace(props, '\"k\"', '\"other\"') END AS js FROM events"
+
+
+@query(f"SELECT CASE WHEN json_extract_string(js, '$.text') IS NOT NULL THEN 'text' WHEN json_extract_string(js, '$.label') IS NOT NULL THEN 'label' WHEN json_extract_string(js, '$.k') IS NOT NULL THEN 'k' END AS field, count(*) AS n FROM ({FIELDS}) f GROUP BY 1")
+def json_field_counts(spark: SparkSession, d: str) -> DataFrame:
+    """F-16."""
+    return audit.text_fields(V.view(spark, d, FIELDS), "js", ["text", "label", "k"])
+
+
+LABELLED = f"SELECT c.name, i.file_name FROM ({V.ANNOTATIONS}) a JOIN ({V.IMAGES}) i ON a.image_id = i.id JOIN (SELECT id, CASE WHEN id % 3 = 0 THEN CAST(id AS STRING) ELSE name END AS name FROM ({V.CATEGORIES}) z) c ON a.category_id = c.id"
+
+
+@query(f"SELECT count(name) AS labels, count(DISTINCT split_part(file_name, '_jpg.rf.', 1)) AS receipts, count(DISTINCT name) AS words, round(avg(CASE WHEN regexp_full_match(name, '[0-9]+') THEN 1.0 ELSE 0.0 END), 6) AS numeric_share FROM ({LABELLED}) l")
+def label_summary(spark: SparkSession, d: str) -> DataFrame:
+    """A-23, A-25."""
+    return audit.label_summary(V.view(spark, d, LABELLED).withColumn("source", T.source_id(F.col("file_name"))))
+
+
+@query(f"SELECT quadrant, count(*) AS n FROM ({ORACLES['demand_quadrants']}) q GROUP BY quadrant")
+def quadrant_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A-03."""
+    return demand.quadrants(_panel(spark, d)).groupBy("quadrant").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT id, source FROM (SELECT id, split_part(file_name, '_jpg.rf.', 1) AS source, row_number() OVER (PARTITION BY split_part(file_name, '_jpg.rf.', 1) ORDER BY id) AS rn FROM ({V.IMAGES}) i) x WHERE rn = 1 ORDER BY id LIMIT 40")
+def first_pages(spark: SparkSession, d: str) -> DataFrame:
+    """W-03, O-05: the first page of each receipt, then the first 40."""
+    return splits.first_pages(_images(spark, d), 40).select("id", "source")
+
+
+@query(f"SELECT doc_id, CASE WHEN doc_id % 5 IN (3, 4) THEN 'test' ELSE 'train' END AS split FROM ({V.DOCS}) d")
+def layout_holdout(spark: SparkSession, d: str) -> DataFrame:
+    """T-07: the last two column orders are held out."""
+    return V.view(spark, d, V.DOCS).select("doc_id", splits.layout_holdout(F.pmod("doc_id", F.lit(5)), [3, 4]).alias("split"))
+
+
+@query(f"SELECT id, gold, pred FROM ({V.PREDICTIONS}) p ORDER BY md5(CAST(id AS VARCHAR)), id LIMIT 24")
+def display_sample(spark: SparkSession, d: str) -> DataFrame:
+    """T-08."""
+    return splits.display_sample(V.view(spark, d, V.PREDICTIONS), "id").select("id", "gold", "pred")
+
+
+PRICED = "SELECT p_partkey AS id, CAST(500 * (1 + p_partkey % 40) AS BIGINT) AS base, CAST(p_partkey % 16 AS DOUBLE) / 8 AS u FROM part"
+
+
+@query(f"SELECT id, price, replace(format('{{:,}}', price), ',', '.') AS shown FROM (SELECT id, coalesce(nullif(CAST(floor(base * u / 500) * 500 AS BIGINT), 0), base) AS price FROM ({PRICED}) p) x")
+def price_tags(spark: SparkSession, d: str) -> DataFrame:
+    """F-20, F-21."""
+    rows = V.view(spark, d, PRICED).select("id", T.jittered_price(F.col("base"), F.col("u")).alias("price"))
+    return rows.select("id", "price", T.thousands(F.col("price")).alias("shown"))
+
+
+TOP_QUADS = f"SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY area DESC, n, k) AS place FROM (SELECT *, round(abs(dx * t + dy * dy / 10), 6) AS area FROM ({V.QUADS}) q) x"
+
+
+@query(f"SELECT doc_id, n, k, area, place FROM ({TOP_QUADS}) y WHERE place <= 8")
+def largest_quads(spark: SparkSession, d: str) -> DataFrame:
+    """T-03."""
+    return quads.largest(_quads(spark, d), ties=("n", "k")).select("doc_id", "n", "k", "area", "place")
+
+
+#: Scores are multiples of 1/128, so that means are exact in any order of summation.
+READ = "SELECT l_orderkey AS doc_id, CASE WHEN l_partkey % 7 <> 0 THEN CAST(l_partkey % 128 AS DOUBLE) / 128 END AS as_is, CASE WHEN l_suppkey % 9 <> 0 THEN CAST(l_suppkey % 128 AS DOUBLE) / 128 END AS flipped FROM lineitem"
+
+
+@query(f"SELECT doc_id, avg(coalesce(flipped, 0)) > avg(coalesce(as_is, 0)) AS flip FROM ({READ}) r GROUP BY doc_id")
+def upright_pages(spark: SparkSession, d: str) -> DataFrame:
+    """A-13, G-05."""
+    return quads.upright(V.view(spark, d, READ))
+
+
+WELDED_CELLS = f"""
+SELECT c.doc_id, CAST(c.r AS INT) AS row_id, CAST(c.c AS INT) AS col_id, CASE WHEN c.role = 'nama' THEN concat(CAST(l.qty AS STRING), ' ', c.text) ELSE c.text END AS text
+FROM ({V.CELLS}) c LEFT JOIN ({V.LINES}) l ON c.doc_id = l.doc_id AND c.r = l.r WHERE c.role <> 'qty' AND c.role <> 'header_qty'
+"""
+
+
+@query(f"""
+WITH m AS (SELECT doc_id, row_id, col_id, text, regexp_extract(text, '(?i)^\\s*(\\d{{1,3}})\\s*({UNIT_ALT})?\\.?\\s*(\\D.*)$', 1) AS cnt,
+  trim(regexp_extract(text, '(?i)^\\s*(\\d{{1,3}})\\s*({UNIT_ALT})?\\.?\\s*(\\D.*)$', 3)) AS name FROM ({WELDED_CELLS}) w),
+s AS (SELECT *, cnt <> '' AND regexp_matches(name, '^[A-Za-z]') AND length(regexp_replace(lower(name), '[^a-z]', '', 'g')) >= 3 AND NOT regexp_full_match(lower(name), '({UNIT_ALT})') AS hit FROM m),
+col AS (SELECT doc_id, col_id, count(*) FILTER (text <> '') AS filled, count(*) FILTER (hit) AS n FROM s GROUP BY doc_id, col_id),
+doc AS (SELECT doc_id, min(col_id) FILTER (filled >= 2 AND n >= filled * 0.5) AS split_col, max(col_id) + 1 AS new_col FROM col GROUP BY doc_id)
+SELECT s.doc_id, row_id, split_col, new_col, col_id, CASE WHEN hit AND col_id = split_col THEN name ELSE text END AS text FROM s JOIN doc ON s.doc_id = doc.doc_id WHERE split_col IS NOT NULL
+UNION ALL SELECT s.doc_id, row_id, split_col, new_col, new_col AS col_id, CAST(CAST(cnt AS INT) AS VARCHAR) AS text FROM s JOIN doc ON s.doc_id = doc.doc_id WHERE hit AND col_id = split_col
+""")
+def unmerge_counts(spark: SparkSession, d: str) -> DataFrame:
+    """R-10, R-11: forms on which the count was read as part of the name."""
+    return receipts.unmerge_counts(V.view(spark, d, WELDED_CELLS)).select("doc_id", "row_id", "split_col", "new_col", "col_id", "text")
+
+
+@query("SELECT user_id, CAST(ts AS DATE) AS ds, count(*) AS n, CAST(count(DISTINCT event_type) AS BIGINT) AS kinds FROM events GROUP BY user_id, CAST(ts AS DATE)")
+def daily_events(spark: SparkSession, d: str) -> DataFrame:
+    """ST-3, batch side: what the daily stream window counts."""
+    return V.view(spark, d, "SELECT user_id, CAST(ts AS DATE) AS ds, event_type FROM events").groupBy("user_id", "ds").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_type").alias("kinds"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

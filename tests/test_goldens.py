@@ -132,3 +132,24 @@ def test_receipts(spark):
         assert r["items"][2]["warnings"] == ["low_confidence"] and r["items"][2]["confidence"] == 0.618
     for doc in ("blank", "none"):
         assert got[doc]["warnings"] == ["no_text_detected"] and got[doc]["needs_review"] and got[doc]["items"] == []
+
+
+def test_registered_functions_agree_with_the_columns(spark):
+    from ledgerlift.functions import register
+    from ledgerlift.functions import text as T
+
+    assert "split_count" in register.register_functions(spark)
+    texts = ["2 tempe", "2 kg gula pasir", "10kopi", "2 pakaian", "67.500", "Rp 5.000", "5 es", " objects ", "", None, "n1_jpg.rf.a.jpg"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    built = df.select(T.to_int(t), T.is_number(t), T.normalise(t), T.source_id(t), T.is_label(t), T.split_count(t), T.cer(t, F.lit("2 tempeh")), T.thousands(F.lit(15000)))
+    named = df.selectExpr("to_int(t)", "is_number(t)", "normalise(t)", "source_id(t)", "is_label(t)", "split_count(t)", "cer(t, '2 tempeh')", "thousands(15000)")
+    assert [tuple(r) for r in named.collect()] == [tuple(r) for r in built.collect()]
+
+
+def test_describe_columns_equals_describe(spark):
+    from ledgerlift.operators import audit
+
+    df = spark.createDataFrame([(1.0, 5), (2.0, None), (4.0, 9)], "a double, b int")
+    each = {r["name"]: tuple(r)[1:] for r in audit.describe_columns(df, ["a", "b"]).collect()}
+    assert each == {c: tuple(audit.describe(df, c).first()) for c in ("a", "b")}
