@@ -2,8 +2,8 @@
 
 Unit vectors are cut into halves, each with a codebook of its own; the product of the codebooks is a grid of cells, and
 every vector is filed in the cell of its nearest centroids. Each vector then visits cells in the order of the
-multi-sequence algorithm, nearest first, until the target recall is reached, and is compared in full with all that is
-filed there. Comparisons run as matrix products over tiles of a cell; pairs never leave a tile.
+multi-sequence algorithm, nearest first, up to the reach beyond which no link can lie, and is compared in full with all
+that is filed there. Comparisons run as matrix products over tiles of a cell; pairs never leave a tile.
 """
 
 from __future__ import annotations
@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 from ledgerlift.llm.common import cut_lineage, groups
 from ledgerlift.llm.components import connected_components
 
-THRESHOLD, TARGET_RECALL = 0.98, 0.9999
+THRESHOLD = 0.98
 SAMPLE_ROWS, ROWS_PER_CELL, MOST_CENTROIDS, TILE = 8192, 64, 512, 512
-REACH_MARGIN, LEAST_LINKED = 2.0, 200
 
 
 @dataclass(frozen=True)
@@ -48,12 +47,17 @@ class MultiIndex:
         return one.argmin(1) * len(self.second) + two.argmin(1)
 
     def detours(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Squared halves of how much farther each centroid is than the nearest one, for either half.
+        """Squared distances of each half from the plane midway between its nearest centroid and each other centroid.
 
         If two unit vectors are within r of each other, the sum of the two for the other's cell is at most r**2: a half
-        moved by r1 changes the distance to each of two centroids by at most r1. So a reach of r**2 misses nothing.
+        filed with a centroid lies on that centroid's side of the plane. So a reach of r**2 misses nothing.
         """
-        return tuple(((d - d.min(1, keepdims=True)) / 2) ** 2 for d in self.distances(unit))
+        out = []
+        for d, centroids in zip(self.distances(unit), (self.first, self.second), strict=True):
+            gaps = np.stack([np.linalg.norm(centroids - c, axis=1) for c in centroids])[d.argmin(1)]
+            squared = d * d
+            out.append(((squared - squared.min(1, keepdims=True)) / np.where(gaps > 1e-6, 2 * gaps, np.inf)) ** 2)
+        return tuple(out)
 
     def visited(self, one: np.ndarray, two: np.ndarray) -> list[int]:
         """The cells within reach for a vector with these detours, nearest first (multi-sequence traversal)."""
@@ -70,12 +74,6 @@ class MultiIndex:
                     heapq.heappush(heap, (one[by_one[ahead[0]]] + two[by_two[ahead[1]]], *ahead))
         return out
 
-    def within_reach(self, unit: np.ndarray, cells: np.ndarray) -> np.ndarray:
-        """Whether each vector's traversal comes to the cell beside it."""
-        one, two = self.detours(unit)
-        rows = np.arange(len(unit))
-        return one[rows, cells // len(self.second)] + two[rows, cells % len(self.second)] <= self.reach
-
 
 def _distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     squared = (x * x).sum(1)[:, None] - 2 * x @ centroids.T + (centroids * centroids).sum(1)[None, :]
@@ -108,73 +106,67 @@ def unit_vectors(vectors: list) -> tuple[np.ndarray, np.ndarray]:
     return usable, rows
 
 
-def fit_index(vectors: list, labels: list, rows: int, threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, seed: int = 11) -> MultiIndex:
-    """Codebooks for about `rows` vectors, fitted on a sample, and the reach that the sample's own links ask for.
+def _copies(index: MultiIndex, x: np.ndarray, rows: float, tile: int) -> float:
+    """About how many copies of a vector go to tiles, for a label of `rows` rows that are spread as x is."""
+    one, two = index.detours(x)
+    visits = float(np.mean([np.count_nonzero(a[:, None] + b[None, :] <= index.reach) for a, b in zip(one, two, strict=True)]))
+    filed = rows / (len(index.first) * len(index.second))
+    away = (visits - 1) / 2
+    return math.ceil(filed / tile) * (1 + away) + (math.ceil(filed * away / tile) if away else 0)
+
+
+def fit_index(vectors: list, labels: list, rows: int, threshold: float = THRESHOLD, seed: int = 11, tile: int = TILE) -> MultiIndex:
+    """Codebooks for about `rows` vectors, fitted on a sample, with the reach that misses nothing.
 
-    The reach is the detour within which all links of `target_recall` of the sample's linked vectors lie, times REACH_MARGIN; a sample
-    of fewer than LEAST_LINKED such vectors gives the reach that misses nothing.
+    Of codebooks of ever half the size, those are taken that send the fewest copies of a vector to tiles. The choice
+    settles only the work: no result depends on it.
     """
-    _, units = unit_vectors(vectors)
+    usable, units = unit_vectors(vectors)
     by_dims: dict[int, int] = {}
     for u in units:
         by_dims[len(u)] = by_dims.get(len(u), 0) + 1
-    certain = 2 - 2 * threshold + 1e-9
+    certain = 2 - 2 * threshold + 1e-6
     if not units:
         return MultiIndex(np.zeros((1, 1)), np.zeros((1, 1)), certain)
     dims = max(by_dims, key=by_dims.get)
-    keep = [i for i, u in enumerate(units) if len(u) == dims]
-    x, rng = np.stack([units[i] for i in keep]), np.random.default_rng(seed)
+    x, rng = np.stack([u for u in units if len(u) == dims]), np.random.default_rng(seed)
+    shares = np.unique([str(label) for label, ok in zip(labels, usable, strict=True) if ok], return_counts=True)[1] / len(units)
     k = max(1, min(MOST_CENTROIDS, math.isqrt(max(1, rows // ROWS_PER_CELL)), len(x) // 8))
-    half = dims // 2
-    index = MultiIndex(_codebook(x[:, :half], k, rng), _codebook(x[:, half:], k, rng), certain)
-    usable, _ = unit_vectors(vectors)
-    names = np.array([str(label) for label, ok in zip(labels, usable, strict=True) if ok])[keep]
-    cells, costs = index.cells(x), []
-    one, two = index.detours(x)
-    for name in np.unique(names):
-        mine = np.flatnonzero(names == name)
-        for at in range(0, len(mine), 1024):
-            part = mine[at : at + 1024]
-            a, b = np.nonzero(x[part] @ x[mine].T >= threshold)
-            a, b = part[a], mine[b]
-            a, b = a[a != b], b[a != b]
-            farthest = np.full(len(x), -1.0)  # by vector, so that one large group doesn't settle the reach for all
-            np.maximum.at(farthest, a, one[a, cells[b] // k] + two[a, cells[b] % k])
-            costs.append(farthest[farthest >= 0])
-    cost = np.concatenate(costs) if costs else np.empty(0)
-    if len(cost) < LEAST_LINKED:
-        return index
-    return MultiIndex(index.first, index.second, min(certain, REACH_MARGIN * float(np.quantile(cost, target_recall)) + 1e-9))
-
-
-def _compare(batches: Iterator[pd.DataFrame], index: MultiIndex, threshold: float) -> Iterator[pd.DataFrame]:
+    half, some = dims // 2, x[:: max(1, len(x) // 256)]
+    found = []
+    while k:
+        index = MultiIndex(_codebook(x[:, :half], k, rng), _codebook(x[:, half:], k, rng), certain)
+        found.append((_copies(index, some, rows * float((shares * shares).sum()), tile), len(found), index))
+        k //= 2
+    return min(found)[2]
+
+
+def _compare(batches: Iterator[pd.DataFrame], wire: type, threshold: float) -> Iterator[pd.DataFrame]:
     """(vec_id, links, root) for members of a tile with a link there.
 
-    A tile holds filed vectors (query false) and visitors (query true). A visitor counts what it is linked with; a filed
-    vector counts a visitor only if its own traversal would not come to the visitor's cell, so that each end of a link
-    counts it once whichever way it was found.
+    A tile holds filed vectors (query false) and visitors (query true), or vectors that meet one another (query null).
+    No two vectors meet in more than one tile, so each link found counts for both its ends.
     """
     for tile in groups(batches, "tile"):
-        query = tile["query"].to_numpy(dtype=bool)
-        if query.all() or not query.any():
+        query = tile["query"]
+        among = query.isna().to_numpy(dtype=bool)
+        visitors, filed = np.flatnonzero(among | (query == True).to_numpy(dtype=bool)), np.flatnonzero(among | (query == False).to_numpy(dtype=bool))  # noqa: E712
+        if not len(visitors) or not len(filed):
             continue
-        ids, cells = tile["vec_id"].to_numpy(), tile["cell"].to_numpy()
-        vectors = np.frombuffer(b"".join(tile["unit"]), np.float64).reshape(len(tile), -1)
-        filed, visitors = np.flatnonzero(~query), np.flatnonzero(query)
+        ids = tile["vec_id"].to_numpy()
+        vectors = np.frombuffer(b"".join(tile["vector"]), wire).reshape(len(tile), -1).astype(np.float64)
+        vectors /= np.abs(vectors).max(1, keepdims=True)
+        vectors /= np.sqrt((vectors * vectors).sum(1, keepdims=True))
         a, b = np.nonzero(vectors[visitors] @ vectors[filed].T >= threshold)
         a, b = visitors[a], filed[b]
-        other = ids[a] != ids[b]
-        a, b = a[other], b[other]
+        once = (a < b) | ~among[a]
+        a, b = a[once], b[once]
         if not len(a):
             continue
         names, place = np.unique(ids, return_inverse=True)
         links = np.zeros(len(names), np.int64)
         np.add.at(links, place[a], 1)
-        if vectors.shape[1] == index.dims:
-            away = np.flatnonzero(cells[a] != cells[b])
-            if len(away):
-                missed = away[~index.within_reach(vectors[b[away]], cells[a[away]])]
-                np.add.at(links, place[b[missed]], 1)
+        np.add.at(links, place[b], 1)
         label = np.arange(len(names))
         while True:
             low = np.minimum(label[place[a]], label[place[b]])
@@ -190,7 +182,7 @@ def _compare(batches: Iterator[pd.DataFrame], index: MultiIndex, threshold: floa
         yield pd.DataFrame({"vec_id": names[some], "links": links[some], "root": names[label][some]})
 
 
-def near_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", tile: int = TILE) -> DataFrame:
+def near_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", tile: int = TILE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of `vectors`.
 
     Rows are compared when their labels are equal and not null, and linked at a cosine of at least `threshold` in double
@@ -198,43 +190,47 @@ def near_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, target_rec
     another length than most are compared among themselves. Rows that repeat a vec_id never link with one another and
     share a result. A row without a vec_id links with nothing, has no component and is kept. An empty table gives an empty result; other columns are not looked at.
 
-    The codebooks and the reach are fitted on SAMPLE_ROWS rows picked by a hash of vec_id; every row is filed.
+    The codebooks are fitted on SAMPLE_ROWS rows picked by a hash of vec_id; every row is filed, and every link found.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).cast("string").alias("label"))
     usable = rows.where("vec_id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL")
     sample = usable.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()
-    index = fit_index([r["vector"] for r in sample], [r["label"] for r in sample], rows.count(), threshold, target_recall)
+    index = fit_index([r["vector"] for r in sample], [r["label"] for r in sample], rows.count(), threshold, tile=tile)
     shared = spark.sparkContext.broadcast(index)
+    wire = np.float32 if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else np.float64
 
     def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             usable, units = unit_vectors(list(batch["vector"]))
             batch = batch[usable]
             same = np.array([len(u) == shared.value.dims for u in units], bool)
-            cells, visits = np.full(len(batch), -1, np.int64), [[-1]] * len(batch)
+            cells, visits = np.full(len(batch), -1, np.int64), [[]] * len(batch)
             if same.any():
                 matrix = np.stack([u for u, s in zip(units, same, strict=True) if s])
                 cells[same] = shared.value.cells(matrix)
                 for i, one, two in zip(np.flatnonzero(same), *shared.value.detours(matrix), strict=True):
-                    visits[i] = shared.value.visited(one, two)
-            yield pd.DataFrame({"vec_id": batch["vec_id"], "label": batch["label"], "dims": [len(u) for u in units], "cell": cells, "visits": visits, "unit": [u.tobytes() for u in units]})
+                    visits[i] = [at for at in shared.value.visited(one, two) if at > cells[i]]  # the other end of a link does not visit back
+            yield pd.DataFrame({"vec_id": batch["vec_id"], "label": batch["label"], "dims": [len(u) for u in units], "cell": cells, "visits": visits, "vector": [np.array(v, dtype=wire).tobytes() for v in batch["vector"]]})
 
-    filed = usable.mapInPandas(file, "vec_id long, label string, dims int, cell long, visits array<long>, unit binary")
+    filed = usable.mapInPandas(file, "vec_id long, label string, dims int, cell long, visits array<long>, vector binary")
     filed = cut_lineage(filed.dropDuplicates(["vec_id"]))
     cell = ["label", "dims", "at"]
     sizes = filed.groupBy("label", "dims", F.col("cell").alias("at")).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("filed_tiles"))
-    probes = filed.select("vec_id", "label", "dims", "cell", "unit", F.explode("visits").alias("at"))
+    probes = filed.select("vec_id", "label", "dims", "vector", F.explode("visits").alias("at"))
     asking = probes.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("query_tiles"))
     grid = sizes.join(asking, cell)
     own = F.xxhash64("vec_id", F.lit(3))
+    parts = filed.withColumn("at", F.col("cell")).join(sizes, cell).withColumn("p", F.pmod(own, F.col("filed_tiles")))
+    parts = parts.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("filed_tiles") - 1)))
+    parts = parts.withColumn("query", F.when(F.col("p") != F.col("o"), F.col("p") > F.col("o"))).withColumn("f", F.least("p", "o")).withColumn("q", -1 - F.greatest("p", "o"))
     stored = filed.withColumn("at", F.col("cell")).join(grid, cell).withColumn("f", F.pmod(own, F.col("filed_tiles")))
     stored = stored.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("query_tiles") - 1))).withColumn("query", F.lit(False))
     asked = probes.join(grid, cell).withColumn("q", F.pmod(own, F.col("query_tiles")))
     asked = asked.withColumn("f", F.explode(F.sequence(F.lit(0), F.col("filed_tiles") - 1))).withColumn("query", F.lit(True))
-    wanted = ["vec_id", "cell", "unit", "query", F.xxhash64(*cell, F.col("f").cast("long"), F.col("q").cast("long")).alias("tile")]
-    tiles = stored.select(*wanted).unionAll(asked.select(*wanted)).repartition("tile").sortWithinPartitions("tile")
-    found = cut_lineage(tiles.mapInPandas(lambda it: _compare(it, shared.value, threshold), "vec_id long, links long, root long"))
+    wanted = ["vec_id", "vector", "query", F.xxhash64(*cell, F.col("f").cast("long"), F.col("q").cast("long")).alias("tile")]
+    tiles = parts.select(*wanted).unionAll(stored.select(*wanted)).unionAll(asked.select(*wanted)).repartition("tile").sortWithinPartitions("tile")
+    found = cut_lineage(tiles.mapInPandas(lambda it: _compare(it, wire, threshold), "vec_id long, links long, root long"))
     component = connected_components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "vec_id")
     links = found.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
     out = rows.select("vec_id").join(links, "vec_id", "left").join(component, "vec_id", "left")

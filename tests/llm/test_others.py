@@ -78,6 +78,21 @@ def test_certain_reach_misses_nothing():
         assert costs == sorted(costs)
 
 
+def test_tight_hot_group_takes_no_links_from_loose_pairs(spark, monkeypatch):
+    """The sample holds the hot group and one end of each pair."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 16))
+    y = x / np.linalg.norm(x, axis=1, keepdims=True) + rng.normal(size=x.shape) * 0.045
+    rows = [*([1.0] * 16 for _ in range(1200)), *x.tolist(), *y.tolist()]
+    unit = np.array(rows) / np.linalg.norm(rows, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.98).sum(1) - 1
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(rows)], "vec_id bigint, embedding array<double>, label int")
+    fit = near_embeddings.fit_index
+    monkeypatch.setattr(near_embeddings, "fit_index", lambda _, labels, n, *more, **named: fit(rows[:4200], [1] * 4200, n, *more, **named))
+    got = {r["vec_id"]: r["n_links"] for r in near_embeddings.near_embeddings(df, tile=64).collect()}
+    assert (want[1200:] > 0).sum() > 500 and [got[i] for i in range(len(rows))] == want.tolist()
+
+
 URLS = ["http://A.Example.NET/en/1?x", "https://x.net", "https://x.net/", "ftp://net/a#b", "http://example.com/de/", "http://m.example.com/de/x?y", "http://example.comx/de/", "http://w.org/fr/1", "http://org/fr/", "http://m.casino-win.example.com/en/1", "http://ok.example.com/en", "no scheme", "", None, "http://", "http://É.net/", "a://b://c/d", "http://h.org?q=/fr/", "http://netx/"]
 
 
