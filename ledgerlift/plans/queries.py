@@ -600,7 +600,7 @@ def synth_demand(spark: SparkSession, d: str) -> DataFrame:
     """Y-08, S-04."""
     kinds = list(demand.ARCHETYPES)
     case = " ".join(f"WHEN p_partkey % {len(kinds)} = {i} THEN '{k}'" for i, k in enumerate(kinds))
-    items = V.view(spark, d, f"SELECT p_partkey AS sku_id, p_name AS product_name, CAST(500 * (1 + p_partkey % 40) AS INT) AS unit_price, CASE {case} END AS archetype FROM part WHERE p_size <= 3")
+    items = V.view(spark, d, f"SELECT p_partkey AS sku_id, p_name AS product_name, CAST(500 * (1 + p_partkey % 40) AS INT) AS unit_price, CASE {case} END AS archetype FROM part")
     return demand.generate_demand(items, "2024-01-01", 28)
 
 
@@ -720,6 +720,85 @@ def daily_events(spark: SparkSession, d: str) -> DataFrame:
     return V.view(spark, d, "SELECT user_id, CAST(ts AS DATE) AS ds, event_type FROM events").groupBy("user_id", "ds").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_type").alias("kinds"))
 
 
+# --- every form, and the part x day panel -------------------------------------------------------------------------
+
+#: Forms of the third column order have no unit price.
+FORMS = f"SELECT doc_id, qty, CASE WHEN doc_id % 5 <> 2 THEN harga END AS harga, jumlah FROM ({V.LINES}) l"
+
+
+@query(f"SELECT doc_id, count(*) AS rows, count(*) FILTER (qty * harga = jumlah) AS reconciled, count(*) FILTER (harga IS NULL) AS incomplete, count(*) FILTER (qty * harga <> jumlah) AS mismatched, CAST(sum(jumlah) AS BIGINT) AS computed FROM ({FORMS}) f GROUP BY doc_id")
+def reconciliation_all_forms(spark: SparkSession, d: str) -> DataFrame:
+    """R-14, A-22: the identity over the lines of all forms; a line without a unit price is an incomplete row."""
+    lines = V.view(spark, d, FORMS).withColumn("check", receipts.reconcile(F.col("qty"), F.col("harga"), F.col("jumlah")))
+    said = F.coalesce(F.get("check.warnings", F.lit(0)), F.lit(""))
+    return lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.count_if("check.reconciled").alias("reconciled"), F.count_if(said == "incomplete_row").alias("incomplete"), F.count_if(said.startswith("arithmetic_mismatch")).alias("mismatched"), F.sum("jumlah").alias("computed"))
+
+
+PART_TRAIN, PART_TEST = TRAIN.replace(V.PANEL, PART_PANEL), TEST.replace(V.PANEL, PART_PANEL)
+
+
+def _part_panel(spark: SparkSession, d: str) -> DataFrame:
+    return demand.dense_panel(V.view(spark, d, PART_PANEL))
+
+
+def _part_cut(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return demand.time_cut(_part_panel(spark, d), HOLDOUT)
+
+
+def _flat_sql(train: str) -> str:
+    """Croston and TSB with their recurrences written out as weighted sums, for panels of many days."""
+    return f"""
+WITH o AS (SELECT unique_id, ds, CAST(y AS DOUBLE) AS y, row_number() OVER (PARTITION BY unique_id ORDER BY ds) AS t, count(*) OVER (PARTITION BY unique_id) AS n FROM ({train}) z),
+hit AS (SELECT unique_id, y, t, n, CAST(t - lag(t, 1, 0) OVER (PARTITION BY unique_id ORDER BY t) AS DOUBLE) AS gap, row_number() OVER (PARTITION BY unique_id ORDER BY t) AS i, count(*) OVER (PARTITION BY unique_id) AS k FROM o WHERE y > 0),
+w AS (SELECT *, CASE WHEN i = 1 THEN 1.0 ELSE 0.1 END * pow(0.9, k - i) AS wc, CASE WHEN i = 1 THEN 1.0 ELSE 0.2 END * pow(0.8, k - i) AS wz, CASE WHEN t = 1 THEN 1.0 ELSE 0.2 END * pow(0.8, n - t) AS wp FROM hit),
+f AS (SELECT unique_id, 0.95 * sum(y * wc) / sum(gap * wc) AS croston, sum(y * wz) * sum(wp) AS tsb FROM w GROUP BY unique_id)
+SELECT u.unique_id, last, coalesce(croston, 0) AS croston, coalesce(tsb, 0) AS tsb FROM (SELECT unique_id, max(ds) AS last FROM o GROUP BY unique_id) u LEFT JOIN f ON f.unique_id = u.unique_id
+"""
+
+
+def _accuracy_sql(train: str, test: str, snaive: str, scale: str) -> str:
+    flat = _flat_sql(train)
+    return f"""
+SELECT f.method, count(*) AS n, round(avg(abs(f.yhat - t.y) / s.scale), 6) AS mase, round(sqrt(avg(((f.yhat - t.y) / s.scale) * ((f.yhat - t.y) / s.scale))), 6) AS rmsse_mae, round(sqrt(avg((f.yhat - t.y) * (f.yhat - t.y))), 6) AS rmse
+FROM (SELECT 'SeasonalNaive' AS method, unique_id, ds, yhat FROM ({snaive}) a UNION ALL SELECT 'CrostonSBA' AS method, unique_id, last + CAST(h AS INT) AS ds, croston AS yhat FROM ({flat}) b, ({AHEAD}) g
+  UNION ALL SELECT 'TSB' AS method, unique_id, last + CAST(h AS INT) AS ds, tsb AS yhat FROM ({flat}) c, ({AHEAD}) g) f
+JOIN ({test}) t ON f.unique_id = t.unique_id AND f.ds = t.ds JOIN ({scale}) s ON s.unique_id = f.unique_id GROUP BY f.method
+"""
+
+
+@query(ORACLES["demand_quadrants"].replace(V.PANEL, PART_PANEL))
+def part_quadrants(spark: SparkSession, d: str) -> DataFrame:
+    """Y-07, A-21 on the part x day panel."""
+    return demand.quadrants(_part_panel(spark, d))
+
+
+@query(ORACLES["naive_scale"].replace(V.PANEL, PART_PANEL))
+def part_naive_scale(spark: SparkSession, d: str) -> DataFrame:
+    """A-20, W-01, F-27 on the part x day panel."""
+    return evaluate.naive_scale(_part_cut(spark, d)[0]).select("unique_id", F.round("scale", 6).alias("scale"))
+
+
+@query(f"SELECT unique_id, round(croston, 6) AS croston, round(tsb, 6) AS tsb FROM ({_flat_sql(PART_TRAIN)}) f")
+def part_croston_tsb(spark: SparkSession, d: str) -> DataFrame:
+    """Y-02, Y-03 on the part x day panel."""
+    s = demand.series(_part_cut(spark, d)[0])
+    return s.select("unique_id", F.round(demand.croston_sba(F.col("ys")), 6).alias("croston"), F.round(demand.tsb(F.col("ys")), 6).alias("tsb"))
+
+
+@query(_accuracy_sql(TRAIN, TEST, SNAIVE, SCALE))
+def accuracy_methods(spark: SparkSession, d: str) -> DataFrame:
+    """A-18, J-07: all closed methods."""
+    train, test = _cut(spark, d)
+    return evaluate.score(demand.forecast(train, HORIZON), test, evaluate.naive_scale(train))
+
+
+@query(_accuracy_sql(PART_TRAIN, PART_TEST, SNAIVE.replace(V.PANEL, PART_PANEL), SCALE.replace(V.PANEL, PART_PANEL)))
+def part_accuracy_methods(spark: SparkSession, d: str) -> DataFrame:
+    """A-18, J-07 on the part x day panel: all closed methods."""
+    train, test = _part_cut(spark, d)
+    return evaluate.score(demand.forecast(train, HORIZON), test, evaluate.naive_scale(train))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
