@@ -194,13 +194,20 @@ def shop_baseline(ledger: DataFrame, by: Column) -> DataFrame:
     return ledger.groupBy(by.alias("grp")).agg(F.sum("demand").alias("demand"), F.sum("sold").alias("sold"), F.sum("lost").alias("lost"), F.round(F.avg("closing"), 6).alias("avg_on_hand"), F.round(F.try_divide(F.sum("sold"), F.sum("demand")), 6).alias("fill_rate"))
 
 
-def run_policy(forecasts: DataFrame, train: DataFrame, test: DataFrame, lead: int = LEAD, z: float = SERVICE_Z) -> DataFrame:
-    """(method, fill_rate, avg_on_hand) of stock kept by each method's forecasts over their horizon."""
+def run_policy(forecasts: DataFrame, train: DataFrame, test: DataFrame, lead: int = LEAD, z: float = SERVICE_Z, q90: DataFrame | None = None) -> DataFrame:
+    """(method, fill_rate, avg_on_hand) of stock kept by each method's forecasts over their horizon.
+
+    The safety stock is z deviations over the lead time; with q90 (unique_id, ds, q90) it is what the quantiles of the lead
+    time add to the forecasts, 0 at least.
+    """
     sigma = train.groupBy("unique_id").agg(F.stddev_pop("y").alias("sigma"))
     f = forecasts.join(test.select("unique_id", "ds", F.col("y").cast("double").alias("want")), ["unique_id", "ds"], "left")
-    f = f.groupBy("method", "unique_id").agg(F.array_sort(F.collect_list(F.struct("ds", F.greatest(F.lit(0.0), F.col("yhat")).alias("p"), F.coalesce("want", F.lit(0.0)).alias("want")))).alias("s")).join(sigma, "unique_id")
+    f = f.withColumn("q90", F.lit(0.0)) if q90 is None else f.join(q90.select("unique_id", "ds", "q90"), ["unique_id", "ds"], "left")
+    f = f.groupBy("method", "unique_id").agg(F.array_sort(F.collect_list(F.struct("ds", F.greatest(F.lit(0.0), F.col("yhat")).alias("p"), F.coalesce("want", F.lit(0.0)).alias("want"), F.coalesce("q90", F.lit(0.0)).alias("q90")))).alias("s")).join(sigma, "unique_id")
     total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
-    f = f.withColumn("reorder", total(F.slice(F.col("s.p"), 1, lead)) + z * F.col("sigma") * math.sqrt(lead))
+    expected = total(F.slice(F.col("s.p"), 1, lead))
+    safety = z * F.col("sigma") * math.sqrt(lead) if q90 is None else F.greatest(F.lit(0.0), total(F.slice(F.col("s.q90"), 1, lead)) - expected)
+    f = f.withColumn("reorder", expected + safety)
     f = f.withColumn("up_to", F.greatest(F.col("reorder") + total(F.col("s.p")) / F.size("s") * 7, F.col("reorder") + 1))
     start = F.struct(F.col("up_to").alias("stock"), F.lit(-1).alias("due"), F.lit(0.0).alias("qty"), F.lit(0).alias("t"), F.lit(0.0).alias("served"), F.lit(0.0).alias("wanted"), F.lit(0.0).alias("held"))
 

@@ -25,6 +25,11 @@ def verify_words(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy(normalise(F.col("gold")).alias("word")).agg(F.count(F.lit(1)).alias("files"), F.count_if(normalise(F.col("pred")) == normalise(F.col("gold"))).alias("survived"))
 
 
+def verified_files(predictions: DataFrame) -> DataFrame:
+    """(word, id) of the images that stay: the word's list of files, one row a file, as one word can have very many."""
+    return predictions.select(normalise(F.col("gold")).alias("word"), "id").where(normalise(F.col("pred")) == normalise(F.col("gold")))
+
+
 def fixed_geometry_roles(boxes: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc_id, role, n): boxes by the band that their centre falls into, for documents whose columns stand where the
     first form has them."""
@@ -40,7 +45,7 @@ def majority_roles(placed: DataFrame, by: list[str]) -> DataFrame:
 
 
 def layout_benchmark(assigned: DataFrame, truth: DataFrame, grid: DataFrame) -> DataFrame:
-    """(layout, n_docs, correct): documents whose discovered qty, harga and jumlah columns hold mostly that role's boxes.
+    """(layout, n_items, n_docs, correct), by layout, by number of items and overall (the others null): documents whose discovered qty, harga and jumlah columns hold mostly that role's boxes.
 
     truth: (doc_id, box_idx, role, row, layout); a column made by splitting counts off stands for the one it came from.
     """
@@ -52,7 +57,10 @@ def layout_benchmark(assigned: DataFrame, truth: DataFrame, grid: DataFrame) ->
     picked = picked.select("doc_id", "role", col.alias("col_id"))
     judged = wanted.join(picked, ["doc_id", "role"], "left").join(best, ["doc_id", "col_id"], "left")
     docs = judged.groupBy("doc_id", "layout").agg(F.bool_and(F.coalesce(F.col("got") == F.col("role"), F.lit(False))).alias("ok"))
-    return docs.groupBy("layout").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("ok").alias("correct"))
+    items = truth.where("row > 0 AND role NOT LIKE 'total%'").groupBy("doc_id").agg(F.count_distinct("row").alias("n_items"))
+    docs = docs.join(items, "doc_id", "left").withColumn("n_items", F.coalesce("n_items", F.lit(0)))
+    sets = docs.groupingSets([["layout"], ["n_items"], []], "layout", "n_items")
+    return sets.agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("ok").alias("correct"))
 
 
 def naive_scale(train: DataFrame) -> DataFrame:

@@ -246,10 +246,16 @@ NORM = "regexp_replace(lower({}), '[^0-9a-z]', '', 'g')"
 
 @query(f"SELECT {NORM.format('gold')} AS word, count(*) AS files, count(*) FILTER ({NORM.format('gold')} = {NORM.format('pred')}) AS survived FROM ({V.PREDICTIONS}) p GROUP BY 1")
 def verify_gate(spark: SparkSession, d: str) -> DataFrame:
-    """G-17, A-27, A-29."""
+    """G-17, A-27."""
     return evaluate.verify_words(V.view(spark, d, V.PREDICTIONS))
 
 
+@query(f"SELECT {NORM.format('gold')} AS word, id FROM ({V.PREDICTIONS}) p WHERE {NORM.format('gold')} = {NORM.format('pred')}")
+def verified_files(spark: SparkSession, d: str) -> DataFrame:
+    """A-29."""
+    return evaluate.verified_files(V.view(spark, d, V.PREDICTIONS))
+
+
 # --- receipts -----------------------------------------------------------------------------------------------------
 
 
@@ -516,11 +522,17 @@ def fc_tsb(spark: SparkSession, d: str) -> DataFrame:
     return s.select("unique_id", F.round(demand.tsb(F.col("ys")), 6).alias("yhat"))
 
 
+def _all_forecasts(train: DataFrame) -> DataFrame:
+    """The closed methods, AutoETS and the medians of the empirical quantiles."""
+    medians = demand.empirical_quantiles(train, HORIZON).select("unique_id", "ds", F.lit("Quantiles").alias("method"), F.col("q50").alias("yhat"))
+    return demand.forecast(train, HORIZON).unionByName(demand.auto_ets(train, HORIZON)).unionByName(medians)
+
+
 @query()
 def fc_wide(spark: SparkSession, d: str) -> DataFrame:
     """J-06, M23: classical forecasts in columns, outer-joined with the quantiles."""
     train = _cut(spark, d)[0]
-    return demand.forecast_wide(demand.forecast(train, HORIZON)).join(demand.empirical_quantiles(train, HORIZON), ["unique_id", "ds"], "outer")
+    return demand.forecast_wide(_all_forecasts(train).where("method <> 'Quantiles'"), ("SeasonalNaive", "CrostonSBA", "TSB", "AutoETS")).join(demand.empirical_quantiles(train, HORIZON), ["unique_id", "ds"], "outer")
 
 
 @query(f"""
@@ -538,7 +550,7 @@ def accuracy_by_quadrant(spark: SparkSession, d: str) -> DataFrame:
     """A-19, J-08, T-10."""
     train, test = _cut(spark, d)
     named = test.join(demand.quadrants(_panel(spark, d)).select("unique_id", "quadrant"), "unique_id")
-    scored = evaluate.score(demand.forecast(train, HORIZON).join(named.select("unique_id", "quadrant").distinct(), "unique_id"), test, evaluate.naive_scale(train), ["quadrant"])
+    scored = evaluate.score(_all_forecasts(train).join(named.select("unique_id", "quadrant").distinct(), "unique_id"), test, evaluate.naive_scale(train), ["quadrant"])
     return scored.groupBy("method").pivot("quadrant", ["smooth", "erratic", "intermittent", "lumpy", "slow"]).agg(F.first("mase"))
 
 
@@ -580,7 +592,9 @@ def shop_purchases(spark: SparkSession, d: str) -> DataFrame:
 def policy_outcome(spark: SparkSession, d: str) -> DataFrame:
     """W-07, A-24, A-28."""
     train, test = _cut(spark, d)
-    return demand.run_policy(demand.forecast(train, HORIZON), train, test)
+    forecasts, q90 = _all_forecasts(train), demand.empirical_quantiles(train, HORIZON)
+    by_q90 = forecasts.where("method = 'Quantiles'").withColumn("method", F.lit("Quantiles (q90)"))
+    return demand.run_policy(forecasts, train, test).unionByName(demand.run_policy(by_q90, train, test, q90=q90))
 
 
 @query()
@@ -785,6 +799,14 @@ def part_croston_tsb(spark: SparkSession, d: str) -> DataFrame:
     return s.select("unique_id", F.round(demand.croston_sba(F.col("ys")), 6).alias("croston"), F.round(demand.tsb(F.col("ys")), 6).alias("tsb"))
 
 
+@query(f"SELECT unique_id, round(croston, 6) AS croston, round(tsb, 6) AS tsb FROM ({_flat_sql(f'SELECT unique_id, ds, sold AS y FROM ({LEDGER}) g WHERE ds <= (SELECT max(ds) - {HOLDOUT} FROM ({DENSE}) m)')}) f")
+def fc_on_sold(spark: SparkSession, d: str) -> DataFrame:
+    """Y-11: forecasts on what the ledger sold, not on demand."""
+    sold = demand.simulate_shop(_panel(spark, d)).select("unique_id", "ds", F.col("sold").alias("y"))
+    s = demand.series(demand.time_cut(sold, HOLDOUT)[0])
+    return s.select("unique_id", F.round(demand.croston_sba(F.col("ys")), 6).alias("croston"), F.round(demand.tsb(F.col("ys")), 6).alias("tsb"))
+
+
 @query(_accuracy_sql(TRAIN, TEST, SNAIVE, SCALE))
 def accuracy_methods(spark: SparkSession, d: str) -> DataFrame:
     """A-18, J-07: all closed methods."""
