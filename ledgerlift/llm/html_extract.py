@@ -25,9 +25,12 @@ from ledgerlift.llm.common import carried_id
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template head title svg math iframe object select option textarea button canvas audio video".split())
 BLOCK = frozenset("address article aside blockquote body br dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+ALWAYS_HIDDEN = frozenset("script style title head option textarea".split())  # the others only if their end tag comes
+HEAD_ONLY = frozenset("base basefont bgsound link meta title noscript noframes style script template head".split())
 BOILER_TAGS = frozenset("nav footer aside form menu dialog header".split())
 CONTENT_TAGS = frozenset("article main".split())
 CLOSED_BY = {"p": frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"])}
+CLOSED_BY |= {"option": BLOCK | {"option", "optgroup"}, "optgroup": BLOCK | {"optgroup"}, "select": BLOCK | {"select", "input", "textarea"}}
 BOILER_WORDS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|comment-?list|respond|replies|cookies?|consent|copyright|disclaimer|disqus|footer|header|masthead|menu|modal|nav\w*|newsletter|notice\w*|pagination|pager|popup|promo\w*|related|recommend\w*|share|sharing|sidebar|skip|social|sponsor\w*|subscribe|subscription|tags?|toolbar|widget|gdpr|login|signup|search)(?:$|[\s_-])", re.IGNORECASE)
 CONTENT_WORDS = re.compile(r"(?:^|[\s_-])(?:article|content|entry|main|post|story|body|text)(?:$|[\s_-])", re.IGNORECASE)
 LAYOUT_WORDS = re.compile(r"(?:^|(?<=[\s_-]))(?:with|has|no|without)[_-]\w+", re.IGNORECASE)  # with-sidebar says nothing of the block
@@ -49,11 +52,30 @@ class Block:
         return sum(WEIGHTS[name] * value for name, value in self.features.items())
 
 
+class _Unclosed(HTMLParser):
+    """The places, among all start tags, of hidden elements whose end tag never comes."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.seen = 0
+        self.left: dict[str, list[int]] = {}
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.seen += 1
+        if tag in HIDDEN:
+            self.left.setdefault(tag, []).append(self.seen)
+
+    def handle_endtag(self, tag: str) -> None:
+        if self.left.get(tag):
+            self.left[tag].pop()
+
+
 class _Blocks(HTMLParser):
     """Cuts a page into blocks; unclosed and misnested elements are closed as far as their ancestors say."""
 
-    def __init__(self) -> None:
+    def __init__(self, unclosed: frozenset[int] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
+        self.unclosed, self.seen = unclosed, 0
         self.open: list[tuple[str, int, int, bool, bool, bool]] = []  # tag, id, boilerplate, content, content word, hidden
         self.blocks: list[Block] = []
         self.parts: list[str] = []
@@ -72,6 +94,10 @@ class _Blocks(HTMLParser):
         self.parts, self.linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.seen += 1
+        inner = self.open[-1][0] if self.open else ""
+        if tag == "body" or inner == "head" and tag not in HEAD_ONLY:
+            self._end_head()
         while self.open and tag in CLOSED_BY.get(self.open[-1][0], ()):
             self._close()
         if tag in BLOCK:
@@ -94,10 +120,17 @@ class _Blocks(HTMLParser):
         boiler_tag = tag in BOILER_TAGS and not (tag == "header" and inside) or names.get("role", "").lower() in BOILER_ROLES
         boiler = boiler_tag + 2 * bool(named and BOILER_WORDS.search(label) and tag not in ("html", "body", "article", "main"))
         self.count += 1
-        hidden = tag in HIDDEN or "hidden" in names or "display:none" in names.get("style", "").replace(" ", "").lower() or names.get("aria-hidden") == "true"
+        hidden = tag in HIDDEN and (tag in ALWAYS_HIDDEN or self.seen not in self.unclosed) or "hidden" in names or "display:none" in names.get("style", "").replace(" ", "").lower() or names.get("aria-hidden") == "true"
         self.open.append((tag, self.count, boiler | (self.open[-1][2] if self.open else 0), tag in CONTENT_TAGS or names.get("role", "").lower() in ("main", "article"), bool(named and CONTENT_WORDS.search(label)), hidden or bool(self.open and self.open[-1][5])))
         self.in_link += tag == "a"
 
+    def _end_head(self) -> None:
+        """The end tag of a head may be left out."""
+        tags = [e[0] for e in self.open]
+        if "head" in tags and "template" not in tags:
+            while len(self.open) > tags.index("head"):
+                self._close()
+
     def _close(self) -> None:
         tag = self.open[-1][0]
         if tag in BLOCK:
@@ -114,6 +147,8 @@ class _Blocks(HTMLParser):
             self._close()
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and data.strip():
+            self._end_head()
         if self.open and self.open[-1][5]:
             return
         self.parts.append(data)
@@ -125,7 +160,13 @@ class _Blocks(HTMLParser):
 
 
 def blocks_of(html: str) -> list[Block]:
-    parser = _Blocks()
+    lower, unclosed = html.lower(), frozenset()
+    if any(lower.count("<" + tag) > lower.count("</" + tag) for tag in HIDDEN - ALWAYS_HIDDEN):
+        ends = _Unclosed()
+        ends.feed(html)
+        ends.close()
+        unclosed = frozenset(at for places in ends.left.values() for at in places)
+    parser = _Blocks(unclosed)
     parser.feed(html)
     parser.close()
     while parser.open:

@@ -156,6 +156,23 @@ def test_html_extract(spark):
     assert html_extract.extract_pages(df.limit(0)).count() == 0
 
 
+TEXT = "A long enough sentence of the article stands here to be kept. Another one follows it at once."
+
+
+@pytest.mark.parametrize("before", [
+    "<html><head><title>T</title><meta charset=utf-8><body>", "<head><title>T</title><style>p{}</style>", "<head><noscript><link rel=x></noscript><body>", "<head><noscript><body>",
+    "<html><head><title>T</title></head><body><select><option>One<option>Two", "<body><select><optgroup label=x><option>One", "<body><object data=x>", "<body><canvas>", "<body><noscript>", "<body><noscript><p>", "<body><button>", "<body><video src=x>",
+])
+def test_open_hidden_elements_do_not_hide_the_article(before):
+    assert TEXT in html_extract.main_text(f"{before}<article><p>{TEXT}</p></article></body></html>")
+
+
+def test_closed_hidden_elements_stay_hidden():
+    for tag in ("noscript", "object", "canvas", "select", "button", "video", "template"):
+        got = html_extract.main_text(f"<head><title>T</title><body><article><p>{TEXT}</p><{tag}>Some words that are not shown at all.</{tag}><p>{TEXT}</p></article>")
+        assert got == f"{TEXT} {TEXT}", tag
+
+
 def test_pages_of_the_tables(spark):
     import html
     import re
