@@ -28,10 +28,11 @@ KINDS = ("assign", "access", "hex", "jwt", "pem", "der", "ssh")
 SSH_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
 
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
-JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{14,})\.([A-Za-z0-9_-]{3,})\.([A-Za-z0-9_-]*))")  # {"alg":""} has 14 digits, {} has 3
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-LONG_HEX = re.compile(r"(?:[0-9a-f]{2}){32,}|(?:[0-9A-F]{2}){32,}")
+NEXT_LINE = re.compile(r"[\x20\t]*\r?\n[\x20\t]*([A-Za-z0-9+/_-]+)(={0,2})")
+LONG_HEX = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
 
 
 def decoded(run: str) -> bytes | None:
@@ -89,6 +90,33 @@ def is_signed_token(header: str, payload: str) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
 
 
+def starts(run: str, least: int, first: tuple[str, ...]) -> Iterator[int]:
+    """0, and places after a '_', '-' or '/' from which `least` digits are left and the digits start like `first`."""
+    yield 0
+    for m in re.finditer("[_/-]", run):
+        if len(run) - m.end() >= least and run.startswith(first, m.end()):
+            yield m.end()
+
+
+#: How base64 of what `key_kind` takes starts, and of a JSON object, which may begin with white space.
+KEY_STARTS, JSON_STARTS = ("M", "AAAA", "b3BlbnNz"), ("e", "I", "C", "D")
+
+
+def wrapped_runs(text: str, m: re.Match) -> Iterator[tuple[str, int]]:
+    """(joined digits, end) of a base64 run and the lines of it that follow: lines of one width, then one that may be shorter."""
+    ends, parts, width = [m.end()], [m[0]], 0
+    while not parts[-1].endswith("=") and (n := NEXT_LINE.match(text, ends[-1])):
+        if width and len(n[1]) > width:
+            break
+        ends.append(n.end())
+        parts.append(n[1] + n[2])
+        if width and len(n[1]) < width:
+            break
+        width = len(n[1])
+    for lines in range(len(parts), max(1, len(parts) - 2), -1):
+        yield "".join(parts[:lines]), ends[lines - 1]
+
+
 def base_spans(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of the pattern matches, in code points, end exclusive."""
     found = []
@@ -104,8 +132,11 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 def structural_spans(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of candidates whose decoded structure confirms a key or a signed token."""
     found = []
-    if "eyJ" in text:
-        found += [(m.start(), "jwt", m.end()) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
+    if text.count(".") > 1:
+        for m in JWT.finditer(text):
+            at = next((at for at in starts(m[1], 14, JSON_STARTS) if is_signed_token(m[1][at:], m[2])), None)
+            if at is not None:
+                found.append((m.start() + at, "jwt", m.end(3)))
     blocks = []
     if "-----BEGIN" in text:
         for m in PEM.finditer(text):
@@ -113,13 +144,22 @@ def structural_spans(text: str) -> list[tuple[int, str, int]]:
             if data and (key_kind(data) or (data[:1] == b"\x30" and der_items(data))):
                 found.append((m.start(), "pem", m.end()))
                 blocks.append(m.span())
+    for m in BASE64.finditer(text):
+        if any(a <= m.start() < b for a, b in blocks):
+            continue
+        tries = ((at, key_kind(decoded(run[at:]) or b""), end) for run, end in wrapped_runs(text, m) for at in starts(m[0], 4, KEY_STARTS))
+        if hit := next((t for t in tries if t[1]), None):
+            found.append((m.start() + hit[0], hit[1], hit[2]))
+            blocks.append((m.start(), hit[2]))
     for pattern, decode in ((BASE64, decoded), (LONG_HEX, bytes.fromhex)):
         for m in pattern.finditer(text):
             if any(a <= m.start() < b for a, b in blocks):
                 continue
-            data = decode(m[0])
-            if data and (kind := key_kind(data)):
-                found.append((m.start(), kind, m.end()))
+            for at in starts(m[0], 40, KEY_STARTS):
+                data = decode(m[0][at:])
+                if data and (kind := key_kind(data)):
+                    found.append((m.start() + at, kind, m.end()))
+                    break
     return found
 
 

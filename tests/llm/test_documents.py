@@ -246,3 +246,32 @@ def test_toxicity(spark, docs, no_docs):
     assert all(0 <= r["severity"] <= 2 for r in got)
     assert toxicity.score_toxicity(docs, model).where("toxic IS NULL").count() == 0 and toxicity.score_toxicity(no_docs, model).count() == 0
     assert toxicity.fit([], []).signal("x") == 0
+
+
+def _der(n):
+    return b"\x30" + bytes([n + 6]) + b"\x02\x01\x00\x04" + bytes([n + 1]) + bytes(range(1, n + 2))
+
+
+@pytest.mark.parametrize("width", [64, 76])
+def test_wrapped_keys_are_found(width):
+    import base64
+
+    run = base64.b64encode(_der(100)).decode()
+    lines = "\n".join(run[i : i + width] for i in range(0, len(run), width))
+    text = f"before\n{lines}\nafter it"
+    assert (7, "der", 7 + len(lines)) in secret_scan.structural_spans(text)
+    assert lines[:30] not in secret_scan.redacted(text) and secret_scan.redacted(text).endswith("after it")
+
+
+def test_glued_keys_hex_keys_and_spaced_headers_are_found():
+    import base64
+
+    run = base64.b64encode(_der(48)).decode().rstrip("=")
+    assert [s[:2] for s in secret_scan.structural_spans(f"my_{run}") if s[1] == "der"] == [(3, "der")]
+    short = _der(18).hex()  # 26 bytes
+    mixed = short[:20].upper() + short[20:]
+    for digits in (short, mixed):
+        assert (2, "der", 2 + len(digits)) in secret_scan.structural_spans(f"k {digits} .")
+    part = lambda s: base64.urlsafe_b64encode(s.encode()).decode().rstrip("=")
+    token = part('\n {"alg":"HS256"}') + "." + part('{"a":1}') + ".c2ln"
+    assert (2, "jwt", 2 + len(token)) in secret_scan.structural_spans(f"t {token}")
