@@ -182,6 +182,85 @@ def test_pages_of_the_tables(spark):
         assert r["text"] == " ".join(html.unescape(re.sub("<[^>]*>", " ", article)).split())
 
 
+def table_pages():
+    import pandas as pd
+
+    return pd.read_parquet("/root/testdata/sf0.01/pages.parquet")["html"].tolist()
+
+
+def fitted(pages):
+    found = [html_extract.evidence(html_extract.parsed(p)) for p in pages]
+    return html_extract.fit_blocks(np.vstack([r for r, _ in found]), [sum(each) for each in zip(*(n for _, n in found), strict=True)])
+
+
+def test_the_cut_changes_labels_and_is_right_where_shapes_are_not(spark):
+    pages, right, alone, all_, changed = table_pages(), 0, 0, 0, 0
+    model = html_extract.fit_pages(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    for text in pages:
+        page = html_extract.parsed(text)
+        truth = [b.landmark >= 0 and page.landmarks[b.landmark] == html_extract.CONTENT for b in page.blocks]
+        shapes, cut = [c > 0 for c in html_extract.shape_costs(page, model)], html_extract.labelled(page, model)
+        right, alone, all_ = right + sum(a == b for a, b in zip(truth, cut, strict=True)), alone + sum(a == b for a, b in zip(truth, shapes, strict=True)), all_ + len(truth)
+        changed += sum(a != b for a, b in zip(shapes, cut, strict=True))
+    assert right == all_ and changed > 50 and alone < all_ - 50
+
+
+def test_edges_recover_short_lines_without_any_names():
+    """Pages of plain divs: nothing but shapes and neighbours tells the article from the menu."""
+    rng, model = np.random.default_rng(2), fitted(table_pages()[:120])
+    words = lambda n: " ".join(rng.choice(["stone", "river", "under", "the", "of", "walked"], n))
+    right = {True: 0, False: 0}
+    for _ in range(40):
+        article, menu = [], [f'<div><a href="/x">{words(2)}</a></div>' for _ in range(5)]
+        for _ in range(8):
+            article.append(f"{words(30).capitalize()}, and so on, {words(8)}." if rng.random() < 0.6 else f"{words(2)} {rng.integers(2000)}")
+        page = html_extract.parsed(f"<body><div>{''.join(menu)}</div><div>{''.join(f'<div>{a}</div>' for a in article)}</div></body>")
+        truth = [False] * 5 + [True] * 8
+        costs = html_extract.shape_costs(page, model)
+        for edges in (True, False):
+            got = html_extract.minimum_cut(costs, html_extract.smoothness_edges(page, model) if edges else [])
+            right[edges] += sum(a == b for a, b in zip(truth, got, strict=True))
+    assert right[True] > right[False] + 15 and right[True] > 0.9 * 40 * 13
+
+
+def test_fit_is_bounded_and_falls_back(spark):
+    rows, pairs = html_extract.evidence(html_extract.parsed(PAGE * 30), 40)
+    assert len(rows) <= 40 and set(rows[:, 0]) == {0.0, 1.0} and len(pairs) == 6
+    assert html_extract.fit_blocks(np.empty((0, 15)), [0] * 6).weights == html_extract.DEFAULT.weights
+    empty = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert html_extract.fit_pages(empty).weights == html_extract.DEFAULT.weights
+
+
+@pytest.mark.parametrize(("markup", "want"), [
+    ("<![foo[x]]>", ""), ("<![CDATA[x]]>", "]>"), ("<![ x", None), ("<!", None), ("<!-- never closed", None), ("<!-->", ""), ("<!--->", ""), ("<!-- a -- > b -->", ""), ("<!doctype", None), ("<?php x", None), ("</", None), ("</>", ""), ("<a href='", None), ("<![endif]-->", ""), ("<!ELEMENT x>", ""),
+])
+def test_malformed_markup(markup, want):
+    """A comment up to the next '>'; what the page ends in is dropped."""
+    if want is None:
+        assert html_extract.main_text(f"<article><p>{TEXT} {markup}") == TEXT
+    else:
+        assert html_extract.main_text(f"<article><p>{TEXT}{markup} More of it.</p></article>") == f"{TEXT}{want} More of it."
+
+
+def test_any_markup_is_taken():
+    rng = np.random.default_rng(4)
+    parts = ["<", ">", "!", "[", "]", "--", "/", "p", "article", "script", "&", "#", ";", " ", '"', "'", "=", "x", "?", "<p>", "</p>", "<!--", "-->", "<![", "<table>", "<li>", "<head>", "<svg>", "\0"]
+    for _ in range(3000):
+        html_extract.main_text("".join(rng.choice(parts, rng.integers(1, 25))))
+
+
+@pytest.mark.parametrize("page", [
+    "<body>" + "".join(f"<p>{'word ' * (i % 17)} x{i}" for i in range(20_000)), "<div>" * 20_000 + "deep", "".join(f"<div>{'some text ' * (i % 13)}" for i in range(20_000)), "<p><li>" + "<b>" * 20_000 + "<div>x</div>" * 20_000,
+    "<!--" * 20_000, "<a " * 20_000, '<a href="' * 20_000, "</" * 20_000, "<article>" + "<p>a<div class=ad>b" * 10_000,
+], ids=["blocks", "nested", "nested text", "inline", "comments", "tags", "quotes", "ends", "landmarks"])
+def test_long_and_deep_pages_take_seconds(page):
+    import time
+
+    began = time.time()
+    html_extract.main_text(page)
+    assert time.time() - began < 20
+
+
 def test_pipeline(spark):
     import corpus_pipeline as P
 
