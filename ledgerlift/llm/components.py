@@ -34,3 +34,15 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle within {max_rounds} rounds")
     return labels
+
+
+def ties_by_id(members: DataFrame, id_col: str, key_col: str, classes: DataFrame) -> DataFrame:
+    """(a, b): pairs of `classes` (key_col, cls) that are tied because one id of `members` (id_col, key_col) is in both.
+
+    Each id ties its other classes to the one of the smallest key, so a hot id gives no more pairs than it has classes.
+    """
+    first = members.groupBy(id_col).agg(F.min(key_col).alias("_first"), F.max(key_col).alias("_last")).where("_first <> _last").drop("_last")
+    pairs = members.select(id_col, key_col).join(first, id_col).where(F.col(key_col) != F.col("_first")).select("_first", key_col).distinct()
+    one = classes.select(F.col(key_col).alias("_first"), F.col("cls").alias("a"))
+    two = classes.select(key_col, F.col("cls").alias("b"))
+    return cut_lineage(pairs.join(one, "_first").join(two, key_col).select("a", "b"))

@@ -8,6 +8,7 @@ that is filed there. Comparisons run as matrix products over tiles of a cell; pa
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
 from collections.abc import Iterator
@@ -19,10 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import cut_lineage, groups
-from ledgerlift.llm.components import connected_components
+from ledgerlift.llm.components import connected_components, ties_by_id
 
 THRESHOLD = 0.98
-SAMPLE_ROWS, ROWS_PER_CELL, MOST_CENTROIDS, TILE = 8192, 64, 512, 512
+SAMPLE_ROWS, ROWS_PER_CELL, MOST_CENTROIDS, TILE = 16_384, 64, 2048, 512
+SALTS = 8  # into how many parts the join of a cell's members with the cell's size is dealt
 
 
 @dataclass(frozen=True)
@@ -106,6 +108,11 @@ def unit_vectors(vectors: list) -> tuple[np.ndarray, np.ndarray]:
     return usable, rows
 
 
+def _key(label: str, vector: bytes) -> bytes:
+    named = label.encode("utf-8", "surrogatepass")
+    return hashlib.blake2b(len(named).to_bytes(8) + named + vector, digest_size=16).digest()
+
+
 def _copies(index: MultiIndex, x: np.ndarray, rows: float, tile: int) -> float:
     """About how many copies of a vector go to tiles, for a label of `rows` rows that are spread as x is."""
     one, two = index.detours(x)
@@ -142,10 +149,10 @@ def fit_index(vectors: list, labels: list, rows: int, threshold: float = THRESHO
 
 
 def _compare(batches: Iterator[pd.DataFrame], wire: type, threshold: float) -> Iterator[pd.DataFrame]:
-    """(vec_id, links, root) for members of a tile with a link there.
+    """(cls, links, root) for classes of a tile with a link there; links counts vectors, not classes.
 
-    A tile holds filed vectors (query false) and visitors (query true), or vectors that meet one another (query null).
-    No two vectors meet in more than one tile, so each link found counts for both its ends.
+    A tile holds filed classes (query false) and visitors (query true), or classes that meet one another (query null).
+    No two classes meet in more than one tile, so each link found counts for both its ends.
     """
     for tile in groups(batches, "tile"):
         query = tile["query"]
@@ -153,7 +160,7 @@ def _compare(batches: Iterator[pd.DataFrame], wire: type, threshold: float) -> I
         visitors, filed = np.flatnonzero(among | (query == True).to_numpy(dtype=bool)), np.flatnonzero(among | (query == False).to_numpy(dtype=bool))  # noqa: E712
         if not len(visitors) or not len(filed):
             continue
-        ids = tile["vec_id"].to_numpy()
+        ids, rows = tile["cls"].to_numpy(), tile["n"].to_numpy()
         vectors = np.frombuffer(b"".join(tile["vector"]), wire).reshape(len(tile), -1).astype(np.float64)
         vectors /= np.abs(vectors).max(1, keepdims=True)
         vectors /= np.sqrt((vectors * vectors).sum(1, keepdims=True))
@@ -165,8 +172,8 @@ def _compare(batches: Iterator[pd.DataFrame], wire: type, threshold: float) -> I
             continue
         names, place = np.unique(ids, return_inverse=True)
         links = np.zeros(len(names), np.int64)
-        np.add.at(links, place[a], 1)
-        np.add.at(links, place[b], 1)
+        np.add.at(links, place[a], rows[b])
+        np.add.at(links, place[b], rows[a])
         label = np.arange(len(names))
         while True:
             low = np.minimum(label[place[a]], label[place[b]])
@@ -177,9 +184,8 @@ def _compare(batches: Iterator[pd.DataFrame], wire: type, threshold: float) -> I
             if (after == label).all():
                 break
             label = after
-        some = np.zeros(len(names), bool)
-        some[place[a]] = some[place[b]] = True
-        yield pd.DataFrame({"vec_id": names[some], "links": links[some], "root": names[label][some]})
+        some = links > 0
+        yield pd.DataFrame({"cls": names[some], "links": links[some], "root": names[label][some]})
 
 
 def near_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", tile: int = TILE) -> DataFrame:
@@ -187,10 +193,13 @@ def near_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
 
     Rows are compared when their labels are equal and not null, and linked at a cosine of at least `threshold` in double
     precision. Null, empty and zero vectors and those with null or non-finite components link with nothing; vectors of
-    another length than most are compared among themselves. Rows that repeat a vec_id never link with one another and
-    share a result. A row without a vec_id links with nothing, has no component and is kept. An empty table gives an empty result; other columns are not looked at.
+    another length than most are compared among themselves. Rows that agree in vec_id, label and vector are one vector and
+    share a result. A vec_id with several vectors or labels has as many vectors: n_links of a row counts what links with
+    its own one, and all of them that are usable are in one component. A row without a vec_id links with nothing, has no
+    component and is kept. An empty table gives an empty result; other columns are not looked at.
 
-    The codebooks are fitted on SAMPLE_ROWS rows picked by a hash of vec_id; every row is filed, and every link found.
+    Equal vectors of a label are one class from the start, so that copies are neither filed nor compared. The codebooks
+    are fitted on SAMPLE_ROWS rows picked by a hash of vec_id; every class is filed, and every link found.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).cast("string").alias("label"))
@@ -200,10 +209,16 @@ def near_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     shared = spark.sparkContext.broadcast(index)
     wire = np.float32 if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else np.float64
 
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            usable, _ = unit_vectors(list(batch["vector"]))
+            wired = [np.array(v, dtype=wire).tobytes() if ok and label is not None else None for v, ok, label in zip(batch["vector"], usable, batch["label"], strict=True)]
+            keys = [None if v is None else _key(label, v) for v, label in zip(wired, batch["label"], strict=True)]
+            yield pd.DataFrame({"vec_id": batch["vec_id"], "label": batch["label"], "key": keys, "vector": wired})
+
     def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            usable, units = unit_vectors(list(batch["vector"]))
-            batch = batch[usable]
+            units = unit_vectors([np.frombuffer(v, wire) for v in batch["vector"]])[1]
             same = np.array([len(u) == shared.value.dims for u in units], bool)
             cells, visits = np.full(len(batch), -1, np.int64), [[]] * len(batch)
             if same.any():
@@ -211,28 +226,41 @@ def near_embeddings(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
                 cells[same] = shared.value.cells(matrix)
                 for i, one, two in zip(np.flatnonzero(same), *shared.value.detours(matrix), strict=True):
                     visits[i] = [at for at in shared.value.visited(one, two) if at > cells[i]]  # the other end of a link does not visit back
-            yield pd.DataFrame({"vec_id": batch["vec_id"], "label": batch["label"], "dims": [len(u) for u in units], "cell": cells, "visits": visits, "vector": [np.array(v, dtype=wire).tobytes() for v in batch["vector"]]})
+            yield batch.assign(dims=[len(u) for u in units], cell=cells, visits=visits)
+
+    encoded = cut_lineage(rows.where("vec_id IS NOT NULL").mapInPandas(encode, "vec_id long, label string, key binary, vector binary"))
+    usable, alone = encoded.where("key IS NOT NULL"), encoded.where("key IS NULL").select("vec_id").unionAll(rows.where("vec_id IS NULL").select("vec_id"))
+    classes = usable.groupBy("label", "key").agg(F.min("vec_id").alias("least"), F.countDistinct("vec_id").alias("n"), F.first("vector").alias("vector"))
+    classes = classes.withColumn("cls", F.monotonically_increasing_id())
+    filed = cut_lineage(classes.mapInPandas(file, "label string, key binary, least long, n long, vector binary, cls long, dims int, cell long, visits array<long>"))
 
-    filed = usable.mapInPandas(file, "vec_id long, label string, dims int, cell long, visits array<long>, vector binary")
-    filed = cut_lineage(filed.dropDuplicates(["vec_id"]))
     cell = ["label", "dims", "at"]
     sizes = filed.groupBy("label", "dims", F.col("cell").alias("at")).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("filed_tiles"))
-    probes = filed.select("vec_id", "label", "dims", "vector", F.explode("visits").alias("at"))
+    own, salt = F.xxhash64("cls", F.lit(3)), F.pmod(F.xxhash64("cls", F.lit(5)), F.lit(SALTS))
+    probes = filed.select("cls", "n", "label", "dims", "vector", F.explode("visits").alias("at"))
     asking = probes.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("query_tiles"))
-    grid = sizes.join(asking, cell)
-    own = F.xxhash64("vec_id", F.lit(3))
-    parts = filed.withColumn("at", F.col("cell")).join(sizes, cell).withColumn("p", F.pmod(own, F.col("filed_tiles")))
+    salted = lambda grid: grid.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    sizes, grid = salted(sizes), salted(sizes.join(asking, cell))
+    here = filed.withColumn("at", F.col("cell")).withColumn("salt", salt)
+    parts = here.join(sizes, [*cell, "salt"]).withColumn("p", F.pmod(own, F.col("filed_tiles")))
     parts = parts.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("filed_tiles") - 1)))
     parts = parts.withColumn("query", F.when(F.col("p") != F.col("o"), F.col("p") > F.col("o"))).withColumn("f", F.least("p", "o")).withColumn("q", -1 - F.greatest("p", "o"))
-    stored = filed.withColumn("at", F.col("cell")).join(grid, cell).withColumn("f", F.pmod(own, F.col("filed_tiles")))
+    stored = here.join(grid, [*cell, "salt"]).withColumn("f", F.pmod(own, F.col("filed_tiles")))
     stored = stored.withColumn("q", F.explode(F.sequence(F.lit(0), F.col("query_tiles") - 1))).withColumn("query", F.lit(False))
-    asked = probes.join(grid, cell).withColumn("q", F.pmod(own, F.col("query_tiles")))
+    asked = probes.withColumn("salt", salt).join(grid, [*cell, "salt"]).withColumn("q", F.pmod(own, F.col("query_tiles")))
     asked = asked.withColumn("f", F.explode(F.sequence(F.lit(0), F.col("filed_tiles") - 1))).withColumn("query", F.lit(True))
-    wanted = ["vec_id", "vector", "query", F.xxhash64(*cell, F.col("f").cast("long"), F.col("q").cast("long")).alias("tile")]
+    wanted = ["cls", "n", "vector", "query", F.xxhash64(*cell, F.col("f").cast("long"), F.col("q").cast("long")).alias("tile")]
     tiles = parts.select(*wanted).unionAll(stored.select(*wanted)).unionAll(asked.select(*wanted)).repartition("tile").sortWithinPartitions("tile")
-    found = cut_lineage(tiles.mapInPandas(lambda it: _compare(it, wire, threshold), "vec_id long, links long, root long"))
-    component = connected_components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "vec_id")
-    links = found.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
-    out = rows.select("vec_id").join(links, "vec_id", "left").join(component, "vec_id", "left")
-    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
+    found = cut_lineage(tiles.mapInPandas(lambda it: _compare(it, wire, threshold), "cls long, links long, root long"))
+
+    known = filed.select("key", "cls", "n", "least")
+    ties = ties_by_id(usable, "vec_id", "key", known)
+    component = connected_components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")).unionAll(ties)).withColumnRenamed("node", "cls")
+    known = known.join(component, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    smallest = known.groupBy("component").agg(F.min("least").alias("component_id"))
+    links = found.groupBy("cls").agg(F.sum("links").alias("links"))
+    known = known.join(smallest, "component").join(links, "cls", "left")
+    known = cut_lineage(known.select("key", "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")))
+    out = usable.select("vec_id", "key").join(known, "key").select("vec_id", "n_links", "component_id")
+    out = out.unionAll(alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

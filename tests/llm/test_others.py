@@ -63,6 +63,20 @@ def test_null_and_large_ids(spark):
         assert {r["page_id"] for r in out.collect()} == {None, big}
 
 
+def test_one_id_on_several_vectors_loses_no_link(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.0], 1), (3, [0.0, 1.0], 1), (4, [1.0, 0.001], 1), (5, [1.0, 1.0], 1), (4, [1.0, 0.0], 2), (6, [1.0, 0.0], 2), (5, None, 1), (2, [1.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = sorted(tuple(r) for r in near_embeddings.near_embeddings(df).collect())
+    assert got == sorted([(1, 2, 1, True), (1, 1, 1, True), (2, 2, 1, False), (2, 2, 1, False), (3, 1, 1, False), (4, 2, 1, False), (4, 1, 1, False), (5, 0, 5, True), (5, 0, 5, True), (6, 1, 1, False)])
+
+
+def test_copies_are_merged(spark):
+    rows = [(i, [1.0, 2.0, 3.0, 4.0], 1) for i in range(3000)] + [(3000 + i, [1.0, 2.0, 3.0, 4.0 + i / 1e4], 1) for i in range(3)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = near_embeddings.near_embeddings(df, tile=4)
+    assert {(r["n_links"], r["component_id"]) for r in got.collect()} == {(3002, 0)}
+
+
 def test_certain_reach_misses_nothing():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 8))
