@@ -5,10 +5,14 @@ of MinHash values meet in a block. There their remaining values are compared a f
 the posterior probability that its similarity reaches the threshold falls below a tolerance; what is left is compared
 exactly. Pairs never leave a block: it returns how many texts each class is linked with and enough links to connect
 them. Large blocks are cut into tiles, so a task never holds more than two tiles whatever a block's size.
+
+Where only the groups are wanted and no counts, each block is first compared with one class of its own, its leader.
+Blocks whose classes all turn out to be connected need nothing more; only what is left of the others is met in tiles.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import cut_lineage, groups, whole_text
-from ledgerlift.llm.components import connected_components
+from ledgerlift.llm.bits import bits_of, marked as _marked
+from ledgerlift.llm.components import connected_components, ties_by_id
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS, STEP, TOLERANCE = 32, 4, 16, 1e-8
@@ -85,10 +90,16 @@ def least_matches(threshold: float, tolerance: float, step: int, total: int) ->
     return tuple(out)
 
 
-def _candidate_pairs(left: np.ndarray, right: np.ndarray | None, band: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of a block that survive the pruning and whose first common band is this one. right: None for left itself."""
+def _candidate_pairs(left: np.ndarray, right: np.ndarray | None, band: int, threshold: float, groups_: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of a block that survive the pruning and whose first common band is this one. right: None for left itself.
+
+    groups_: what group each of left and right is in; pairs within one are left out.
+    """
     other = left if right is None else right
     a, b = np.triu_indices(len(left), 1) if right is None else (x.ravel() for x in np.indices((len(left), len(other))))
+    if groups_ is not None:
+        apart = groups_[0][a] != groups_[1][b]
+        a, b = a[apart], b[apart]
     matches = np.zeros(len(a), np.int16)
     for n, least in enumerate(least_matches(threshold, TOLERANCE, STEP, BANDS * ROWS)):
         part = slice(n * STEP, (n + 1) * STEP)
@@ -141,15 +152,15 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = after
 
 
-def _tiles(members: DataFrame, key: list[str], tile: int) -> DataFrame:
+def _tiles(members: DataFrame, key: list[str], tile: int, more: tuple[str, ...] = ()) -> DataFrame:
     """Members of blocks of at least two, once for each pair of tiles that theirs is part of; `left`: in the first one."""
     sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     cut = members.join(sizes, key).withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("tiles")).cast("int"))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("cls", F.lit(7)), F.col("tiles")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     cut = cut.withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other"))
     block = F.xxhash64(*key, "first", "second")
-    return cut.select("rep", "band", block.alias("block"), (F.col("own") == F.col("first")).alias("left"), (F.col("first") == F.col("second")).alias("alone"))
+    return cut.select("cls", "band", block.alias("block"), (F.col("own") == F.col("first")).alias("left"), (F.col("first") == F.col("second")).alias("alone"), *more)
 
 
 def _survivors(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
@@ -170,18 +181,20 @@ def _partners(block: pd.DataFrame, threshold: float) -> tuple[np.ndarray, np.nda
     """(a, b, all that occur): positions in the block of the pairs that survive."""
     values = np.frombuffer(b"".join(block["signature"]), np.uint32).reshape(len(block), -1)
     band = int(block["band"].iloc[0])
+    within = block["within"].to_numpy()
+    known = (within, within) if (within >= 0).all() else None
     if block["alone"].iloc[0]:
-        a, b = _candidate_pairs(values, None, band, threshold)
+        a, b = _candidate_pairs(values, None, band, threshold, known)
     else:
         left = np.flatnonzero(block["left"].to_numpy())
         right = np.flatnonzero(~block["left"].to_numpy())
-        a, b = _candidate_pairs(values[left], values[right], band, threshold)
+        a, b = _candidate_pairs(values[left], values[right], band, threshold, known and (within[left], within[right]))
         a, b = left[a], right[b]
     return a, b, np.unique(np.concatenate([a, b]))
 
 
 def _verified(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
-    """(rep, links, root) for each member of a block with a link there: how many texts it links with, and to whom."""
+    """(cls, links, root) for each member of a block with a link there: how many texts it links with, and to whom."""
     for block in groups(batches, "block"):
         sets = [np.frombuffer(s, np.uint64) for s in block["grams"]]
         a, b, _ = _partners(block, threshold)
@@ -192,13 +205,137 @@ def _verified(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.
             links = np.zeros(len(block), np.int64)
             np.add.at(links, a, rows[b])
             np.add.at(links, b, rows[a])
-            rep = block["rep"].to_numpy()
-            order = np.argsort(rep, kind="stable")  # roots are smallest reps
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
-            root = rep[order[_roots(len(block), place[a], place[b])[place]]]
+            cls = block["cls"].to_numpy()
+            root = cls[_roots(len(block), a, b)]
             some = links > 0
-            yield pd.DataFrame({"rep": rep[some], "links": links[some], "root": root[some]})
+            yield pd.DataFrame({"cls": cls[some], "links": links[some], "root": root[some]})
+
+
+def _near_leaders(batches: Iterator[pd.DataFrame], threshold: float, column: str) -> Iterator[pd.DataFrame]:
+    """(cls, leader) of the members that stay with their leader, by its signature or, exactly, by its shingles.
+
+    Rows come sorted by `star`, a leader's own before those of its members; only the leader's is held.
+    """
+    limits = least_matches(threshold, TOLERANCE, STEP, BANDS * ROWS)
+    star, own = None, None
+    for batch in batches:
+        found = []
+        for s, leader, cls, value in zip(batch["star"], batch["leader"], batch["cls"], batch[column], strict=True):
+            if cls == leader:
+                star, own = s, np.frombuffer(value, np.uint32 if column == "signature" else np.uint64)
+                continue
+            assert s == star, "a leader comes before its members"
+            if column == "signature":
+                equal = (np.frombuffer(value, np.uint32) == own).reshape(-1, STEP).sum(1).cumsum()
+                stays = all(m >= least for m, least in zip(equal, limits, strict=True))
+            else:
+                stays = bool(_linked([own, np.frombuffer(value, np.uint64)], np.array([0]), np.array([1]), threshold)[0])
+            if stays:
+                found.append((cls, leader))
+        yield pd.DataFrame(found, columns=["cls", "leader"]).astype(np.int64)
+
+
+def _stars(pairs: DataFrame, values: DataFrame, column: str, tile: int) -> DataFrame:
+    """Rows for `_near_leaders`: each pair's member, and its leader once for every about `tile` members of it."""
+    parts = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("parts"))
+    members = pairs.join(parts, "leader").join(values, "cls").withColumn("part", F.pmod(F.xxhash64("cls", F.lit(9)), F.col("parts")).cast("int"))
+    leaders = parts.withColumnRenamed("leader", "cls").join(values, "cls").withColumn("leader", F.col("cls"))
+    leaders = leaders.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    wanted = [F.xxhash64("leader", "part").alias("star"), "leader", "cls", column]
+    rows = members.select(*wanted).unionAll(leaders.select(*wanted))
+    rows = rows.withColumn("late", F.col("cls") != F.col("leader")).repartition("star").sortWithinPartitions("star", "leader", "late")
+    return rows.select("star", "leader", "cls", column)
+
+
+class _Join:
+    """The steps that the counting and the grouping form share."""
+
+    def __init__(self, docs: DataFrame, threshold: float, words: int, id_col: str, text_col: str, tile: int) -> None:
+        self.threshold, self.words, self.tile = threshold, words, tile
+        ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(F.col(text_col)).alias("text"))
+        self.nameless = ids.where("doc_id IS NULL").select("doc_id")
+        self.ids = ids.where("doc_id IS NOT NULL")
+
+        def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                rows = []
+                for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+                    found = shingles(text, words)
+                    rows.append((doc_id, _same(found), signature(found).tobytes()) if len(found) else (doc_id, None, None))
+                yield pd.DataFrame(rows, columns=["doc_id", "same", "signature"])
+
+        self.sketched = cut_lineage(self.ids.mapInPandas(sketch, "doc_id long, same binary, signature binary"))
+        self.full = self.sketched.where("same IS NOT NULL")
+        classes = self.full.groupBy("same").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"), F.first("signature").alias("signature"))
+        self.classes = cut_lineage(classes.withColumn("cls", F.monotonically_increasing_id()))
+        bands = F.array(*[F.xxhash64(F.substring("signature", 4 * ROWS * b + 1, 4 * ROWS)) for b in range(BANDS)])
+        self.members = self.classes.select("cls", F.posexplode(bands).alias("band", "value"))
+
+    def grams(self, wanted: DataFrame) -> DataFrame:
+        """(cls, rows, grams): the shingles of the classes of `wanted` (cls), from the text of one of their rows.
+
+        A bit set of the rows that are asked for lets all other texts out of the shuffle.
+        """
+        words = self.words
+        asked = cut_lineage(self.classes.join(wanted.select("cls").distinct(), "cls").select("cls", "rows", "same", F.col("least").alias("doc_id")))
+        texts = _marked(self.ids, ["doc_id"], bits_of(asked.select("doc_id"), ["doc_id"]), "_asked").where("_asked").select("doc_id", "text")
+
+        def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                found = [shingles(t, words) for t in batch["text"]]
+                own = [_same(f) == bytes(s) for f, s in zip(found, batch["same"], strict=True)]  # an id may have other texts too
+                batch = batch.assign(grams=[f.tobytes() for f in found])[own]
+                yield batch[["cls", "rows", "grams"]]
+
+        found = texts.join(asked, "doc_id").select("cls", "rows", "same", "text").mapInPandas(gather, "cls long, rows long, grams binary")
+        return cut_lineage(found.groupBy("cls").agg(F.first("rows").alias("rows"), F.first("grams").alias("grams")))
+
+    def tiled(self, members: DataFrame) -> DataFrame:
+        """(cls, links, root) of all links within the blocks of `members` (cls, band, value, within).
+
+        within: the group that a class is known to be in; pairs of one group are left out. Below 0 where it is unknown.
+        """
+        threshold = self.threshold
+        met = _tiles(members, ["band", "value"], self.tile, ("within",)).join(self.classes.select("cls", "signature"), "cls")
+        columns = ["cls", "band", "block", "left", "alone", "within", "signature"]
+        met = met.repartition("block").sortWithinPartitions("block").select(*columns)
+        sharp = "cls long, band int, block long, left boolean, alone boolean, within long, signature binary"
+        alive = cut_lineage(met.mapInPandas(lambda it: _survivors(it, threshold), sharp))
+        block = alive.join(self.grams(alive), "cls").repartition("block").sortWithinPartitions("block")
+        block = block.select(*columns, "rows", "grams")
+        return cut_lineage(block.mapInPandas(lambda it: _verified(it, threshold), "cls long, links long, root long"))
+
+    def with_component(self, edges: DataFrame) -> DataFrame:
+        """The classes (same, cls, rows) with class_id, the smallest doc_id of all that `edges` (a, b) and shared ids connect."""
+        ties = ties_by_id(self.full, "doc_id", "same", self.classes)
+        component = connected_components(edges.unionAll(ties)).withColumnRenamed("node", "cls")
+        known = self.classes.select("same", "cls", "rows", "least").join(component, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        smallest = known.groupBy("component").agg(F.min("least").alias("class_id"))
+        return known.join(smallest, "component").select("same", "cls", "rows", "class_id")
+
+    def grouped(self) -> DataFrame:
+        """Links (a, b) that connect what is linked: by leaders first, then by tiles of blocks that are not yet one group."""
+        threshold = self.threshold
+        blocks = self.members.groupBy("band", "value").agg(F.min("cls").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        met = cut_lineage(self.members.join(blocks, ["band", "value"]))
+        pairs = met.where("cls <> leader").select("cls", "leader").distinct()
+        signatures = self.classes.select("cls", "signature")
+        pairs = cut_lineage(_stars(pairs, signatures, "signature", self.tile).mapInPandas(lambda it: _near_leaders(it, threshold, "signature"), "cls long, leader long"))
+        grams = self.grams(pairs.select("cls").unionAll(pairs.select("leader")))
+        links = cut_lineage(_stars(pairs, grams.select("cls", "grams"), "grams", self.tile).mapInPandas(lambda it: _near_leaders(it, threshold, "grams"), "cls long, leader long"))
+        first = links.select(F.col("cls").alias("a"), F.col("leader").alias("b"))
+        component = connected_components(first).withColumnRenamed("node", "cls")
+        rest = met.where("n > 2").join(component, "cls", "left").withColumn("within", F.coalesce("component", "cls"))  # a block of two is settled
+        apart = rest.groupBy("band", "value").agg(F.min("within").alias("low"), F.max("within").alias("high")).where("low < high")
+        rest = cut_lineage(rest.join(apart, ["band", "value"]).select("cls", "band", "value", "within"))
+        if rest.isEmpty():
+            return first
+        more = self.tiled(rest)
+        return first.unionAll(more.select(F.col("cls").alias("a"), F.col("root").alias("b")))
+
+
+def _same(found: np.ndarray) -> bytes:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
 def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
@@ -207,60 +344,43 @@ def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS
     Two rows are linked if the Jaccard similarity of their sets of `words`-word shingles (words are what white space
     separates) is at least `threshold`. n_links counts the linked rows, class_id is the smallest doc_id reachable over
     links, kept whether the row is that one. A text of fewer words is one shingle; null, empty and blank texts have none,
-    link with nothing and are kept. Rows that repeat a doc_id are rows of their own in n_links and all carry that
-    doc_id's class. A row without a doc_id links with nothing, has no class and is kept. An empty table gives an empty result; other columns are not looked at.
+    link with nothing and are kept. Rows that repeat a doc_id, with one text or several, are rows of their own in n_links
+    and all carry that doc_id's class. A row without a doc_id links with nothing, has no class and is kept. An empty table
+    gives an empty result; other columns are not looked at.
 
     Bands of 4 of 128 values miss a pair of similarity 0.8 with a chance of 5 in 100 million, pruning with one of about
     1 in 100 million a step.
     """
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(F.col(text_col)).alias("text"))
-
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                found = shingles(text, words)
-                if len(found):
-                    rows.append((doc_id, xxhash.xxh3_128_digest(found.tobytes()), signature(found).tobytes()))
-                else:
-                    rows.append((doc_id, None, None))
-            yield pd.DataFrame(rows, columns=["doc_id", "same", "signature"])
-
-    nameless = ids.where("doc_id IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    ids = ids.where("doc_id IS NOT NULL")
-    sketched = cut_lineage(ids.mapInPandas(sketch, "doc_id long, same binary, signature binary"))
-    full = sketched.where("same is not null")
-    classes = full.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows"), F.first("signature").alias("signature"))
-    classes = cut_lineage(classes)
-    bands = F.array(*[F.xxhash64(F.substring("signature", 4 * ROWS * b + 1, 4 * ROWS)) for b in range(BANDS)])
-    members = classes.select("rep", F.posexplode(bands).alias("band", "value"))
-    met = _tiles(members, ["band", "value"], tile).join(classes.select("rep", "signature"), "rep")
-
-    sharp = "rep long, band int, block long, left boolean, alone boolean, signature binary"
-    met = met.repartition("block").sortWithinPartitions("block").select("rep", "band", "block", "left", "alone", "signature")
-    alive = cut_lineage(met.mapInPandas(lambda it: _survivors(it, threshold), sharp))
-
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"rep": batch["rep"], "rows": batch["rows"], "grams": [shingles(t, words).tobytes() for t in batch["text"]]})
-
-    wanted = classes.select("rep", "rows").join(alive.select("rep").distinct(), "rep")
-    grams = ids.withColumnRenamed("doc_id", "rep").join(wanted, "rep").select("rep", "rows", "text")
-    grams = grams.mapInPandas(gather, "rep long, rows long, grams binary").dropDuplicates(["rep"])
-    block = alive.join(grams, "rep").repartition("block").sortWithinPartitions("block")
-    block = block.select("rep", "band", "block", "left", "alone", "signature", "rows", "grams")
-    links = cut_lineage(block.mapInPandas(lambda it: _verified(it, threshold), "rep long, links long, root long"))
-
-    component = connected_components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    total = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    known = classes.select("same", "rep", "rows").join(total, "rep", "left").join(component.withColumnRenamed("node", "rep"), "rep", "left")
-    known = known.select("same", F.coalesce("component", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
-    out = full.select("doc_id", "same").join(known, "same").select("doc_id", "class_id", "n_links")
-    empty = sketched.where("same is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return out.union(empty).union(nameless).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+    join = _Join(docs, threshold, words, id_col, text_col, tile)
+    links = join.tiled(join.members.withColumn("within", F.lit(-1).cast("long")))
+    known = join.with_component(links.select(F.col("cls").alias("a"), F.col("root").alias("b")))
+    total = links.groupBy("cls").agg(F.sum("links").alias("links"))
+    known = known.join(total, "cls", "left").select("same", "class_id", (F.coalesce("links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
+    out = join.full.select("doc_id", "same").join(cut_lineage(known), "same").select("doc_id", "class_id", "n_links")
+    alone = join.sketched.where("same IS NULL").select("doc_id").unionAll(join.nameless)
+    out = out.unionAll(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+
+
+def near_copy_groups(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
+    """(doc_id, class_id) for each row of `docs` with a text and an id: the classes of `ngram_join`, without counts.
+
+    A block of n near copies costs n comparisons with its leader instead of all pairs; null and empty texts, repeated
+    ids and empty tables are taken as `ngram_join` takes them.
+    """
+    join = _Join(docs, threshold, words, id_col, text_col, tile)
+    known = join.with_component(join.grouped()).select("same", "class_id")
+    return join.full.select("doc_id", "same").join(cut_lineage(known), "same").select("doc_id", "class_id")
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs`, all columns, with one document of each class of `ngram_join`: the one with the smallest doc_id."""
-    gone = ngram_join(docs, threshold, WORDS, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    """`docs`, all columns, with one document of each class of `ngram_join`: the one with the smallest doc_id.
+
+    Rows without an id, and those with null, empty or blank texts, stay; rows that repeat the smallest doc_id all stay. An
+    empty table gives an empty result. Only rows whose id may be among those that go are shuffled with their text.
+    """
+    gone = near_copy_groups(docs, threshold, WORDS, id_col, text_col).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = cut_lineage(gone)
+    marked = _marked(docs.withColumn("_id", F.col(id_col).cast("long")), ["_id"], bits_of(gone, ["_gone"]), "_maybe")
+    asked = marked.where("_maybe").join(gone, F.col("_id") == F.col("_gone"), "left_anti")
+    return marked.where("NOT _maybe").unionByName(asked).select(*docs.columns)

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from ledgerlift.llm import bpe, exact_dedup, ngram_join, packing, quality, secret_scan, toxicity
+from ledgerlift.llm import bits, bpe, exact_dedup, ngram_join, packing, quality, secret_scan, toxicity
 
 
 def test_exact_dedup(docs, corpus, no_docs):
@@ -26,8 +26,43 @@ def test_exact_dedup(docs, corpus, no_docs):
     left = exact_dedup.drop_copies(docs)
     assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {min(g) for g in groups.values()}
     assert exact_dedup.exact_dedup(no_docs).count() == 0
-    # few buckets only cost hashes
-    assert {tuple(r)[:4] for r in exact_dedup.exact_dedup(docs, bucket_bits=1).collect()} == {tuple(r)[:4] for r in got}
+    # few bits only cost hashes; many groups are joined by a shuffle
+    assert {tuple(r)[:4] for r in exact_dedup.exact_dedup(docs, most_bits=1).collect()} == {tuple(r)[:4] for r in got}
+    for other in (exact_dedup.drop_copies(docs, most_bits=2), exact_dedup.drop_copies(docs, broadcast_groups=0)):
+        assert sorted(other.collect()) == sorted(left.collect())
+    assert len(left.collect()) == len(groups) and exact_dedup.drop_copies(no_docs).count() == 0
+
+
+def test_exact_dedup_shuffles_and_hashes_no_text_in_vain(spark, docs, tmp_path):
+    """The plan over the documents has no shuffle at all: text only passes through."""
+    import io
+    from contextlib import redirect_stdout
+
+    docs.dropDuplicates(["doc_id"]).write.parquet(f"{tmp_path}/docs")
+    left = exact_dedup.drop_copies(spark.read.parquet(f"{tmp_path}/docs"))
+    assert left.count() > 0
+    said = io.StringIO()
+    with redirect_stdout(said):
+        left.explain("formatted")
+    plan = said.getvalue()
+    assert "Scan parquet" in plan and "sha2" in plan and "Exchange hashpartitioning" not in plan and not re.search(r"\) Exchange\b", plan)
+
+
+def test_bit_set_marks_what_is_shared(spark):
+    df = spark.range(5000).selectExpr("id % 3500 AS k")
+    marked = bits.marked(df, ["k"], exact_dedup.occupied(df, ["k"]), "hit")
+    got = {r["k"]: r["hit"] for r in marked.distinct().collect()}
+    assert all(got[k] for k in range(1500)) and sum(got.values()) < 1500 + 200
+    small = bits.marked(df, ["k"], exact_dedup.occupied(df, ["k"], 3), "hit")
+    assert small.where("k < 1500 AND NOT hit").count() == 0
+
+
+def test_drop_copies_keeps_one_of_repeated_rows(spark):
+    rows = [(5, "a b", 1), (5, "a  b", 2), (5, "other", 3), (9, "a b", 4), (None, "n", 5), (None, "n", 6), (None, "other", 7), (7, None, 8), (8, "", 9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, _n int").withColumnRenamed("_n", "keep_id")
+    got = exact_dedup.drop_copies(df).collect()
+    assert sorted((r["doc_id"], re.sub(" +", " ", r["text"] or "")) for r in got if r["doc_id"]) == [(5, "a b"), (5, "other"), (7, "")]
+    assert [r["text"] for r in got if r["doc_id"] is None] == ["n"]
 
 
 def test_exact_dedup_null_ids(spark):
@@ -67,6 +102,28 @@ def test_ngram_join(docs, corpus, no_docs, tile):
         assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {c for _, c, _ in want}
 
 
+def test_near_copy_groups_are_the_classes_of_the_join(spark, corpus, tile=3):
+    """Chains, where a member links with the leader only through others, included."""
+    words = [f"w{i}" for i in range(400)]
+    chain = [(10_000 + k, " ".join(words[12 * k : 12 * k + 200])) for k in range(15)]
+    rows = [*corpus, corpus[5], *chain]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {i: c for i, c, _ in jaccard_classes(rows)}
+    got = {r["doc_id"]: r["class_id"] for r in ngram_join.near_copy_groups(df, tile=tile).collect()}
+    assert len({c for i, c in want.items() if i >= 10_000}) < 15
+    assert got == {i: want[i] for i, t in rows if (t or "").split()}
+
+
+def test_one_id_on_several_texts_loses_no_link(spark):
+    rng = np.random.default_rng(5)
+    a, b = (" ".join(rng.choice(["red", "blue", "green", "sky", "sea", "sun"], 60)) + f" {k}" for k in "ab")
+    rows = [(5, a), (5, b), (6, a + " end"), (7, b + " end"), (8, "something else altogether is here")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(tuple(r) for r in ngram_join.ngram_join(df).collect())
+    assert got == [(5, 5, 1, True), (5, 5, 1, True), (6, 5, 1, False), (7, 5, 1, False), (8, 8, 0, True)]
+    assert sorted(r["doc_id"] for r in ngram_join.drop_near_copies(df).collect()) == [5, 5, 8]
+
+
 def test_pruning_keeps_what_may_reach_the_threshold():
     least = ngram_join.least_matches(0.8, 1e-8, 16, 128)
     assert list(least) == sorted(least) and 0 <= least[0] < 8 and least[-1] < 0.8 * 128

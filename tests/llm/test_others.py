@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import html_extract, near_embeddings, url_filter
+from ledgerlift.llm import common, html_extract, near_embeddings, url_filter
 from ledgerlift.llm.components import connected_components
 
 
@@ -17,6 +17,30 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    class Context:
+        def __init__(self, master):
+            self.master, self.set = master, None
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return self.set
+
+        def setCheckpointDir(self, path):
+            self.set = path
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext = Context(master)
+
+    assert common.shared_folder(Session("local[2]"))
+    for master in ("spark://h:7077", "yarn", "k8s://x", "local-cluster[2,1,512]"):
+        with pytest.raises(RuntimeError):
+            common.shared_folder(Session(master))
+
+
 def vectors(n=400, seed=5):
     rng = np.random.default_rng(seed)
     base = rng.normal(size=(n // 4, 16))
