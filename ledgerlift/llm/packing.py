@@ -40,7 +40,7 @@ class WordEncoder:
     two libraries' Unicode rules may differ, go to the tokenizers library itself.
     """
 
-    UNSURE = regex.compile(r"<\||[\x1c-\x1fΣ]|[^\x00-\x7f¡-ɏͰ-֏Ḁ-ỿ‐-‧‰-⁞₠-₿]")
+    UNSURE = regex.compile(r"<\||[\x1c-\x1fΣ]|[^\x00-\x7f¡-ɏͰ-ԯḀ-ỿ‐-‧‰-⁞₠-₿]")
 
     def __init__(self, path: str) -> None:
         import json
@@ -75,7 +75,7 @@ class WordEncoder:
 
 
 def _byte_letters() -> dict[str, int]:
-    """The letters by which byte-level vocabularies write bytes: printable Latin-1 as itself, others from U+0100 on."""
+    """The letters by which byte-level vocabularies write bytes: printable Latin-1 as itself, others from U+0100 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     other = [b for b in range(256) if b not in set(plain)]
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(other)}
@@ -319,8 +319,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for each piece of each row of `docs`.
 
     Null texts are empty ones: their only id is the end id. A null doc_id stays null. Repeated rows are packed each on their own; an empty table
-    gives an empty result; other columns are not looked at. Within a length, pieces are ranked by (bucket of doc_id,
-    doc_id, piece): buckets grow in number with the table, so that no window holds more than about ROWS_PER_BUCKET rows.
+    gives an empty result; other columns are not looked at. Within a length, pieces are ranked by (bucket, doc_id,
+    piece): buckets grow in number with the table, so that no window holds more than about ROWS_PER_BUCKET rows.
     """
     spark = docs.sparkSession
     pieces = cut_lineage(pieces_of(docs, vocabulary, capacity, id_col, text_col))
@@ -329,7 +329,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
     order = np.lexsort((plan[:, 1], plan[:, 0]))
     shared = spark.sparkContext.broadcast(plan[order])
     buckets = max(64, -(-sum(lengths.values()) // ROWS_PER_BUCKET))
-    placed = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    spread = F.xxhash64("doc_id", "piece", "ids_crc32", F.spark_partition_id())  # rows without an id, or with one id, too
+    placed = cut_lineage(pieces.withColumn("bucket", F.pmod(spread, F.lit(buckets))))
     sums = placed.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select("length", "bucket", F.coalesce(before, F.lit(0)).alias("before"))

@@ -15,7 +15,8 @@ def op1_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.filter_urls(pages, url_filter.listed_hosts(pages))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

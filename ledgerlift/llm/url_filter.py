@@ -17,12 +17,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlift.llm.bits import BITMAP
 from ledgerlift.llm.common import cut_lineage
 
 #: Fixed values: (verdict, host, path start). The longest rule that fits decides.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: The default block list; a key stands for its host and all subdomains.
 LISTED_HOSTS = ("casino-win.example.com", "cheap-pills.example.com", "free-bets.example.com")
+LISTED_DIGITS = "0123"
 
 
 @dataclass(frozen=True)
@@ -56,19 +58,18 @@ class Cascade:
 
 
 def _level(keys: DataFrame, count: int, seed: int, bits_per_key: int, max_bits: int) -> Level:
-    """Set the bits of all keys: positions are made in tasks, bytes are OR-ed by Spark, at most max_bits / 8 return."""
+    """Set the bits of all keys: positions are made in tasks, Spark joins them to bitmaps of 4 KB, max_bits / 8 bytes return."""
     bits = min(max_bits, max(64, bits_per_key * count))
     shape = Level(seed, bits, max(1, round(bits / count * math.log(2))) if count else 1)
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            at = np.array([p for key in batch["key"] for p in shape.places(key)], dtype=np.int64)
-            yield pd.DataFrame({"byte": at >> 3, "bit": 1 << (at & 7)})
+            yield pd.DataFrame({"bit": np.array([p for key in batch["key"] for p in shape.places(key)], dtype=np.int64)})
 
-    rows = keys.mapInPandas(places, "byte long, bit long").groupBy("byte").agg(F.bit_or("bit").alias("bits")).collect()
-    data = bytearray((bits + 7) // 8)
-    for row in rows:
-        data[row["byte"]] = row["bits"]
+    at = keys.mapInPandas(places, "bit long").groupBy(F.expr(f"bit div {BITMAP}").alias("block"))
+    data = bytearray(-(-bits // BITMAP) * BITMAP // 8)
+    for row in at.agg(F.bitmap_construct_agg(F.col("bit") % BITMAP).alias("bitmap")).collect():  # at most max_bits / BITMAP rows
+        data[row["block"] * BITMAP // 8 : (row["block"] + 1) * BITMAP // 8] = row["bitmap"]
     return Level(seed, bits, shape.hashes, bytes(data))
 
 
@@ -132,6 +133,13 @@ def suffixes(host: str) -> list[str]:
     return [".".join(parts[i:]) for i in range(len(parts))]
 
 
+def listed_hosts(pages: DataFrame, url_col: str = "url", digits: str = LISTED_DIGITS) -> DataFrame:
+    """(key): LISTED_HOSTS, and the hosts of `pages` whose MD5 starts with one of `digits`: a list that grows with the table."""
+    hosts = pages.select(host_of(F.col(url_col)).alias("key")).where("key <> ''").distinct()
+    named = pages.sparkSession.createDataFrame([(key,) for key in LISTED_HOSTS], "key string")
+    return hosts.where(F.substring(F.md5(F.col("key").cast("binary")), 1, 1).isin(*digits)).unionAll(named)
+
+
 def filter_urls(pages: DataFrame, listed: DataFrame | Iterable[str] = LISTED_HOSTS, rules: Iterable[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", bits_per_key: int = 10, max_bits: int = 2**27) -> DataFrame:
     """(page_id, host, path, rule, verdict) for each row of `pages`.
 
@@ -173,11 +181,17 @@ WITH cut AS (
     WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
     WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
   FROM parts
-)
+), listed AS (
+  SELECT host AS key FROM parts WHERE host <> '' AND substr(md5(host), 1, 1) IN ({", ".join(f"'{d}'" for d in LISTED_DIGITS)})
+  UNION SELECT unnest([{", ".join(f"'{h}'" for h in LISTED_HOSTS)}])
+), suffixes AS (
+  SELECT host, unnest(list_transform(range(1, len(string_split(host, '.')) + 1), n -> array_to_string(string_split(host, '.')[n:], '.'))) AS key
+  FROM (SELECT DISTINCT host FROM parts)
+), bad AS (SELECT DISTINCT host FROM suffixes WHERE key IN (SELECT key FROM listed))
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
     WHEN rule IS NOT NULL THEN 'allow'
-    WHEN {" OR ".join(f"host = '{h}' OR host LIKE '%.{h}'" for h in LISTED_HOSTS)} THEN 'block'
+    WHEN host IN (SELECT host FROM bad) THEN 'block'
     ELSE 'allow' END AS verdict
 FROM ruled
 """

@@ -194,6 +194,18 @@ def test_bpe_bodies_encode_alone_as_within(corpus):
     assert shared > 50
 
 
+@pytest.mark.parametrize("codec", ["words", "bytes"])
+def test_every_code_point_is_encoded_as_the_library_does(codec):
+    own = packing.WordEncoder(packing.default_vocabulary()) if codec == "words" else bpe.ByteCodec(bpe.default_vocabulary())
+    ids = own.ids if codec == "words" else own.encode
+    for point in range(0x110000):
+        if not 0xD800 <= point < 0xE000 and not own.UNSURE.search(chr(point)):
+            for text in (chr(point), f"a{chr(point)}b", f"a {chr(point)} b", f"1{chr(point)}2", f"{chr(point)}{chr(point)} A"):
+                assert list(ids(text)) == own.exact.encode(text, add_special_tokens=False).ids, hex(point)
+    for text in ("\u0558", "a\u058bb", "a\u058cb"):
+        assert list(ids(text)) == own.exact.encode(text, add_special_tokens=False).ids
+
+
 def check_packing(rows, lengths, capacity):
     placed = defaultdict(list)
     for r in rows:

@@ -166,6 +166,25 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert not url_filter.build_cascade(listed.limit(0), universe).has("h0")
 
 
+def test_url_filter_with_thousands_of_keys_and_many_levels(spark, monkeypatch):
+    """Few bits a key force many levels; verdicts agree with a plain look-up, for very long urls too."""
+    import hashlib
+
+    hosts = [f"h{i}.d{i % 50}.example.org" for i in range(6000)] + ["x" * 60_000 + ".example.org"]
+    urls = [f"https://{'m.' * (i % 3 == 0)}{h}/en/{'p' * (i % 7)}" for i, h in enumerate(hosts)] + [None, "https://h0.d0.example.org/" + "q" * 100_000]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    built, build = [], url_filter.build_cascade
+    monkeypatch.setattr(url_filter, "build_cascade", lambda *a, **k: built.append(build(*a, **k)) or built[0])
+    got = url_filter.filter_urls(df, url_filter.listed_hosts(df), bits_per_key=2, max_bits=2**13).collect()
+    own = {r["host"] for r in got}
+    listed = {h for h in own if h and hashlib.md5(h.encode()).hexdigest()[0] in url_filter.LISTED_DIGITS}
+    assert len(listed) > 1000 and len(built[0].levels) > 4 and len(got) == len(urls)
+    for r in got:
+        parts = r["host"].split(".")
+        bad = any(".".join(parts[i:]) in listed for i in range(len(parts)))
+        assert r["rule"] is None and r["verdict"] == ("block" if bad else "allow")
+
+
 def test_minimum_cut_is_least():
     rng = np.random.default_rng(1)
     for _ in range(60):
