@@ -185,8 +185,8 @@ WITH cut AS (
   SELECT host AS key FROM parts WHERE host <> '' AND substr(md5(host), 1, 1) IN ({", ".join(f"'{d}'" for d in LISTED_DIGITS)})
   UNION SELECT unnest([{", ".join(f"'{h}'" for h in LISTED_HOSTS)}])
 ), suffixes AS (
-  SELECT host, unnest(list_transform(range(1, len(string_split(host, '.')) + 1), n -> array_to_string(string_split(host, '.')[n:], '.'))) AS key
-  FROM (SELECT DISTINCT host FROM parts)
+  SELECT host, array_to_string(string_split(host, '.')[n:], '.') AS key
+  FROM (SELECT host, unnest(range(1, len(string_split(host, '.')) + 1)) AS n FROM (SELECT DISTINCT host FROM parts))
 ), bad AS (SELECT DISTINCT host FROM suffixes WHERE key IN (SELECT key FROM listed))
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
