@@ -20,7 +20,7 @@ from ledgerlift.llm.labelled import held_out, labelled_sample
 
 CHUNK, OVERLAP, WIDTH, STRIDE, FILTERS = 512, 64, 6, 2, 16
 AT_ONCE = 1024  # chunks whose responses are held together, so that a very long document needs no more memory
-SAMPLE_ROWS, SAMPLE_LONGEST, EPOCHS, BATCH = 3000, 12_000, 10, 48
+SAMPLE_ROWS, SAMPLE_CHARS, EPOCHS, BATCH = 3000, 12_000, 10, 48
 THRESHOLD = 0.3
 
 
@@ -77,6 +77,23 @@ def _bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
 
 
+def add_gradient(net: ByteNet, data: np.ndarray, y: int, weight: float, grads: list[np.ndarray]) -> None:
+    """Add the gradient of `weight` times the log loss of one document to that of (table, filter_bias, out, bias)."""
+    width, _, filters = net.table.shape
+    p, pooled, (hidden, at, best) = net.forward(data)
+    slope = (p - y) * weight
+    grads[2] += slope * pooled
+    grads[3] += slope
+    towards = np.broadcast_to(slope * net.out[filters:] / len(hidden), hidden.shape).copy()
+    towards[best, np.arange(filters)] += slope * net.out[:filters]
+    towards *= hidden > 0
+    grads[1] += towards.sum(0)
+    f = np.broadcast_to(np.arange(filters), at.shape)
+    padded = data if len(data) >= width else np.pad(data, (0, width - len(data)))
+    for k in range(width):
+        np.add.at(grads[0][k], (padded[at + k], f), towards)
+
+
 def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> ByteNet:
     """Adam on the log loss; classes weigh the same in total. Gradients pass only through the responses that were largest."""
     rng = np.random.default_rng(seed)
@@ -101,19 +118,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
             for i in batch:
                 data, y = pairs[i]
                 net.bias = float(params[3][0])
-                p, pooled, (hidden, at, best) = net.forward(data)
-                slope = (p - y) * weight[y] / len(batch)
-                grads[2] += slope * pooled
-                grads[3] += slope
-                n = len(hidden)
-                towards = np.broadcast_to(slope * net.out[FILTERS:] / n, hidden.shape).copy()
-                towards[best, np.arange(FILTERS)] += slope * net.out[:FILTERS]
-                towards *= hidden > 0
-                grads[1] += towards.sum(0)
-                f = np.broadcast_to(np.arange(FILTERS), at.shape)
-                padded = data if len(data) >= WIDTH else np.pad(data, (0, WIDTH - len(data)))
-                for k in range(WIDTH):
-                    np.add.at(grads[0][k], (padded[at + k], f), towards)
+                add_gradient(net, data, y, weight[y] / len(batch), grads)
             step += 1
             for p_, g, m, v in zip(params, grads, first, second, strict=True):
                 g += 1e-5 * p_
@@ -126,9 +131,10 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
     return net
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, sample_longest: int = SAMPLE_LONGEST) -> ByteNet:
-    """A network fitted on at most `sample_rows` labelled, not held-out texts of at most `sample_longest` characters."""
-    return fit(*labelled_sample(docs, labels, label, sample_rows, sample_longest))
+def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> ByteNet:
+    """A network fitted on at most `sample_rows` labelled texts that are not held out; of those longer than `sample_chars`
+    characters, on windows from all of the text that come to about as many."""
+    return fit(*labelled_sample(docs, labels, label, sample_rows, sample_chars))
 
 
 def score_quality(docs: DataFrame, net: ByteNet, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 """The document operators against brute force, with nulls, empty and very long texts, repeated rows and empty tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -311,12 +312,115 @@ def test_toxicity(spark, docs, no_docs):
     assert list(model.thresholds) == sorted(model.thresholds)
     got = toxicity.score_toxicity(real, model).join(labels.withColumnRenamed("toxic", "y"), "doc_id").collect()
     clean = [r for r in got if not r["y"]]
-    assert np.mean([r["toxic"] for r in clean]) < 0.03 and np.mean([r["toxic"] for r in got if r["y"]]) > 0.7
-    assert all(0 <= r["severity"] <= 2 for r in got)
+    assert np.mean([r["toxic"] for r in clean]) < 0.03 and np.mean([r["toxic"] for r in got if r["y"]]) > 0.7  # some 50 toxic texts to learn from
+    assert all(0 <= r["severity"] <= 3 and (r["grade"] > 0) == r["toxic"] for r in got) and len({r["grade"] for r in got}) == 4
     assert toxicity.score_toxicity(docs, model).where("toxic IS NULL").count() == 0 and toxicity.score_toxicity(no_docs, model).count() == 0
     assert toxicity.fit([], []).signal("x") == 0
 
 
+def test_classifiers_on_held_out_rows(spark):
+    """At sf0.1, on rows that are not learned from."""
+    sf = "/root/testdata/sf0.1"
+    real, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    judged = real.join(labels.select("doc_id"), "doc_id", "left_semi")
+    got = toxicity.score_toxicity(judged, toxicity.fit_toxicity(real, labels)).where("held_out").join(labels.withColumnRenamed("toxic", "y"), "doc_id").collect()
+    assert np.mean([r["toxic"] for r in got if r["y"]]) > 0.88 and np.mean([r["toxic"] for r in got if not r["y"]]) < 0.02
+    got = quality.score_quality(judged, quality.fit_quality(real, labels)).where("held_out").join(labels, "doc_id").collect()
+    assert np.mean([r["predicted"] == r["quality"] for r in got]) > 0.95 and np.mean([r["predicted"] == 0 for r in got if not r["quality"]]) > 0.8
+
+
+def test_quality_network_against_a_plain_loop():
+    """Every filter at every place of every chunk, pooled by hand."""
+    rng = np.random.default_rng(3)
+    net = quality.ByteNet(rng.normal(size=(6, 256, 4)), rng.normal(size=4), rng.normal(size=8), 0.3, 0.5)
+    for n in (1, 6, 9, 511, 513, 1400):
+        data = rng.integers(97, 123, n).astype(np.uint8)
+        padded = np.pad(data, (0, max(0, 6 - n)))
+        last = len(padded) - 6
+        places = [*range(0, last, quality.STRIDE), last]
+        step, span = (quality.CHUNK - quality.OVERLAP) // quality.STRIDE, quality.CHUNK // quality.STRIDE
+        tops, covered = [], set()
+        for start in range(0, max(1, len(places) - quality.OVERLAP // quality.STRIDE), step):
+            chunk = places[start : start + span]
+            covered.update(b for p in chunk for b in range(p, p + 6))
+            tops.append([max(sum(net.table[k, padded[p + k], f] for k in range(6)) for p in chunk) for f in range(4)])
+        assert covered == set(range(len(padded)))
+        hidden = np.maximum(np.array(tops) + net.filter_bias, 0)
+        logit = sum(hidden[:, f].max() * net.out[f] + hidden[:, f].mean() * net.out[4 + f] for f in range(4)) + net.bias
+        assert net.forward(data)[0] == pytest.approx(1 / (1 + math.exp(-logit)), abs=1e-5)
+
+
+def test_quality_gradient_is_numeric():
+    rng = np.random.default_rng(4)
+    net = quality.ByteNet(rng.normal(0, 0.3, (6, 256, 3)), rng.normal(0, 0.3, 3), rng.normal(0, 0.3, 6), 0.1, 0.5)
+    data, y, h = rng.integers(97, 110, 1200).astype(np.uint8), 1, 1e-3
+    grads = [np.zeros_like(net.table), np.zeros_like(net.filter_bias), np.zeros_like(net.out), np.zeros(1)]
+    quality.add_gradient(net, data, y, 2.0, grads)
+    loss = lambda: -2.0 * math.log(net.forward(data)[0])
+    for values, grad in zip((net.table, net.filter_bias, net.out), grads, strict=False):
+        flat, g = values.reshape(-1), grad.reshape(-1)
+        for i in np.abs(g).argsort()[-8:]:
+            flat[i] += h
+            up = loss()
+            flat[i] -= 2 * h
+            down = loss()
+            flat[i] += h
+            assert g[i] == pytest.approx((up - down) / (2 * h), rel=0.05, abs=1e-3)
+
+
+def test_ordinal_likelihood_and_gradient_by_hand():
+    rng = np.random.default_rng(6)
+    x, y, w, low, gaps = rng.normal(size=(40, 5)), rng.integers(0, 4, 40), rng.normal(size=5), 0.4, np.array([0.2, -0.5])
+    value, grad = toxicity.log_likelihood(w, low, gaps, x, y, 0.01)
+    theta, total = [low, low + math.exp(0.2), low + math.exp(0.2) + math.exp(-0.5)], 0.0
+    for row, grade in zip(x, y, strict=True):
+        below = [0.0, *(1 / (1 + math.exp(-(t - sum(a * b for a, b in zip(row, w, strict=True))))) for t in theta), 1.0]
+        total += math.log(below[grade + 1] - below[grade])
+    assert value == pytest.approx(total / 40 - 0.005 * sum(a * a for a in w))
+    at = np.concatenate([w, [low], gaps])
+    for i in range(len(at)):
+        up, down = at.copy(), at.copy()
+        up[i] += 1e-6
+        down[i] -= 1e-6
+        slope = (toxicity.log_likelihood(up[:5], up[5], up[6:], x, y, 0.01)[0] - toxicity.log_likelihood(down[:5], down[5], down[6:], x, y, 0.01)[0]) / 2e-6
+        assert grad[i] == pytest.approx(slope, abs=1e-6)
+
+
+def test_expected_grade_by_hand(spark):
+    model = toxicity.OrdinalModel({"bad": 2.0, "awfu-": 1.0}, np.array([1.0, 2.0, 4.0]))
+    df = spark.createDataFrame([(1, "Bad bad day"), (2, "awfully"), (3, None)], "doc_id bigint, text string")
+    for r in toxicity.score_toxicity(df, model).collect():
+        signal = {1: 2.0 * math.log(3), 2: math.log(2), 3: 0.0}[r["doc_id"]]
+        above = [1 / (1 + math.exp(t - signal)) for t in (1.0, 2.0, 4.0)]
+        assert r["severity"] == pytest.approx(sum(above)) and r["p_toxic"] == pytest.approx(above[0])
+        each = [above[0] - above[1], above[1] - above[2], above[2]]
+        assert r["grade"] == (1 + each.index(max(each)) if above[0] >= 0.15 else 0)
+
+
+def test_grades_come_from_models_of_the_other_half():
+    rng = np.random.default_rng(8)
+    x = rng.random((400, 6))
+    toxic = (x[:, 0] * 3 + rng.normal(size=400) * 0.3 > 2).astype(int)
+    y = toxicity.graded(x, toxic, 100, 1e-3)
+    assert (y > 0).tolist() == toxic.astype(bool).tolist() and max(np.bincount(y)[1:]) - min(np.bincount(y)[1:]) <= 1
+    assert np.corrcoef(y[toxic == 1], x[toxic == 1, 0])[0, 1] > 0.5
+
+
+def test_long_texts_are_drawn_from_all_over(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlift.llm import labelled
+
+    text = "".join(chr(97 + i // 1000) for i in range(20_000))
+    got = spark.createDataFrame([(text,), ("short",)], "t string").select(labelled.drawn(F.col("t"), 5120).alias("d")).collect()
+    parts = got[0]["d"].split(" ")
+    assert len(parts) == 10 and all(len(p) == 512 for p in parts) and parts[0][0] == "a" and parts[-1][-1] == "t" and got[1]["d"] == "short"
+    labels = spark.createDataFrame([(1, 0), (2, 1), (2, 0), (3, 1)], "doc_id bigint, quality int")
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (3, text)], "doc_id bigint, text string")
+    texts, ys = labelled.labelled_sample(docs, labels, "quality", 10, 5120)
+    assert dict(zip(ys, texts, strict=True)).get(0) in (None, "a") and all(len(t) < 5200 for t in texts)
+
+
 def _der(n):
     return b"\x30" + bytes([n + 6]) + b"\x02\x01\x00\x04" + bytes([n + 1]) + bytes(range(1, n + 2))
 
