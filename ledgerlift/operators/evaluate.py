@@ -30,12 +30,17 @@ def verified_files(predictions: DataFrame) -> DataFrame:
     return predictions.select(normalise(F.col("gold")).alias("word"), "id").where(normalise(F.col("pred")) == normalise(F.col("gold")))
 
 
+def banded(boxes: DataFrame, docs: DataFrame) -> DataFrame:
+    """`boxes` with band, the role whose band of the first form their centre falls into; null in none."""
+    at = (F.col("x") + F.col("w") / 2) / F.col("width")
+    role = F.when((at >= 0.02) & (at < 0.21), "qty").when((at >= 0.21) & (at < 0.62), "nama").when((at >= 0.62) & (at < 0.77), "harga").when((at >= 0.77) & (at < 0.97), "jumlah")
+    return boxes.join(docs, "doc_id").withColumn("band", role)
+
+
 def fixed_geometry_roles(boxes: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc_id, role, n): boxes by the band that their centre falls into, for documents whose columns stand where the
     first form has them."""
-    at = (F.col("x") + F.col("w") / 2) / F.col("width")
-    role = F.when((at >= 0.02) & (at < 0.21), "qty").when((at >= 0.21) & (at < 0.62), "nama").when((at >= 0.62) & (at < 0.77), "harga").when((at >= 0.77) & (at < 0.97), "jumlah")
-    return boxes.join(docs, "doc_id").withColumn("band", role).where("band is not null").groupBy("doc_id", F.col("band").alias("role")).agg(F.count(F.lit(1)).alias("n"))
+    return banded(boxes, docs).where("band is not null").groupBy("doc_id", F.col("band").alias("role")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def majority_roles(placed: DataFrame, by: list[str]) -> DataFrame:
@@ -44,23 +49,30 @@ def majority_roles(placed: DataFrame, by: list[str]) -> DataFrame:
     return counts.groupBy(*by).agg(F.max_by("role", F.struct("n", -F.col("first"))).alias("role"))
 
 
-def layout_benchmark(assigned: DataFrame, truth: DataFrame, grid: DataFrame) -> DataFrame:
-    """(layout, n_items, n_docs, correct), by layout, by number of items and overall (the others null): documents whose discovered qty, harga and jumlah columns hold mostly that role's boxes.
+def layout_benchmark(assigned: DataFrame, truth: DataFrame, grid: DataFrame, bands: DataFrame | None = None) -> DataFrame:
+    """(layout, n_items, n_docs, correct[, fixed_correct]), by layout, by number of items and overall (the others null):
+    documents whose discovered qty, harga and jumlah columns hold mostly that role's boxes, and those whose bands do.
 
-    truth: (doc_id, box_idx, role, row, layout); a column made by splitting counts off stands for the one it came from.
+    truth: (doc_id, box_idx, role, row, layout); bands: (doc_id, box_idx, band) of the fixed arm. A column made by splitting
+    counts off stands for the one it came from.
     """
-    placed = grid.join(truth.where("row > 0 AND role NOT LIKE 'total%'"), ["doc_id", "box_idx"])
-    best = majority_roles(placed, ["doc_id", "col_id"]).withColumnRenamed("role", "got")
+    items = truth.where("row > 0 AND role NOT LIKE 'total%'")
+    best = majority_roles(grid.join(items, ["doc_id", "box_idx"]), ["doc_id", "col_id"]).withColumnRenamed("role", "got")
     wanted = truth.where("role IN ('qty', 'harga', 'jumlah')").select("doc_id", "role", "layout").distinct()
     col = F.when(F.col("was_split") & (F.col("c") == F.col("n_cols")), F.col("split_col")).otherwise(F.col("c"))
     picked = assigned.select("doc_id", "n_cols", "was_split", "split_col", F.stack(F.lit(3), F.lit("qty"), F.col("qty"), F.lit("harga"), F.col("harga"), F.lit("jumlah"), F.col("jumlah")).alias("role", "c"))
     picked = picked.select("doc_id", "role", col.alias("col_id"))
     judged = wanted.join(picked, ["doc_id", "role"], "left").join(best, ["doc_id", "col_id"], "left")
-    docs = judged.groupBy("doc_id", "layout").agg(F.bool_and(F.coalesce(F.col("got") == F.col("role"), F.lit(False))).alias("ok"))
-    items = truth.where("row > 0 AND role NOT LIKE 'total%'").groupBy("doc_id").agg(F.count_distinct("row").alias("n_items"))
-    docs = docs.join(items, "doc_id", "left").withColumn("n_items", F.coalesce("n_items", F.lit(0)))
-    sets = docs.groupingSets([["layout"], ["n_items"], []], "layout", "n_items")
-    return sets.agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("ok").alias("correct"))
+    right = lambda got: F.bool_and(F.coalesce(F.col(got) == F.col("role"), F.lit(False)))
+    verdicts, counts = [right("got").alias("ok")], [F.count(F.lit(1)).alias("n_docs"), F.count_if("ok").alias("correct")]
+    if bands is not None:
+        held = majority_roles(bands.where("band IS NOT NULL").join(items, ["doc_id", "box_idx"]), ["doc_id", "band"])
+        judged = judged.join(held.select("doc_id", F.col("role").alias("fixed"), F.col("band").alias("role")), ["doc_id", "role"], "left")
+        verdicts, counts = [*verdicts, right("fixed").alias("fixed_ok")], [*counts, F.count_if("fixed_ok").alias("fixed_correct")]
+    docs = judged.groupBy("doc_id", "layout").agg(*verdicts)
+    sizes = items.groupBy("doc_id").agg(F.count_distinct("row").alias("n_items"))
+    docs = docs.join(sizes, "doc_id", "left").withColumn("n_items", F.coalesce("n_items", F.lit(0)))
+    return docs.groupingSets([["layout"], ["n_items"], []], "layout", "n_items").agg(*counts)
 
 
 def naive_scale(train: DataFrame) -> DataFrame:

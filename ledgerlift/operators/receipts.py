@@ -42,25 +42,44 @@ def cluster_1d(points: Column, gap: Column) -> Column:
     return F.aggregate(F.array_sort(points), start, step, lambda a: a["out"])
 
 
+_kept: list[DataFrame] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """A frame that several steps read, kept on the executors (memory, then disk) until `release`."""
+    _kept.append(df.persist(KEEP))
+    return df
+
+
+def release() -> None:
+    """Let go of all frames that `keep` holds; what is read of them later is worked out anew."""
+    while _kept:
+        _kept.pop().unpersist()
+
+
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """`df` with columns that are worked out once: a one-row generator keeps the optimizer from copying them upwards."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def build_grid(boxes: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc_id, box_idx, row_id, col_id, text, conf, pitch) of every box that has text.
 
-    boxes: (doc_id, box_idx, x, y, w, h, text, conf); docs: (doc_id, width, height). One shuffle by document; what
-    follows groups by it again and again, which Spark does in place.
+    boxes: (doc_id, box_idx, x, y, w, h, text, conf); docs: (doc_id, width, height). One shuffle by document: a document's
+    boxes are gathered once, columns, pitch and rows are folds over that array, and it is laid out once at the end.
     """
     seen = boxes.where(F.trim("text") != "").select("doc_id", F.col("box_idx").cast("int").alias("box_idx"), (F.col("x") + F.col("w") / 2).alias("cx"), (F.col("y") + F.col("h") / 2).alias("cy"), "w", "h", "text", F.col("conf"))
     sized = seen.join(docs.select("doc_id", "width", "height"), "doc_id")
-    b = sized.groupBy("doc_id").agg(F.collect_list(F.struct(F.col("cx").alias("v"), F.col("box_idx").alias("idx"))).alias("points"), upper_median(F.collect_list("w")).alias("med_w"), upper_median(F.collect_list("h")).alias("med_h"), F.first("width").alias("width"), F.first("height").alias("height"))
-    gap = F.greatest(F.col("med_w") * 0.6, F.col("width") * 0.02)
-    cols = b.select("doc_id", "med_h", "height", F.inline(cluster_1d(F.col("points"), gap)).alias("box_idx", "col_id"))
-    placed = seen.join(cols, ["doc_id", "box_idx"])
-    w = Window.partitionBy("doc_id", "col_id").orderBy("cy", "box_idx")
-    placed = placed.withColumn("step", F.col("cy") - F.lag("cy").over(w))
-    c = placed.groupBy("doc_id").agg(F.collect_list(F.struct(F.col("cy").alias("v"), F.col("box_idx").alias("idx"))).alias("points"), F.collect_list("step").alias("steps"), F.first("med_h").alias("med_h"), F.first("height").alias("height"))
-    c = c.select("doc_id", "points", F.coalesce(upper_median(F.col("steps")), F.lit(0.0)).alias("pitch"), "med_h", "height")
+    b = sized.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("box_idx", "cx", "cy", "text", "conf"))).alias("boxes"), upper_median(F.collect_list("w")).alias("med_w"), upper_median(F.collect_list("h")).alias("med_h"), F.first("width").alias("width"), F.first("height").alias("height"))
+    points = lambda axis: F.transform("boxes", lambda p, i: F.struct(p[axis].alias("v"), i.alias("idx")))
+    clusters = lambda found: F.transform(F.array_sort(found), lambda c: c["cluster"])  # by box
+    b = _once(b, cols=clusters(cluster_1d(points("cx"), F.greatest(F.col("med_w") * 0.6, F.col("width") * 0.02))))
+    b = _once(b, down=F.array_sort(F.transform("boxes", lambda p, i: F.struct(F.get("cols", i).alias("c"), p["cy"].alias("cy"), i.alias("i")))))
+    steps = F.zip_with(F.slice("down", 2, F.size("down")), "down", lambda low, high: F.when(low["c"] == high["c"], low["cy"] - high["cy"]))
+    b = _once(b, pitch=F.coalesce(upper_median(F.filter(steps, lambda s: s.isNotNull())), F.lit(0.0)))
     gap = F.when(F.col("pitch") > 0, F.col("pitch") / 2).otherwise(F.greatest(F.col("med_h") * 0.8, F.col("height") * 0.008))
-    rows = c.select("doc_id", "pitch", F.inline(cluster_1d(F.col("points"), gap)).alias("box_idx", "row_id"))
-    return placed.select("doc_id", "box_idx", "col_id", "text", "conf").join(rows, ["doc_id", "box_idx"])
+    b = _once(b, rows=clusters(cluster_1d(points("cy"), gap)))
+    return b.select("doc_id", "pitch", F.inline(F.transform("boxes", lambda p, i: F.struct(p["box_idx"].alias("box_idx"), F.get("rows", i).alias("row_id"), F.get("cols", i).alias("col_id"), p["text"].alias("text"), p["conf"].alias("conf")))))
 
 
 def profiles(texts: DataFrame) -> DataFrame:
@@ -161,17 +180,17 @@ def assign_roles(grid: DataFrame, strict: bool = False) -> DataFrame:
     """(doc_id, was_split, split_col, n_cols, g, p, matched, plausible, score, qty, harga, jumlah, nama), one row per document.
 
     The reading with counts split off is taken if it matches at least as many rows; the split column keeps its profile.
-    Intermediate frames stay cached (memory, then disk) until spark.catalog.clearCache().
+    Intermediate frames are kept until `release`.
     """
     # Kept, as both readings and the rows use them, and so that the planner meets small plans: it plans anew after every
     # stage, and all of this as one plan took it longer than the work.
-    cells, columns = fill_cells(grid).persist(KEEP), profiles(grid).persist(KEEP)
-    plain = search_roles(gather(cells, columns).persist(KEEP)).withColumn("was_split", F.lit(0)).withColumn("split_col", F.lit(None).cast("int")).withColumn("n_cols", F.size("p"))
-    split = unmerge_counts(cells, strict).persist(KEEP)
+    cells, columns = keep(fill_cells(grid)), keep(profiles(grid))
+    plain = search_roles(keep(gather(cells, columns))).withColumn("was_split", F.lit(0)).withColumn("split_col", F.lit(None).cast("int")).withColumn("n_cols", F.size("p"))
+    split = keep(unmerge_counts(cells, strict))
     extra = profiles(split.where("col_id = new_col"))
     rules = split.groupBy("doc_id").agg(F.first("split_col").alias("split_col"), F.first("new_col").alias("n_cols"))
     old = columns.join(rules.select("doc_id"), "doc_id", "left_semi")
-    alt = search_roles(gather(split.select("doc_id", "row_id", "col_id", "text"), old.unionByName(extra)).persist(KEEP)).withColumn("was_split", F.lit(1)).join(rules, "doc_id")
+    alt = search_roles(keep(gather(split.select("doc_id", "row_id", "col_id", "text"), old.unionByName(extra)))).withColumn("was_split", F.lit(1)).join(rules, "doc_id")
     both = plain.unionByName(alt)
     best = both.groupBy("doc_id").agg(F.max_by(F.struct(*both.columns), F.struct("matched", "was_split")).alias("best")).select("best.*")
     free = F.filter("p", lambda c: ~c["col_id"].eqNullSafe(F.col("qty")) & ~c["col_id"].eqNullSafe(F.col("harga")) & ~c["col_id"].eqNullSafe(F.col("jumlah")))
@@ -231,6 +250,6 @@ def receipts(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def extract_receipts(boxes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Boxes to receipts, one row per document of `docs`."""
-    grid = build_grid(boxes, docs).persist(KEEP)
+    """Boxes to receipts, one row per document of `docs`; call `release` when the result is written."""
+    grid = keep(build_grid(boxes, docs))
     return receipts(read_rows(assign_roles(grid), grid), docs)
