@@ -29,7 +29,7 @@ from ledgerlift.llm.components import connected_components, ties_by_id
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS, STEP, TOLERANCE = 32, 4, 16, 1e-8
-TILE = 384
+TILE, LEADERS = 384, 4
 _rng = np.random.default_rng(20240607)
 MULTIPLY = (_rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
 ADD = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -152,7 +152,7 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = after
 
 
-def _tiles(members: DataFrame, key: list[str], tile: int, more: tuple[str, ...] = ()) -> DataFrame:
+def _tiles(members: DataFrame, key: list[str], tile: int) -> DataFrame:
     """Members of blocks of at least two, once for each pair of tiles that theirs is part of; `left`: in the first one."""
     sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     cut = members.join(sizes, key).withColumn("tiles", F.ceil(F.col("n") / tile).cast("int"))
@@ -160,7 +160,27 @@ def _tiles(members: DataFrame, key: list[str], tile: int, more: tuple[str, ...]
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     cut = cut.withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other"))
     block = F.xxhash64(*key, "first", "second")
-    return cut.select("cls", "band", block.alias("block"), (F.col("own") == F.col("first")).alias("left"), (F.col("first") == F.col("second")).alias("alone"), *more)
+    return cut.select("cls", "band", block.alias("block"), (F.col("own") == F.col("first")).alias("left"), (F.col("first") == F.col("second")).alias("alone"))
+
+
+def _sided_tiles(rest: DataFrame, tile: int) -> DataFrame:
+    """As `_tiles`, for members with the group that they are `within` and their block's largest group, `main`.
+
+    Members of the largest group meet only those outside it: with few outside, each member is in few tiles.
+    """
+    key, inside = ["band", "value"], F.col("within") == F.col("main")
+    sizes = rest.groupBy(*key).agg(F.ceil(F.count_if(inside) / tile).cast("int").alias("in_tiles"), F.ceil(F.count_if(~inside) / tile).cast("int").alias("out_tiles"))
+    cut = rest.join(sizes, key).withColumn("own", F.pmod(F.xxhash64("cls", F.lit(7)), F.when(inside, F.col("in_tiles")).otherwise(F.col("out_tiles"))).cast("int"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    among = cut.where(~inside).withColumn("other", each("out_tiles")).withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other"))
+    across = cut.where(~inside).withColumn("at", each("in_tiles")).withColumn("first", F.col("own")).withColumn("second", -1 - F.col("at"))
+    met = cut.where(inside).withColumn("first", each("out_tiles")).withColumn("second", -1 - F.col("own"))
+    block = F.xxhash64(*key, "first", "second").alias("block")
+    return (
+        among.select("cls", "band", block, (F.col("own") == F.col("first")).alias("left"), (F.col("first") == F.col("second")).alias("alone"), "within")
+        .unionAll(across.select("cls", "band", block, F.lit(True).alias("left"), F.lit(False).alias("alone"), "within"))
+        .unionAll(met.select("cls", "band", block, F.lit(False).alias("left"), F.lit(False).alias("alone"), "within"))
+    )
 
 
 def _survivors(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
@@ -290,13 +310,13 @@ class _Join:
         found = texts.join(asked, "doc_id").select("cls", "rows", "same", "text").mapInPandas(gather, "cls long, rows long, grams binary")
         return cut_lineage(found.groupBy("cls").agg(F.first("rows").alias("rows"), F.first("grams").alias("grams")))
 
-    def tiled(self, members: DataFrame) -> DataFrame:
-        """(cls, links, root) of all links within the blocks of `members` (cls, band, value, within).
+    def tiled(self, tiles: DataFrame) -> DataFrame:
+        """(cls, links, root) of all links within the tiles (cls, band, block, left, alone, within).
 
         within: the group that a class is known to be in; pairs of one group are left out. Below 0 where it is unknown.
         """
         threshold = self.threshold
-        met = _tiles(members, ["band", "value"], self.tile, ("within",)).join(self.classes.select("cls", "signature"), "cls")
+        met = tiles.join(self.classes.select("cls", "signature"), "cls")
         columns = ["cls", "band", "block", "left", "alone", "within", "signature"]
         met = met.repartition("block").sortWithinPartitions("block").select(*columns)
         sharp = "cls long, band int, block long, left boolean, alone boolean, within long, signature binary"
@@ -313,25 +333,42 @@ class _Join:
         smallest = known.groupBy("component").agg(F.min("least").alias("class_id"))
         return known.join(smallest, "component").select("same", "cls", "rows", "class_id")
 
-    def grouped(self) -> DataFrame:
-        """Links (a, b) that connect what is linked: by leaders first, then by tiles of blocks that are not yet one group."""
-        threshold = self.threshold
-        blocks = self.members.groupBy("band", "value").agg(F.min("cls").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        met = cut_lineage(self.members.join(blocks, ["band", "value"]))
-        pairs = met.where("cls <> leader").select("cls", "leader").distinct()
+    def with_leaders(self, pairs: DataFrame) -> DataFrame:
+        """The links (a, b) among pairs (cls, leader)."""
+        threshold, shape = self.threshold, "cls long, leader long"
         signatures = self.classes.select("cls", "signature")
-        pairs = cut_lineage(_stars(pairs, signatures, "signature", self.tile).mapInPandas(lambda it: _near_leaders(it, threshold, "signature"), "cls long, leader long"))
+        pairs = cut_lineage(_stars(pairs, signatures, "signature", self.tile).mapInPandas(lambda it: _near_leaders(it, threshold, "signature"), shape))
         grams = self.grams(pairs.select("cls").unionAll(pairs.select("leader")))
-        links = cut_lineage(_stars(pairs, grams.select("cls", "grams"), "grams", self.tile).mapInPandas(lambda it: _near_leaders(it, threshold, "grams"), "cls long, leader long"))
-        first = links.select(F.col("cls").alias("a"), F.col("leader").alias("b"))
-        component = connected_components(first).withColumnRenamed("node", "cls")
-        rest = met.where("n > 2").join(component, "cls", "left").withColumn("within", F.coalesce("component", "cls"))  # a block of two is settled
-        apart = rest.groupBy("band", "value").agg(F.min("within").alias("low"), F.max("within").alias("high")).where("low < high")
-        rest = cut_lineage(rest.join(apart, ["band", "value"]).select("cls", "band", "value", "within"))
+        links = cut_lineage(_stars(pairs, grams.select("cls", "grams"), "grams", self.tile).mapInPandas(lambda it: _near_leaders(it, threshold, "grams"), shape))
+        return links.select(F.col("cls").alias("a"), F.col("leader").alias("b"))
+
+    def grouped(self) -> DataFrame:
+        """Links (a, b) that connect what is linked: by leaders first, then by tiles of blocks that are not yet one group.
+
+        Blocks of more than a tile get up to LEADERS leaders, each from outside the largest group so far; what no leader
+        connects is compared in full.
+        """
+        key = ["band", "value"]
+        blocks = self.members.groupBy(*key).agg(F.min("cls").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        met = cut_lineage(self.members.join(blocks, key))
+        links = self.with_leaders(met.where("cls <> leader").select("cls", "leader").distinct())
+        met = met.where("n > 2").drop("leader")  # a block of two is settled
+        for leaders in range(1, LEADERS + 1):
+            component = connected_components(links).withColumnRenamed("node", "cls")
+            rest = met.join(component, "cls", "left").withColumn("within", F.coalesce("component", "cls")).drop("component")
+            parts = rest.groupBy(*key, "within").agg(F.count(F.lit(1)).alias("m"), F.min("cls").alias("least"))
+            mains = parts.groupBy(*key).agg(F.max_by("within", F.struct("m", "within")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
+            rest = met = cut_lineage(rest.join(mains, key))
+            large = rest.where(F.col("n") > self.tile)
+            if leaders == LEADERS or large.isEmpty():
+                break
+            first = large.where("within <> main").groupBy(*key).agg(F.min_by(F.struct(F.col("cls").alias("leader"), F.col("within").alias("of")), "cls").alias("f")).select(*key, "f.*")
+            links = links.unionAll(self.with_leaders(large.join(first, key).where("within <> of").select("cls", "leader").distinct()))
+            met = rest.drop("within", "main")
         if rest.isEmpty():
-            return first
-        more = self.tiled(rest)
-        return first.unionAll(more.select(F.col("cls").alias("a"), F.col("root").alias("b")))
+            return links
+        more = self.tiled(_sided_tiles(rest, self.tile))
+        return links.unionAll(more.select(F.col("cls").alias("a"), F.col("root").alias("b")))
 
 
 def _same(found: np.ndarray) -> bytes:
@@ -352,7 +389,7 @@ def ngram_join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS
     1 in 100 million a step.
     """
     join = _Join(docs, threshold, words, id_col, text_col, tile)
-    links = join.tiled(join.members.withColumn("within", F.lit(-1).cast("long")))
+    links = join.tiled(_tiles(join.members, ["band", "value"], tile).withColumn("within", F.lit(-1).cast("long")))
     known = join.with_component(links.select(F.col("cls").alias("a"), F.col("root").alias("b")))
     total = links.groupBy("cls").agg(F.sum("links").alias("links"))
     known = known.join(total, "cls", "left").select("same", "class_id", (F.coalesce("links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
