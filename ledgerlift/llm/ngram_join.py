@@ -345,8 +345,8 @@ class _Join:
     def grouped(self) -> DataFrame:
         """Links (a, b) that connect what is linked: by leaders first, then by tiles of blocks that are not yet one group.
 
-        Blocks of more than a tile get up to LEADERS leaders, each from outside the largest group so far; what no leader
-        connects is compared in full.
+        Blocks of more than a tile get up to LEADERS leaders, each from outside the largest group so far, until one links
+        with nothing more; what no leader connects is compared in full.
         """
         key = ["band", "value"]
         blocks = self.members.groupBy(*key).agg(F.min("cls").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -363,8 +363,10 @@ class _Join:
             if leaders == LEADERS or large.isEmpty():
                 break
             first = large.where("within <> main").groupBy(*key).agg(F.min_by(F.struct(F.col("cls").alias("leader"), F.col("within").alias("of")), "cls").alias("f")).select(*key, "f.*")
-            links = links.unionAll(self.with_leaders(large.join(first, key).where("within <> of").select("cls", "leader").distinct()))
-            met = rest.drop("within", "main")
+            found = self.with_leaders(large.join(first, key).where("within <> of").select("cls", "leader").distinct())
+            if found.isEmpty():
+                break
+            links, met = links.unionAll(found), rest.drop("within", "main")
         if rest.isEmpty():
             return links
         more = self.tiled(_sided_tiles(rest, self.tile))
