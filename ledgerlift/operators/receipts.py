@@ -42,6 +42,17 @@ def cluster_1d(points: Column, gap: Column) -> Column:
     return F.aggregate(F.array_sort(points), start, step, lambda a: a["out"])
 
 
+def with_predictions(boxes: DataFrame, predictions: DataFrame) -> DataFrame:
+    """`boxes` with text and conf of the prediction at the same place of their document, as far as both lists go (J-14).
+
+    boxes: (doc_id, box_idx, ..), in the order of box_idx; predictions: (doc_id, at, text, conf), in that of at. A missing
+    text is empty, a missing confidence 0.
+    """
+    place = lambda by: F.row_number().over(Window.partitionBy("doc_id").orderBy(by))
+    read = predictions.select("doc_id", place("at").alias("_place"), F.trim(F.coalesce("text", F.lit(""))).alias("text"), F.coalesce("conf", F.lit(0.0)).alias("conf"))
+    return boxes.withColumn("_place", place("box_idx")).join(read, ["doc_id", "_place"]).drop("_place")
+
+
 _kept: list[DataFrame] = []
 
 

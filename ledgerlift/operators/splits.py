@@ -27,6 +27,21 @@ def grouped_split(images: DataFrame, source: str = "source", val: float = 0.15,
     return images.select(source).distinct().select(F.col(source).alias("source"), F.when(at < val, "val").when(at < val + test, "test").otherwise("train").alias("split"))
 
 
+def writer_split(images: DataFrame, writers: DataFrame, source: str = "source", val: float = 0.15, test: float = 0.15) -> DataFrame:
+    """(source, split) as `grouped_split`, whole writers at a time; a source without a writer is a group of its own.
+
+    writers: (source, writer). Val and test get a group each at least: the first of the order, and the last.
+    """
+    named = images.select(F.col(source).alias("source")).distinct().join(writers.select("source", "writer"), "source", "left")
+    named = named.withColumn("group", F.coalesce(F.col("writer").cast("string"), F.concat(F.lit("__unmapped__"), F.col("source"))))
+    named = named.withColumn("at", order_hash(F.col("group")) / F.lit(float(16**7)))
+    few = named.agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count_if(F.col("at") < val).alias("n_val"), F.count_if((F.col("at") >= val) & (F.col("at") < val + test)).alias("n_test"))
+    placed = named.crossJoin(F.broadcast(few))  # one row
+    is_val = (F.col("at") < val) | ((F.col("n_val") == 0) & (F.col("at") == F.col("first")))
+    is_test = (F.col("at") < val + test) | ((F.col("n_test") == 0) & (F.col("at") == F.col("last")))
+    return placed.select("source", F.when(is_val, "val").when(is_test, "test").otherwise("train").alias("split"))
+
+
 def select_copies(images: DataFrame, splits: DataFrame) -> DataFrame:
     """All copies of train sources, the first by file name of the others."""
     placed = images.join(splits, "source")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.functions import geometry as G
 from ledgerlift.functions import text as T
-from ledgerlift.operators import audit, demand, evaluate, quads, receipts, scanlines, splits
+from ledgerlift.operators import audit, demand, evaluate, layouts, quads, receipts, scanlines, splits
 from ledgerlift.plans import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -904,6 +904,69 @@ def part_accuracy_methods(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.score(demand.forecast(train, HORIZON), test, evaluate.naive_scale(train))
 
 
+# --- further splits, draws and joins ------------------------------------------------------------------------------
+
+FRACTION = lambda text: f"(CAST(('0x' || substr(md5({text}), 1, 7)) AS BIGINT) / 268435456.0)"
+WRITERS = "SELECT DISTINCT concat('nota', CAST(o_custkey AS STRING)) AS source, o_custkey % 40 AS writer FROM orders WHERE o_custkey % 7 <> 0"
+
+
+@query(f"""
+WITH g AS (SELECT s.source, {FRACTION("coalesce(CAST(w.writer AS VARCHAR), '__unmapped__' || s.source)")} AS place FROM (SELECT DISTINCT split_part(file_name, '_jpg.rf.', 1) AS source FROM ({V.IMAGES}) i) s LEFT JOIN ({WRITERS}) w ON w.source = s.source)
+SELECT source, CASE WHEN place < 0.15 OR (place = (SELECT min(place) FROM g) AND NOT EXISTS (SELECT 1 FROM g x WHERE x.place < 0.15)) THEN 'val'
+  WHEN place < 0.3 OR (place = (SELECT max(place) FROM g) AND NOT EXISTS (SELECT 1 FROM g x WHERE x.place >= 0.15 AND x.place < 0.3)) THEN 'test' ELSE 'train' END AS split FROM g
+""")
+def writer_split(spark: SparkSession, d: str) -> DataFrame:
+    """T-06, by writer."""
+    return splits.writer_split(_images(spark, d), V.view(spark, d, WRITERS))
+
+
+PREDICTED = f"SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY box_idx) AS at, CASE WHEN box_idx % 9 = 0 THEN NULL ELSE concat(' ', text) END AS text, CASE WHEN box_idx % 11 = 0 THEN NULL ELSE conf END AS conf FROM ({V.BOXES}) b WHERE doc_id % 3 <> 0 OR box_idx % 8 <> 3"
+
+
+@query(f"""
+SELECT b.doc_id, b.box_idx, trim(coalesce(p.text, '')) AS text, round(coalesce(p.conf, 0), 6) AS conf FROM (SELECT doc_id, box_idx, row_number() OVER (PARTITION BY doc_id ORDER BY box_idx) AS at FROM ({V.BOXES}) x) b JOIN ({PREDICTED}) p ON p.doc_id = b.doc_id AND p.at = b.at
+""")
+def boxes_with_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """J-14: places of a document's boxes and predictions; some documents have fewer predictions."""
+    boxes = V.view(spark, d, V.BOXES).select("doc_id", "box_idx")
+    return receipts.with_predictions(boxes, V.view(spark, d, PREDICTED)).select("doc_id", "box_idx", "text", F.round("conf", 6).alias("conf"))
+
+
+KEYED = lambda what: FRACTION(f"concat(CAST(doc_id AS VARCHAR), ':', {what})")
+ORDER_LIST = "[" + ", ".join("[" + ", ".join(f"'{role}'" for role in order) + "]" for order in layouts.COLUMN_ORDERS) + "]"
+WIDTH_CASE = " ".join(f"WHEN '{role}' THEN {w}" for role, w in layouts.BASE_WIDTHS.items())
+LAYOUTS = f"""
+SELECT doc_id, layout, n_rows, ruled, header_y, row_h, place, role, coalesce(sum(raw) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(raw) OVER (PARTITION BY doc_id) AS lft, raw / sum(raw) OVER (PARTITION BY doc_id) AS width FROM (
+  SELECT *, CASE role {WIDTH_CASE} END * ({KEYED("role")} * 0.45 + 0.8) AS raw FROM (
+    SELECT *, unnest(({ORDER_LIST})[layout + 1]) AS role, unnest(range(0, len(({ORDER_LIST})[layout + 1]))) AS place FROM (
+      SELECT doc_id, CAST(floor({KEYED("'order'")} * 5) AS INT) AS layout, CAST(floor({KEYED("'rows'")} * 9) + 8 AS INT) AS n_rows, {KEYED("'ruled'")} < 0.75 AS ruled, {KEYED("'header'")} * 0.12 + 0.16 AS header_y, {KEYED("'row'")} * 0.017 + 0.038 AS row_h FROM ({V.DOCS}) d) f) r) w
+"""
+
+
+@query(f"SELECT doc_id, layout, n_rows, ruled, round(header_y, 6) AS header_y, round(row_h, 6) AS row_h, CAST(place AS INT) AS place, role, round(lft, 6) AS lft, round(width, 6) AS width FROM ({LAYOUTS}) l")
+def sampled_layouts(spark: SparkSession, d: str) -> DataFrame:
+    """T-09, G-09."""
+    out = layouts.sample_layouts(V.view(spark, d, V.DOCS))
+    return out.select("doc_id", "layout", "n_rows", "ruled", F.round("header_y", 6).alias("header_y"), F.round("row_h", 6).alias("row_h"), "place", "role", F.round("left", 6).alias("lft"), F.round("width", 6).alias("width"))
+
+
+@query(f"SELECT doc_id, CAST(r AS INT) AS row, role, round(lft * 1536, 4) AS x, round((header_y + r * row_h) * 2048, 4) AS y, round(width * 1536, 4) AS w, round(row_h * 2048, 4) AS h FROM (SELECT *, unnest(range(1, n_rows + 1)) AS r FROM ({LAYOUTS}) l) t")
+def truth_boxes(spark: SparkSession, d: str) -> DataFrame:
+    """G-10: the boxes of sampled forms without pixels."""
+    out = layouts.truth_boxes(layouts.sample_layouts(V.view(spark, d, V.DOCS)))
+    return out.select("doc_id", "row", "role", *[F.round(c, 4).alias(c) for c in "xywh"])
+
+
+WEIGHTS = {"paper": 3.0, "ruled": 1.5, "photo": 0.5}
+
+
+@query(f"SELECT kind, count(*) AS n FROM (SELECT CASE WHEN {KEYED("'kind'")} * 5 < 3 THEN 'paper' WHEN {KEYED("'kind'")} * 5 < 4.5 THEN 'ruled' ELSE 'photo' END AS kind FROM ({V.DOCS}) d) k GROUP BY kind")
+def weighted_draws(spark: SparkSession, d: str) -> DataFrame:
+    """T-09: weighted draws of a kind for each document."""
+    docs = V.view(spark, d, V.DOCS)
+    return docs.groupBy(layouts.weighted_choice(layouts.fraction(F.col("doc_id"), "kind"), WEIGHTS).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
