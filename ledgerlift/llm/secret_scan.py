@@ -9,9 +9,9 @@ from __future__ import annotations
 
 import base64
 import binascii
-import hashlib
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,10 +29,12 @@ SSH_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"e
 
 ASSIGN_WORDS = ("passw", "secret", "token", "api")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{14,})\.([A-Za-z0-9_-]{3,})\.([A-Za-z0-9_-]*))")  # {"alg":""} has 14 digits, {} has 3
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----((?:\s*[A-Za-z][A-Za-z0-9-]*:[^\n]*\n)*)([A-Za-z0-9+/=\s]+)-----END \1-----")
+ENCRYPTED = re.compile(r"Proc-Type:\s*4,\s*ENCRYPTED\s+DEK-Info:\s*[A-Z0-9-]+,\s*((?:[0-9A-Fa-f]{2}){8,})\s")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 NEXT_LINE = re.compile(r"[\x20\t]*\r?\n[\x20\t]*([A-Za-z0-9+/_-]+)(={0,2})")
 LONG_HEX = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
+SPACED_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{2}(?:[:\x20-][0-9A-Fa-f]{2}|[:\x20]?\r?\n[\x20\t]*[0-9A-Fa-f]{2}){23,}(?![0-9A-Fa-f])")
 
 
 def decoded(run: str) -> bytes | None:
@@ -137,25 +139,36 @@ def structural_spans(text: str) -> list[tuple[int, str, int]]:
             at = next((at for at in starts(m[1], 14, JSON_STARTS) if is_signed_token(m[1][at:], m[2])), None)
             if at is not None:
                 found.append((m.start() + at, "jwt", m.end(3)))
-    blocks = []
+    starts_, ends = [], []  # of what is found, in order; no two overlap
+
+    def covered(at: int) -> bool:
+        before = bisect_right(starts_, at) - 1
+        return before >= 0 and at < ends[before]
+
+    def cover(start: int, end: int) -> None:
+        at = bisect_right(starts_, start)
+        starts_.insert(at, start)
+        ends.insert(at, end)
+
     if "-----BEGIN" in text:
         for m in PEM.finditer(text):
-            data = decoded(re.sub(r"\s+", "", m[2]))
-            if data and (key_kind(data) or (data[:1] == b"\x30" and der_items(data))):
+            data = decoded(re.sub(r"\s+", "", m[3]))
+            if data and (key_kind(data) or (data[:1] == b"\x30" and der_items(data)) or (ENCRYPTED.search(m[2]) and len(data) >= 32 and len(data) % 8 == 0)):
                 found.append((m.start(), "pem", m.end()))
-                blocks.append(m.span())
+                cover(*m.span())
     for m in BASE64.finditer(text):
-        if any(a <= m.start() < b for a, b in blocks):
+        if covered(m.start()):
             continue
         tries = ((at, key_kind(decoded(run[at:]) or b""), end) for run, end in wrapped_runs(text, m) for at in starts(m[0], 4, KEY_STARTS))
         if hit := next((t for t in tries if t[1]), None):
             found.append((m.start() + hit[0], hit[1], hit[2]))
-            blocks.append((m.start(), hit[2]))
-    for pattern, decode in ((BASE64, decoded), (LONG_HEX, bytes.fromhex)):
+            cover(m.start(), hit[2])
+    plain_hex = lambda run: bytes.fromhex(re.sub(r"[^0-9A-Fa-f]", "", run))
+    for pattern, decode in ((BASE64, decoded), (LONG_HEX, bytes.fromhex), (SPACED_HEX, plain_hex)):
         for m in pattern.finditer(text):
-            if any(a <= m.start() < b for a, b in blocks):
+            if covered(m.start()):
                 continue
-            for at in starts(m[0], 40, KEY_STARTS):
+            for at in starts(m[0], 40, KEY_STARTS) if pattern is not SPACED_HEX else (0,):
                 data = decode(m[0][at:])
                 if data and (kind := key_kind(data)):
                     found.append((m.start() + at, kind, m.end()))
@@ -231,7 +244,3 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET
         return pd.Series([redacted(text, mark) for text in texts], dtype=object)
 
     return docs.withColumn(text_col, redact(F.col(text_col)))
-
-
-def sha256_of(spans: list[tuple[int, str, int]]) -> str:
-    return hashlib.sha256(_joined(spans).encode()).hexdigest()

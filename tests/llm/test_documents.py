@@ -448,3 +448,27 @@ def test_glued_keys_hex_keys_and_spaced_headers_are_found():
     part = lambda s: base64.urlsafe_b64encode(s.encode()).decode().rstrip("=")
     token = part('\n {"alg":"HS256"}') + "." + part('{"a":1}') + ".c2ln"
     assert (2, "jwt", 2 + len(token)) in secret_scan.structural_spans(f"t {token}")
+
+
+def test_encrypted_pem_and_spaced_hex_are_found():
+    import base64
+
+    body = base64.b64encode(bytes(range(64))).decode()
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{head}{body}\n-----END RSA PRIVATE KEY-----"
+    assert (2, "pem", 2 + len(pem)) in secret_scan.structural_spans(f"a {pem} b")
+    assert not secret_scan.structural_spans(f"-----BEGIN X-----\nComment: none\n\n{body}\n-----END X-----")
+    for by in (":", " ", "-"):
+        run = by.join(f"{b:02x}" for b in _der(40))
+        assert (3, "der", 3 + len(run)) in secret_scan.structural_spans(f"k: {run}.")
+    lines = ":\n    ".join(":".join(f"{b:02x}" for b in _der(40)[i : i + 15]) for i in range(0, len(_der(40)), 15))
+    assert [s[1] for s in secret_scan.structural_spans(f"x\n    {lines}\n")] == ["der"]
+
+
+def test_many_keys_are_scanned_in_time():
+    import base64
+    import time
+
+    run = base64.b64encode(_der(60)).decode()
+    text, began = f" {run} ," * 8000, time.time()
+    assert len(secret_scan.structural_spans(text)) == 8000 and time.time() - began < 20
