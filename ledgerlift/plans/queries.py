@@ -904,6 +904,58 @@ def part_accuracy_methods(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.score(demand.forecast(train, HORIZON), test, evaluate.naive_scale(train))
 
 
+CLOSED = f"""
+SELECT 'SeasonalNaive' AS method, unique_id, ds, yhat FROM ({SNAIVE}) a UNION ALL SELECT 'CrostonSBA' AS method, unique_id, last + CAST(h AS INT) AS ds, croston AS yhat FROM ({_flat_sql(TRAIN)}) b, ({AHEAD}) g
+UNION ALL SELECT 'TSB' AS method, unique_id, last + CAST(h AS INT) AS ds, tsb AS yhat FROM ({_flat_sql(TRAIN)}) c, ({AHEAD}) g
+"""
+POLICY = f"""
+WITH RECURSIVE s AS (SELECT f.method, f.unique_id, CAST(row_number() OVER (PARTITION BY f.method, f.unique_id ORDER BY f.ds) - 1 AS INT) AS t, greatest(0, f.yhat) AS p, CAST(coalesce(t.y, 0) AS DOUBLE) AS want FROM ({CLOSED}) f LEFT JOIN ({TEST}) t ON t.unique_id = f.unique_id AND t.ds = f.ds),
+safe AS (SELECT unique_id, {demand.SERVICE_Z} * stddev_pop(y) * sqrt({demand.LEAD}) AS safety FROM ({TRAIN}) z GROUP BY unique_id),
+par AS (SELECT *, greatest(reorder + mean * 7, reorder + 1) AS up_to FROM (SELECT method, s.unique_id, sum(p) FILTER (t < {demand.LEAD}) + any_value(safety) AS reorder, avg(p) AS mean FROM s JOIN safe ON safe.unique_id = s.unique_id GROUP BY method, s.unique_id) q),
+w AS (
+  SELECT method, unique_id, t, want, sold, up_to - sold AS closing, CASE WHEN up_to - sold <= reorder THEN {demand.LEAD} ELSE -1 END AS due, CASE WHEN up_to - sold <= reorder THEN greatest(1, sold) ELSE 0 END AS qty
+  FROM (SELECT s.*, par.up_to, par.reorder, least(want, up_to) AS sold FROM s JOIN par ON par.method = s.method AND par.unique_id = s.unique_id WHERE t = 0) a
+  UNION ALL
+  SELECT method, unique_id, t, want, sold, closing, CASE WHEN closing <= reorder AND NOT waits THEN t + {demand.LEAD} WHEN waits THEN due ELSE -1 END, CASE WHEN closing <= reorder AND NOT waits THEN greatest(1, up_to - closing) WHEN waits THEN qty ELSE 0 END
+  FROM (SELECT *, opening - sold AS closing FROM (SELECT *, least(want, opening) AS sold FROM (
+    SELECT s.method, s.unique_id, s.t, s.want, w.closing + CASE WHEN w.due = s.t THEN w.qty ELSE 0 END AS opening, (w.due >= 0 AND w.due <> s.t) AS waits, w.due, w.qty, par.up_to, par.reorder
+    FROM w JOIN s ON s.method = w.method AND s.unique_id = w.unique_id AND s.t = w.t + 1 JOIN par ON par.method = w.method AND par.unique_id = w.unique_id) a) b) c
+)
+SELECT method, round(sum(sold) / greatest(sum(want), 1), 6) AS fill_rate, round(sum(closing) / greatest(count(*), 1), 6) AS avg_on_hand FROM w GROUP BY method
+"""
+
+
+@query(POLICY)
+def policy_closed(spark: SparkSession, d: str) -> DataFrame:
+    """W-07, A-24, A-28 for the closed methods."""
+    train, test = _cut(spark, d)
+    return demand.run_policy(demand.forecast(train, HORIZON), train, test)
+
+
+@query(f"""
+SELECT unique_id, ds, round(max(yhat) FILTER (method = 'SeasonalNaive'), 6) AS naive, round(max(yhat) FILTER (method = 'CrostonSBA'), 6) AS croston, round(max(yhat) FILTER (method = 'TSB'), 6) AS tsb FROM ({CLOSED}) c GROUP BY unique_id, ds
+""")
+def fc_wide_closed(spark: SparkSession, d: str) -> DataFrame:
+    """J-06: the closed methods in columns."""
+    wide = demand.forecast_wide(demand.forecast(_cut(spark, d)[0], HORIZON))
+    return wide.select("unique_id", "ds", *[F.round(c, 6).alias(n) for c, n in (("SeasonalNaive", "naive"), ("CrostonSBA", "croston"), ("TSB", "tsb"))])
+
+
+QUADRANT_SQL = ORACLES["demand_quadrants"]
+
+
+@query(f"""
+SELECT f.method, q.quadrant, count(*) AS n, round(avg(abs(f.yhat - t.y) / s.scale), 6) AS mase FROM ({CLOSED}) f JOIN ({TEST}) t ON t.unique_id = f.unique_id AND t.ds = f.ds JOIN ({SCALE}) s ON s.unique_id = f.unique_id
+JOIN ({QUADRANT_SQL}) q ON q.unique_id = f.unique_id GROUP BY f.method, q.quadrant
+""")
+def accuracy_closed_by_quadrant(spark: SparkSession, d: str) -> DataFrame:
+    """A-19, J-08 for the closed methods."""
+    train, test = _cut(spark, d)
+    named = demand.quadrants(_panel(spark, d)).select("unique_id", "quadrant")
+    scored = evaluate.score(demand.forecast(train, HORIZON).join(named, "unique_id"), test, evaluate.naive_scale(train), ["quadrant"])
+    return scored.select("method", "quadrant", "n", "mase")
+
+
 # --- further splits, draws and joins ------------------------------------------------------------------------------
 
 FRACTION = lambda text: f"(CAST(('0x' || substr(md5({text}), 1, 7)) AS BIGINT) / 268435456.0)"
