@@ -67,6 +67,8 @@ def is_label(text: Column) -> Column:
     return (F.trim(text) != "") & ~F.trim(text).isin(*PLACEHOLDERS)
 
 
-def jittered_price(base: Column, factor: Column, step: int = 500) -> Column:
-    """base x factor cut down to whole steps; the base itself where nothing would be left."""
+def jittered_price(base: Column, factor: Column, step: int = 500, least: int | None = None) -> Column:
+    """base x factor cut down to whole steps; where nothing would be left the base itself, or `least` at least if given."""
+    if least is not None:
+        return F.greatest(F.lit(least).cast("bigint"), (F.floor(base * factor / step) * step).cast("bigint"))
     return F.coalesce(F.nullif((F.floor(base * factor / step) * step).cast("bigint"), F.lit(0)), base.cast("bigint"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerlift.functions.geometry import crop_rectangle
 from ledgerlift.functions.text import is_label, source_id
@@ -53,12 +54,15 @@ def rare_labels(annotations: DataFrame, categories: DataFrame, most: int = 2, k:
     return counts.join(categories.select(F.col("id").alias("category_id"), "name"), "category_id").orderBy("n", "category_id").limit(k)
 
 
-def crops(annotations: DataFrame, images: DataFrame, categories: DataFrame, pad: float = 0.05) -> DataFrame:
-    """(image_id, category_id, name, source, left, top, right, bottom, reason): reason is null for crops that are cut."""
+def crops(annotations: DataFrame, images: DataFrame, categories: DataFrame, pad: float = 0.05, least_side: float = 4) -> DataFrame:
+    """(image_id, category_id, name, source, left, top, right, bottom, reason): reason is null for crops that are cut.
+
+    Boxes with a side below `least_side` are degenerate: 4 for crops, 2 for counting, 6 for composites, 8 after a warp.
+    """
     a = annotations.join(images.select(F.col("id").alias("image_id"), "file_name", F.col("width").alias("page_w"), F.col("height").alias("page_h")), "image_id", "left")
     a = a.join(categories.select(F.col("id").alias("category_id"), "name"), "category_id", "left")
     box = crop_rectangle(F.col("x"), F.col("y"), F.col("w"), F.col("h"), F.col("page_w"), F.col("page_h"), pad)
-    reason = F.when(F.col("file_name").isNull(), "missing_image").when(~F.coalesce(is_label(F.col("name")), F.lit(False)), "placeholder").when((F.col("w") < 4) | (F.col("h") < 4), "degenerate")
+    reason = F.when(F.col("file_name").isNull(), "missing_image").when(~F.coalesce(is_label(F.col("name")), F.lit(False)), "placeholder").when((F.col("w") < least_side) | (F.col("h") < least_side), "degenerate")
     return a.select("image_id", "category_id", "name", source_id(F.col("file_name")).alias("source"), box.alias("box"), reason.alias("reason")).select("image_id", "category_id", "name", "source", "box.*", "reason")
 
 
@@ -110,6 +114,14 @@ def text_fields(rows: DataFrame, column: str, candidates: list[str]) -> DataFram
     return rows.groupBy(first.alias("field")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def text_field_examples(rows: DataFrame, column: str, candidates: list[str], k: int = 5) -> DataFrame:
+    """(field, value): the first k distinct values, in their order, of each field that `text_fields` counts."""
+    entries = F.from_json(column, "map<string,string>")
+    found = F.coalesce(*[F.when(entries[key].isNotNull(), F.struct(F.lit(key).alias("field"), entries[key].alias("value"))) for key in candidates])
+    values = rows.select(found.alias("f")).where("f IS NOT NULL").select("f.*").distinct()
+    return values.withColumn("n", F.row_number().over(Window.partitionBy("field").orderBy("value"))).where(F.col("n") <= k).drop("n")
+
+
 def label_summary(annotations: DataFrame) -> DataFrame:
     """(labels, receipts, words, numeric_share) of named annotations (name, source)."""
     numeric = F.coalesce(F.col("name").rlike("^[0-9]+$"), F.lit(False)).cast("double")

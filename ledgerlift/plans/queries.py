@@ -956,6 +956,31 @@ def accuracy_closed_by_quadrant(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("method", "quadrant", "n", "mase")
 
 
+@query(f"SELECT id, greatest(500, CAST(floor(base * u / 500) * 500 AS BIGINT)) AS price FROM ({PRICED}) p")
+def least_prices(spark: SparkSession, d: str) -> DataFrame:
+    """F-21, the form with a least price."""
+    return V.view(spark, d, PRICED).select("id", T.jittered_price(F.col("base"), F.col("u"), least=500).alias("price"))
+
+
+@query(f"SELECT side, count(*) FILTER (w < side OR h < side) AS degenerate FROM ({V.ANNOTATIONS}) a, (SELECT unnest([2, 4, 6, 8]) AS side) s GROUP BY side")
+def degenerate_sides(spark: SparkSession, d: str) -> DataFrame:
+    """F-11: boxes that fall short of each of the least sides that are in use."""
+    images, names = V.view(spark, d, V.IMAGES), V.view(spark, d, "SELECT p_partkey AS id, 'named' AS name FROM part")
+    boxes = V.view(spark, d, V.ANNOTATIONS)
+    arm = lambda side: audit.crops(boxes, images, names, least_side=side).agg(F.lit(side).alias("side"), F.count_if(F.col("reason") == "degenerate").alias("degenerate"))
+    return arm(2).unionByName(arm(4)).unionByName(arm(6)).unionByName(arm(8))
+
+
+@query(f"""
+SELECT field, value FROM (SELECT field, value, row_number() OVER (PARTITION BY field ORDER BY value) AS rn FROM (
+  SELECT DISTINCT CASE WHEN t IS NOT NULL THEN 'text' WHEN l IS NOT NULL THEN 'label' WHEN k IS NOT NULL THEN 'k' END AS field, coalesce(t, l, k) AS value
+  FROM (SELECT json_extract_string(js, '$.text') AS t, json_extract_string(js, '$.label') AS l, json_extract_string(js, '$.k') AS k FROM ({FIELDS}) j) e) v WHERE field IS NOT NULL) x WHERE rn <= 5
+""")
+def text_field_examples(spark: SparkSession, d: str) -> DataFrame:
+    """F-16: five examples of each text field; a limit that is the feature."""
+    return audit.text_field_examples(V.view(spark, d, FIELDS), "js", ["text", "label", "k"])
+
+
 # --- further splits, draws and joins ------------------------------------------------------------------------------
 
 FRACTION = lambda text: f"(CAST(('0x' || substr(md5({text}), 1, 7)) AS BIGINT) / 268435456.0)"
