@@ -3,6 +3,7 @@
 import math
 import os
 
+import pandas as pd
 import pytest
 
 from ledgerlift.plans import queries as Q
@@ -22,7 +23,7 @@ def duck():
 
 
 def plain(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
         return None
     if hasattr(v, "year"):
         return str(v)[:10]
