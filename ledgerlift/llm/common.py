@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from ledgerlift.shared import cut_lineage, shared_folder, written
+
+__all__ = ["carried_id", "cut_lineage", "groups", "shared_folder", "table", "whole_text", "written"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,37 +33,6 @@ def carried_id(df: DataFrame, name: str) -> tuple[Column, str]:
     return (F.col(name).cast("string"), "string") if isinstance(kind, IntegralType) else (F.col(name), kind.simpleString())
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir.
-
-    Where the session names none, a temporary one is set if the master is local; on a cluster that folder would not be
-    shared, and it is an error.
-    """
-    context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if named is None:
-        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        named = tempfile.mkdtemp("-checkpoints")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder and read it from there: lost executors cost no recomputation."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def written(df: DataFrame) -> DataFrame:
-    """As `cut_lineage`, by a Parquet table in the shared folder. Loops need it: a checkpointed frame keeps the size that
-    the optimizer guessed for its plan, and the guess for a join is a product, so that it grows without bound by rounds."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
     """Cut the batches of a partition that is sorted by `key` at its changes; a group may span batches."""
     held: list[pd.DataFrame] = []

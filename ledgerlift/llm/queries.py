@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlift.llm import bpe, exact_dedup, html_extract, near_embeddings, ngram_join, packing, quality, secret_scan, toxicity, url_filter
+from ledgerlift.llm import bpe, exact_dedup, hard_negatives, html_extract, mixing, near_embeddings, ngram_join, packing, quality, secret_scan, spelling, toxicity, url_filter
 from ledgerlift.llm.common import table
 
 
@@ -53,6 +54,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,9 +99,19 @@ FROM component LEFT JOIN counted ON counted.a = component.node
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_near_embeddings, op2_url_filter, op3_ngram_join, op4_secret_scan, op5_exact_dedup, op6_bpe, op7_html_extract, op8_quality, op9_toxicity, op10_packing, pipeline)
+    ops = (
+        op1_near_embeddings, op2_url_filter, op3_ngram_join, op4_secret_scan, op5_exact_dedup, op6_bpe, op7_html_extract,
+        op8_quality, op9_toxicity, op10_packing, op11_hard_negatives, op12_spelling_variants, op13_source_mix, pipeline,
+    )
     return {op.__name__: op for op in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_embeddings": OP1_SQL, "op2_url_filter": url_filter.ORACLE_SQL, "op5_exact_dedup": OP5_SQL}
+    return {
+        "op1_near_embeddings": OP1_SQL,
+        "op2_url_filter": url_filter.ORACLE_SQL,
+        "op5_exact_dedup": OP5_SQL,
+        "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+        "op12_spelling_variants": spelling.ORACLE_SQL,
+        "op13_source_mix": mixing.ORACLE_SQL,
+    }
