@@ -13,6 +13,7 @@ import json
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -92,6 +93,12 @@ def is_signed_token(header: str, payload: str) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
 
 
+def starts_object(run: str, at: int) -> bool:
+    """Whether the first digits from `at` on may be those of a JSON object."""
+    head = (decoded(run[at : at + 400]) or b"{\"").lstrip(b"\t\n\r ")
+    return not head or (head[:1] == b"{" and head[1:].lstrip(b"\t\n\r ")[:1] in (b"", b'"', b"}"))
+
+
 def starts(run: str, least: int, first: tuple[str, ...]) -> Iterator[int]:
     """0, and places after a '_', '-' or '/' from which `least` digits are left and the digits start like `first`."""
     yield 0
@@ -104,19 +111,66 @@ def starts(run: str, least: int, first: tuple[str, ...]) -> Iterator[int]:
 KEY_STARTS, JSON_STARTS = ("M", "AAAA", "b3BlbnNz"), ("e", "I", "C", "D")
 
 
-def wrapped_runs(text: str, m: re.Match) -> Iterator[tuple[str, int]]:
-    """(joined digits, end) of a base64 run and the lines of it that follow: lines of one width, then one that may be shorter."""
-    ends, parts, width = [m.end()], [m[0]], 0
-    while not parts[-1].endswith("=") and (n := NEXT_LINE.match(text, ends[-1])):
-        if width and len(n[1]) > width:
-            break
-        ends.append(n.end())
-        parts.append(n[1] + n[2])
-        if width and len(n[1]) < width:
-            break
-        width = len(n[1])
-    for lines in range(len(parts), max(1, len(parts) - 2), -1):
-        yield "".join(parts[:lines]), ends[lines - 1]
+def key_in(digits: str, at: int, end: int) -> str | None:
+    """What `key_kind` says of base64 digits[at:end], without padding. The outermost lengths are followed first, each from a
+    few digits; only if they add up is the rest decoded. So what is no key costs little, however long it is."""
+    size = (end - at) * 3 // 4
+    if (end - at) % 4 == 1:
+        return None
+
+    def read(place: int, n: int) -> bytes:
+        first = at + place // 3 * 4
+        return (decoded(digits[first : min(end, first + 4 * (n // 3 + 2))]) or b"")[place % 3 : place % 3 + n]
+
+    head, place = read(0, 40), 0
+    if head[:1] == b"\x30":
+        while place < size:
+            value = read(place, 6)
+            if len(value) < 2:
+                return None
+            length, width = value[1], 0
+            if length >= 0x80:
+                width = length & 0x7F
+                if not 1 <= width <= 4 or len(value) < 2 + width:
+                    return None
+                length = int.from_bytes(value[2 : 2 + width])
+            place += 2 + width + length
+    elif head.startswith(b"openssh-key-v1\x00"):
+        place = size
+    elif int.from_bytes(head[:4]) <= 32 and head[4 : 4 + int.from_bytes(head[:4])] in SSH_TYPES:
+        while place + 4 <= size:
+            place += 4 + int.from_bytes(read(place, 4))
+    return key_kind(decoded(digits[at:end]) or b"") if place == size else None
+
+
+class Lines:
+    """Base64 lines that follow one another up to a padded one: their digits, joined once, and where each begins and ends."""
+
+    def __init__(self, text: str, m: re.Match) -> None:
+        parts, self.ends, starts_, padded = [m[0].rstrip("=")], [m.end()], [m.start()], m[0].endswith("=")
+        while not padded and (n := NEXT_LINE.match(text, self.ends[-1])):
+            parts.append(n[1])
+            self.ends.append(n.end())
+            starts_.append(n.start(1))
+            padded = bool(n[2])
+        self.line = {start: i for i, start in enumerate(starts_)}
+        self.digits, self.at = "".join(parts), [0, *accumulate(map(len, parts))]
+        self.width = [e - s for s, e in zip(starts_, self.ends, strict=True)]  # with padding
+        self.width[-1] = len(parts[-1])
+        # from each line on, the first that is of another width
+        self.other = [len(parts)] * len(parts)
+        for i in range(len(parts) - 2, -1, -1):
+            self.other[i] = self.other[i + 1] if self.width[i] == self.width[i + 1] else i + 1
+
+    def wrapped(self, i: int) -> Iterator[int]:
+        """How many lines a run from line i on may have: lines of one width, then one that may be shorter; or one less."""
+        if i + 1 == len(self.width):
+            return
+        last = self.other[i + 1]
+        if last < len(self.width) and self.width[last] < self.width[i + 1]:
+            last += 1
+        for end in range(last, max(i + 1, last - 2), -1):
+            yield end - i
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -136,7 +190,8 @@ def structural_spans(text: str) -> list[tuple[int, str, int]]:
     found = []
     if text.count(".") > 1:
         for m in JWT.finditer(text):
-            at = next((at for at in starts(m[1], 14, JSON_STARTS) if is_signed_token(m[1][at:], m[2])), None)
+            header, payload = m[1], m[2]
+            at = next((at for at in starts(header, 14, JSON_STARTS) if starts_object(header, at) and is_signed_token(header[at:], payload)), None)
             if at is not None:
                 found.append((m.start() + at, "jwt", m.end(3)))
     starts_, ends = [], []  # of what is found, in order; no two overlap
@@ -156,23 +211,28 @@ def structural_spans(text: str) -> list[tuple[int, str, int]]:
             if data and (key_kind(data) or (data[:1] == b"\x30" and der_items(data)) or (ENCRYPTED.search(m[2]) and len(data) >= 32 and len(data) % 8 == 0)):
                 found.append((m.start(), "pem", m.end()))
                 cover(*m.span())
+    lines = None
     for m in BASE64.finditer(text):
         if covered(m.start()):
             continue
-        tries = ((at, key_kind(decoded(run[at:]) or b""), end) for run, end in wrapped_runs(text, m) for at in starts(m[0], 4, KEY_STARTS))
+        if lines is None or m.start() not in lines.line:
+            lines = Lines(text, m)
+        i = lines.line[m.start()]
+        tries = ((at, key_in(lines.digits, lines.at[i] + at, lines.at[i + n]), lines.ends[i + n - 1]) for n in lines.wrapped(i) for at in starts(m[0], 4, KEY_STARTS))
         if hit := next((t for t in tries if t[1]), None):
             found.append((m.start() + hit[0], hit[1], hit[2]))
             cover(m.start(), hit[2])
+    for m in BASE64.finditer(text):
+        if covered(m.start()):
+            continue
+        run, end = m[0], len(m[0].rstrip("="))
+        if hit := next(((at, kind) for at in starts(run, 40, KEY_STARTS) if (kind := key_in(run, at, end))), None):
+            found.append((m.start() + hit[0], hit[1], m.end()))
     plain_hex = lambda run: bytes.fromhex(re.sub(r"[^0-9A-Fa-f]", "", run))
-    for pattern, decode in ((BASE64, decoded), (LONG_HEX, bytes.fromhex), (SPACED_HEX, plain_hex)):
+    for pattern, decode in ((LONG_HEX, bytes.fromhex), (SPACED_HEX, plain_hex)):
         for m in pattern.finditer(text):
-            if covered(m.start()):
-                continue
-            for at in starts(m[0], 40, KEY_STARTS) if pattern is not SPACED_HEX else (0,):
-                data = decode(m[0][at:])
-                if data and (kind := key_kind(data)):
-                    found.append((m.start() + at, kind, m.end()))
-                    break
+            if not covered(m.start()) and (kind := key_kind(decode(m[0]))):
+                found.append((m.start(), kind, m.end()))
     return found
 
 
