@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -136,24 +137,24 @@ def grouped_sizes(counts: dict[int, int], small: int, groups: int) -> list[tuple
     return list(merged.items())
 
 
-def optimise(sizes: list[int], demand: list[int], capacity: int, rounds: int = 150) -> list[tuple[tuple[int, ...], int]]:
+def optimise(sizes: list[int], demand: list[int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Configurations (how many of each size) with whole multiplicities that meet part or all of the demand.
 
     Column generation for the cutting-stock relaxation: a basis of as many configurations as sizes, priced by its duals;
-    a knapsack finds the configuration worth most; the ratio test swaps it in. Multiplicities are rounded down; what that
-    leaves is less than one sequence a size, and is placed by best fit afterwards.
+    a knapsack finds the configuration worth most; the ratio test swaps it in, until none is worth more than a sequence.
+    The demand is raised by shares of a millionth that differ by size: then no swap leaves the total as it was, none can
+    come back, and the rounds end. Multiplicities, of the demand as it is, are rounded down; what that leaves is less than
+    one sequence a size, and is placed by best fit afterwards.
     """
     k = len(sizes)
     if not k:
         return []
     need = np.array(demand, float)
+    apart = need + np.random.default_rng(k).uniform(0.5, 1, k) * 1e-6 * need.max()
     basis = np.diag([float(capacity // s) for s in sizes])
-    amount = need / np.diag(basis)
-    for _ in range(rounds):
-        try:
-            dual = np.linalg.solve(basis.T, np.ones(k))
-        except np.linalg.LinAlgError:
-            break
+    amount = apart / np.diag(basis)
+    while True:
+        dual = np.linalg.solve(basis.T, np.ones(k))
         column, worth = _knapsack(sizes, dual, capacity)
         if worth <= 1 + 1e-7:
             break
@@ -162,7 +163,8 @@ def optimise(sizes: list[int], demand: list[int], capacity: int, rounds: int = 1
         ratio = np.where(rising, amount / np.where(rising, change, 1), np.inf)
         out = int(ratio.argmin())
         basis[:, out] = column
-        amount = np.maximum(np.linalg.solve(basis, need), 0)
+        amount = np.maximum(np.linalg.solve(basis, apart), 0)
+    amount = np.maximum(np.linalg.solve(basis, need), 0)
     plans = []
     for j in range(k):
         whole = int(amount[j] + 1e-9)
@@ -254,40 +256,37 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY, groups: int =
     rest = {n: c for n, c in counts.items() if n < capacity}
     small = capacity // small_share
     grouped = grouped_sizes(rest, small, groups)
-    pools = [list(reversed(members)) for _, members in grouped]  # smallest last, so that pop() takes the largest first
-    for pool in pools:
-        pool.reverse()
-    for config, times in optimise([top for top, _ in grouped], [sum(c for _, c in m) for _, m in grouped], capacity):
-        wanted = [i for i, n in enumerate(config) for _ in range(n)]
-        while times:
-            # substitute actual lengths: as many equal sequences at once as the pools allow
-            at = {i: 0 for i in set(wanted)}
-            run, chosen = times, []
-            uses: dict[tuple[int, int], int] = {}
-            for i in wanted:
-                pool = pools[i]
-                while at[i] < len(pool) and uses.get((i, at[i]), 0) >= pool[at[i]][1]:
-                    at[i] += 1
-                if at[i] < len(pool):
-                    uses[i, at[i]] = uses.get((i, at[i]), 0) + 1
-                    chosen.append(pool[at[i]][0])
-            if not chosen:
+    tops = [top for top, _ in grouped]
+    stock = {n: rest[n] for _, members in grouped for n, _ in members}
+    held = sorted(stock)
+    plans = optimise(tops, [sum(c for _, c in m) for _, m in grouped], capacity)
+    for wanted, times in sorted((tuple(i for i, n in enumerate(config) for _ in range(n)), times) for config, times in plans):
+        while times and len(wanted) > 1:  # alone, a rounded length tells nothing; best fit sees what it is
+            # substitute the largest actual lengths that fit, as many equal sequences at once as there are
+            uses: Counter[int] = Counter()
+            room = capacity
+            for place_, i in enumerate(wanted):
+                most = tops[i] if not place_ else room - sum(tops[j] for j in wanted[place_ + 1 :])
+                at = bisect_right(held, most) - 1
+                while at >= 0 and uses[held[at]] >= stock[held[at]]:
+                    at -= 1
+                if at >= 0:
+                    uses[held[at]] += 1
+                    room -= held[at]
+            if uses.total() < 2:
                 break
-            for (i, place_), used in uses.items():
-                run = min(run, pools[i][place_][1] // used)
-            offset = 0
-            for length in chosen:
-                place(length, run, sequences, offset)
-                offset += length
-            for (i, place_), used in uses.items():
-                length, left = pools[i][place_]
-                pools[i][place_] = (length, left - used * run)
-            for i in set(wanted):
-                pools[i] = [m for m in pools[i] if m[1]]
+            run, offset = min(times, *(stock[n] // used for n, used in uses.items())), 0
+            for length, used in uses.items():
+                for _ in range(used):
+                    place(length, run, sequences, offset)
+                    offset += length
+                stock[length] -= used * run
+                if not stock[length]:
+                    held.pop(bisect_left(held, length))
             rooms.add(capacity - offset, sequences, run)
             sequences += run
             times -= run
-    # what rounding down left of the large lengths, and all small ones, by best fit, largest first
+    # large lengths that are alone or that rounding down left, and all small ones, by best fit, largest first
     remaining = dict(rest)
     for length in rest:
         remaining[length] -= ranks[length]
