@@ -1,7 +1,10 @@
 """The document operators against brute force, with nulls, empty and very long texts, repeated rows and empty tables."""
 
+import base64
+import bisect
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
