@@ -75,7 +75,7 @@ def area(quad: Column) -> Column:
     return F.abs(F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)) / 2
 
 
-def warped_box(x: Column, y: Column, w: Column, h: Column, m: list[list[float]], width: Column, height: Column, pad: float = 0.10, min_side: float = 8) -> Column:
+def warped_box(x: Column, y: Column, w: Column, h: Column, m: list[list[float]] | list[list[Column]], width: Column, height: Column, pad: float = 0.10, min_side: float = 8) -> Column:
     """struct(x, y, w, h) of a box's extent under the homography m, padded and clamped; null if a side falls short."""
     def moved(p: Column) -> Column:
         scale = m[2][0] * p["x"] + m[2][1] * p["y"] + m[2][2]
@@ -96,3 +96,34 @@ def crop_rectangle(x: Column, y: Column, w: Column, h: Column, width: Column, he
     """struct(left, top, right, bottom): padded, cut toward zero, clamped to the page."""
     cut = lambda c: c.cast("int")
     return F.struct(F.greatest(F.lit(0), cut(x - w * pad)).alias("left"), F.greatest(F.lit(0), cut(y - h * pad)).alias("top"), F.least(width, cut(x + w + w * pad)).alias("right"), F.least(height, cut(y + h + h * pad)).alias("bottom"))
+
+
+def turned_point(p: Column, width: Column, height: Column, degrees: Column) -> Column:
+    """A point of a page that is turned counter-clockwise, on the canvas that `rotated_size` gives."""
+    new = rotated_size(width, height, degrees)
+    quarter = F.pmod(F.bround(degrees / 90, 0).cast("int"), F.lit(4))
+    point = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    cos, sin = F.cos(F.radians(degrees)), F.sin(F.radians(degrees))
+    x, y = p["x"] - width / 2, p["y"] - height / 2
+    return (F.when(new["action"] == "none", point(p["x"], p["y"]))
+            .when((new["action"] == "quarter") & (quarter == 0), point(p["x"], p["y"]))
+            .when((new["action"] == "quarter") & (quarter == 1), point(p["y"], width - p["x"]))
+            .when((new["action"] == "quarter") & (quarter == 2), point(width - p["x"], height - p["y"]))
+            .when(new["action"] == "quarter", point(height - p["y"], p["x"]))
+            .otherwise(point(x * cos + y * sin + new["width"] / 2, y * cos - x * sin + new["height"] / 2)))
+
+
+def perspective(width: Column, height: Column, corners: Column) -> list[list[Column]]:
+    """The homography that takes a page's corners, from the top left clockwise, to the four points given; m[2][2] is 1.
+
+    Four points leave eight equations; for a rectangle they fall apart: the two coefficients of the divisor come from a
+    2 x 2 system of the sides' differences, the others follow from the corners one by one.
+    """
+    x, y = [corners[i]["x"] for i in range(4)], [corners[i]["y"] for i in range(4)]
+    ax, ay, bx, by = x[1] - x[2], y[1] - y[2], x[3] - x[2], y[3] - y[2]
+    cx, cy = x[0] - x[1] + x[2] - x[3], y[0] - y[1] + y[2] - y[3]
+    size = ax * by - bx * ay
+    g, h = (cx * by - bx * cy) / size, (ax * cy - cx * ay) / size
+    return [[(x[1] - x[0] + g * x[1]) / width, (x[3] - x[0] + h * x[3]) / height, x[0]],
+            [(y[1] - y[0] + g * y[1]) / width, (y[3] - y[0] + h * y[3]) / height, y[0]],
+            [g / width, h / height, F.lit(1.0)]]

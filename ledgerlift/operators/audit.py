@@ -8,6 +8,9 @@ from pyspark.sql.window import Window
 
 from ledgerlift.functions.geometry import crop_rectangle
 from ledgerlift.functions.text import is_label, source_id
+from ledgerlift.operators.quantiles import exact_quantiles
+
+QUARTERS = (0.25, 0.5, 0.75)
 
 
 def with_images(annotations: DataFrame, images: DataFrame) -> DataFrame:
@@ -24,9 +27,14 @@ def box_quality(annotations: DataFrame, images: DataFrame) -> DataFrame:
 def describe(df: DataFrame, column: str) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear interpolation) and max of a column, rounded to 6 places."""
     c = F.col(column).cast("double")
-    quarts = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    one = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), quarts.alias("q"), F.max(c).alias("max"))
-    return one.select("n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", F.round(F.col("q")[0], 6).alias("p25"), F.round(F.col("q")[1], 6).alias("p50"), F.round(F.col("q")[2], 6).alias("p75"), "max")
+    one = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
+    found = exact_quantiles(df.select(F.lit(column).alias("name"), c.alias("v")), QUARTERS).get(column, [None] * 3)
+    return _described(one.withColumn("q", F.array(*[F.lit(q).cast("double") for q in found])))
+
+
+def _described(one: DataFrame, *names: str) -> DataFrame:
+    quarters = [F.round(F.col("q")[i], 6).alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
+    return one.select(*names, "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", *quarters, "max")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
@@ -100,11 +108,13 @@ def dataset_counts(images: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """`describe` of several columns in one pass: one row for each, by name."""
+    """`describe` of several columns: one row for each, by name."""
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns])
     v = F.col("v")
-    one = df.select(F.inline(pairs)).groupBy("name").agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.max(v).alias("max"))
-    return one.select("name", "n", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "min", F.round(F.col("q")[0], 6).alias("p25"), F.round(F.col("q")[1], 6).alias("p50"), F.round(F.col("q")[2], 6).alias("p75"), "max")
+    values = df.select(F.inline(pairs))
+    one = values.groupBy("name").agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    found = df.sparkSession.createDataFrame(list(exact_quantiles(values, QUARTERS).items()), "name string, q array<double>")
+    return _described(one.join(F.broadcast(found), "name"), "name")  # a row for each column
 
 
 def text_fields(rows: DataFrame, column: str, candidates: list[str]) -> DataFrame:

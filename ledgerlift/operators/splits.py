@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerlift.operators.ranks import running
+
 
 def naive_split(key: Column) -> Column:
     """80/10/10 by the key itself: kept as the leaky arm of the audit."""
@@ -18,28 +20,31 @@ def order_hash(source: Column) -> Column:
 
 
 def grouped_split(images: DataFrame, source: str = "source", val: float = 0.15, test: float = 0.15) -> DataFrame:
-    """(source, split): each source falls into one split whole.
+    """(source, split): each source falls into one split whole; val and test hold just their shares, rounded.
 
-    The shuffled order is a hash of the source, and its range is cut at the fractions, so that a source is placed without
-    ranking all others in one task. Shares are met in expectation.
+    The shuffled order is a hash of the source; a source's place in it is a rank that is worked out by ranges.
     """
-    at = order_hash(F.col(source)) / F.lit(float(16**7))
-    return images.select(source).distinct().select(F.col(source).alias("source"), F.when(at < val, "val").when(at < val + test, "test").otherwise("train").alias("split"))
+    named = _placed(images.select(F.col(source).alias("group")).distinct(), val, test, 0)
+    return named.select(F.col("group").alias("source"), "split")
+
+
+def _placed(groups: DataFrame, val: float, test: float, least: int) -> DataFrame:
+    """(group, split): the first share of the shuffled order is val, the next test, the rest train; at least `least` each."""
+    ranked = running(groups, [order_hash(F.col("group")), F.col("group")], {"place": F.lit(1)})
+    total = ranked.agg(F.count(F.lit(1)).alias("groups"))  # one row
+    many = lambda share: F.greatest(F.lit(least), F.bround(F.col("groups") * share, 0))
+    split = F.when(F.col("place") <= many(val), "val").when(F.col("place") <= many(val) + many(test), "test").otherwise("train")
+    return ranked.crossJoin(F.broadcast(total)).select("group", split.alias("split"))
 
 
 def writer_split(images: DataFrame, writers: DataFrame, source: str = "source", val: float = 0.15, test: float = 0.15) -> DataFrame:
     """(source, split) as `grouped_split`, whole writers at a time; a source without a writer is a group of its own.
 
-    writers: (source, writer). Val and test get a group each at least: the first of the order, and the last.
+    writers: (source, writer). Val and test get a group each at least, val first.
     """
     named = images.select(F.col(source).alias("source")).distinct().join(writers.select("source", "writer"), "source", "left")
     named = named.withColumn("group", F.coalesce(F.col("writer").cast("string"), F.concat(F.lit("__unmapped__"), F.col("source"))))
-    named = named.withColumn("at", order_hash(F.col("group")) / F.lit(float(16**7)))
-    few = named.agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count_if(F.col("at") < val).alias("n_val"), F.count_if((F.col("at") >= val) & (F.col("at") < val + test)).alias("n_test"))
-    placed = named.crossJoin(F.broadcast(few))  # one row
-    is_val = (F.col("at") < val) | ((F.col("n_val") == 0) & (F.col("at") == F.col("first")))
-    is_test = (F.col("at") < val + test) | ((F.col("n_test") == 0) & (F.col("at") == F.col("last")))
-    return placed.select("source", F.when(is_val, "val").when(is_test, "test").otherwise("train").alias("split"))
+    return named.join(_placed(named.select("group").distinct(), val, test, 1), "group").select("source", "split")
 
 
 def select_copies(images: DataFrame, splits: DataFrame) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlift.functions import geometry as G
 from ledgerlift.functions import text as T
-from ledgerlift.operators import audit, demand, evaluate, layouts, quads, receipts, scanlines, splits
+from ledgerlift.operators import audit, composite, demand, deskew, evaluate, layouts, quads, receipts, scanlines, splits
 from ledgerlift.plans import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,8 +176,9 @@ def leak_audit_exact_dup(spark: SparkSession, d: str) -> DataFrame:
 
 
 GROUPED = f"""
-SELECT source, CASE WHEN place < 0.15 THEN 'val' WHEN place < 0.3 THEN 'test' ELSE 'train' END AS split
-FROM (SELECT source, CAST(('0x' || substr(md5(source), 1, 7)) AS BIGINT) / 268435456.0 AS place FROM (SELECT DISTINCT split_part(file_name, '_jpg.rf.', 1) AS source FROM ({V.IMAGES}) i) s) h
+SELECT source, CASE WHEN place <= round_even(many * 0.15, 0) THEN 'val' WHEN place <= 2 * round_even(many * 0.15, 0) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT source, count(*) OVER () AS many, row_number() OVER (ORDER BY CAST(('0x' || substr(md5(source), 1, 7)) AS BIGINT), source) AS place
+  FROM (SELECT DISTINCT split_part(file_name, '_jpg.rf.', 1) AS source FROM ({V.IMAGES}) i) s) h
 """
 
 
@@ -686,10 +687,16 @@ def fc_auto_ets(spark: SparkSession, d: str) -> DataFrame:
     return demand.auto_ets(_cut(spark, d)[0], HORIZON)
 
 
-@query()
+@query(f"""
+SELECT a.unique_id, a.ds, q10, q50, q90
+FROM (SELECT unique_id, max(ds) + CAST(h AS INT) AS ds FROM ({TRAIN}) t, ({AHEAD}) g GROUP BY unique_id, h) a
+JOIN (SELECT unique_id, isodow(ds) AS wd, {", ".join(f"round(quantile_cont(CAST(y AS DOUBLE), 0.{q}), 6) AS q{q}0" for q in (1, 5, 9))} FROM ({TRAIN}) t GROUP BY unique_id, isodow(ds)) h
+  ON a.unique_id = h.unique_id AND isodow(a.ds) = h.wd
+""")
 def fc_empirical_quantiles(spark: SparkSession, d: str) -> DataFrame:
     """Y-05, F-22."""
-    return demand.empirical_quantiles(_cut(spark, d)[0], HORIZON)
+    out = demand.empirical_quantiles(_cut(spark, d)[0], HORIZON)
+    return out.select("unique_id", "ds", *[F.round(c, 6).alias(c) for c in ("q10", "q50", "q90")])
 
 
 @query()
@@ -988,9 +995,13 @@ WRITERS = "SELECT DISTINCT concat('nota', CAST(o_custkey AS STRING)) AS source,
 
 
 @query(f"""
-WITH g AS (SELECT s.source, {FRACTION("coalesce(CAST(w.writer AS VARCHAR), '__unmapped__' || s.source)")} AS place FROM (SELECT DISTINCT split_part(file_name, '_jpg.rf.', 1) AS source FROM ({V.IMAGES}) i) s LEFT JOIN ({WRITERS}) w ON w.source = s.source)
-SELECT source, CASE WHEN place < 0.15 OR (place = (SELECT min(place) FROM g) AND NOT EXISTS (SELECT 1 FROM g x WHERE x.place < 0.15)) THEN 'val'
-  WHEN place < 0.3 OR (place = (SELECT max(place) FROM g) AND NOT EXISTS (SELECT 1 FROM g x WHERE x.place >= 0.15 AND x.place < 0.3)) THEN 'test' ELSE 'train' END AS split FROM g
+WITH g AS (
+  SELECT s.source, coalesce(CAST(w.writer AS VARCHAR), '__unmapped__' || s.source) AS grp
+  FROM (SELECT DISTINCT split_part(file_name, '_jpg.rf.', 1) AS source FROM ({V.IMAGES}) i) s LEFT JOIN ({WRITERS}) w ON w.source = s.source
+), placed AS (
+  SELECT grp, row_number() OVER (ORDER BY {FRACTION("grp")}, grp) AS place, greatest(1, round_even(count(*) OVER () * 0.15, 0)) AS share FROM (SELECT DISTINCT grp FROM g) d
+)
+SELECT source, CASE WHEN place <= share THEN 'val' WHEN place <= 2 * share THEN 'test' ELSE 'train' END AS split FROM g JOIN placed ON placed.grp = g.grp
 """)
 def writer_split(spark: SparkSession, d: str) -> DataFrame:
     """T-06, by writer."""
@@ -1044,6 +1055,148 @@ def weighted_draws(spark: SparkSession, d: str) -> DataFrame:
     return docs.groupBy(layouts.weighted_choice(layouts.fraction(F.col("doc_id"), "kind"), WEIGHTS).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
+# --- levelled pages, perspective and composites ---------------------------------------------------------------------
+
+#: Pages lie tilted by 4 degree steps; of a line that leans by over 10 degrees the detector sees nothing.
+SEEN, STEP = 10, 4
+LEVEL_FIRST = f"""
+lines AS (
+  SELECT doc_id, (doc_id % 7 - 3) * {STEP} AS tilt, atan2(f.dy, f.dx) AS a, sqrt(-f.size) AS size FROM (
+    SELECT doc_id, list_sort([{{'size': -(pow(dx, 2) + pow(dy, 2)), 'i': 0, 'dx': dx, 'dy': dy}}, {{'size': -(pow(-dy / 10, 2) + pow(t, 2)), 'i': 1, 'dx': -dy / 10, 'dy': t}}])[1] AS f FROM ({V.QUADS}) q) z
+), pass0 AS (SELECT DISTINCT doc_id, CAST(0 AS DOUBLE) AS degrees, 0 AS n_passes, false AS lost FROM lines)
+"""
+
+
+def _measured(n: int, degrees: str, source: str) -> str:
+    """How many lines are seen on pages turned by `degrees`, and how they lean then."""
+    turn = f"CASE WHEN abs({degrees}) < 0.7 THEN 0 WHEN abs({degrees} - round_even({degrees} / 90, 0) * 90) < 0.7 THEN round_even({degrees} / 90, 0) * 90 ELSE {degrees} END"
+    return f"""
+  SELECT p.doc_id, count(*) FILTER (seen) AS n_lines, coalesce(degrees(atan2(sum(size * sin(2 * b)) FILTER (seen), sum(size * cos(2 * b)) FILTER (seen))) / 2, 0) AS angle FROM (
+    SELECT doc_id, size, b, abs(degrees(b) - 180 * round(degrees(b) / 180)) <= {SEEN} AS seen FROM (
+      SELECT l.doc_id, size, a + radians(tilt) - radians({turn}) AS b FROM lines l JOIN {source} s ON s.doc_id = l.doc_id) x) p GROUP BY p.doc_id"""
+
+
+def _pass(n: int) -> str:
+    before = f"pass{n - 1}"
+    return f"""
+, seen{n} AS ({_measured(n, "degrees", before)})
+, next{n} AS (SELECT p.*, angle, degrees + angle AS wanted, NOT lost AND n_passes = {n - 1} AND n_lines >= 4 AND abs(angle) >= 0.7 AS leans FROM {before} p JOIN seen{n} s ON s.doc_id = p.doc_id)
+, found{n} AS ({_measured(n, "wanted", f"next{n}")})
+, pass{n} AS (
+  SELECT p.doc_id, CASE WHEN leans AND n_lines >= 4 THEN wanted ELSE degrees END AS degrees, CASE WHEN leans AND n_lines >= 4 THEN {n} ELSE n_passes END AS n_passes,
+    lost OR (leans AND n_lines < 4) AS lost FROM next{n} p JOIN found{n} f ON f.doc_id = p.doc_id)"""
+
+
+@query(f"""
+WITH {LEVEL_FIRST} {_pass(1)} {_pass(2)} {_pass(3)}, last AS ({_measured(4, "degrees", "pass3")})
+SELECT p.doc_id, round(degrees, 6) AS degrees, CAST(n_passes AS INT) AS n_passes, CAST(n_lines AS INT) AS n_lines FROM pass3 p JOIN last l ON l.doc_id = p.doc_id
+""")
+def deskewed_pages(spark: SparkSession, d: str) -> DataFrame:
+    """W-08, G-04: the detector is a rule on the turned lines, where a real one would read pixels."""
+    tilt = (F.col("doc_id") % 7 - 3) * STEP
+    lines = _quads(spark, d).groupBy("doc_id").agg(F.collect_list("q").alias("drawn"))
+    cos, sin = F.cos(F.radians(tilt)), F.sin(F.radians(tilt))
+    tilted = F.transform("drawn", lambda q: F.transform(q, lambda p: F.struct((p["x"] * cos - p["y"] * sin).alias("x"), (p["x"] * sin + p["y"] * cos).alias("y"))))
+    width, height = F.lit(1536), F.lit(2048)
+
+    def detect(pages: DataFrame) -> DataFrame:
+        def seen(q):
+            edge = G.long_edge(q)
+            own = F.degrees(F.atan2(edge["dy"], edge["dx"]))
+            return F.abs(own - 180 * F.round(own / 180)) <= SEEN
+
+        return pages.withColumn("quads", F.filter(deskew.turned_quads(F.col("lines"), width, height, F.col("degrees")), seen))
+
+    level = deskew.deskew(lines.select("doc_id", tilted.alias("lines")), detect)
+    return level.select("doc_id", F.round("degrees", 6).alias("degrees"), "n_passes", F.size("quads").alias("n_lines"))
+
+
+DRAWN = ", ".join(f"{{'x': {x}, 'y': {y}}}" for x, y in ((f"j * 1536 * {KEYED("'x0'")}", f"j * 2048 * {KEYED("'y0'")}"), (f"1536 - j * 1536 * {KEYED("'x1'")}", f"j * 2048 * {KEYED("'y1'")}"), (f"1536 - j * 1536 * {KEYED("'x2'")}", f"2048 - j * 2048 * {KEYED("'y2'")}"), (f"j * 1536 * {KEYED("'x3'")}", f"2048 - j * 2048 * {KEYED("'y3'")}")))
+PERSPECTIVE = f"""
+SELECT doc_id, (p1.x - p0.x + g * p1.x) / 1536 AS m00, (p3.x - p0.x + h * p3.x) / 2048 AS m01, p0.x AS m02, (p1.y - p0.y + g * p1.y) / 1536 AS m10, (p3.y - p0.y + h * p3.y) / 2048 AS m11, p0.y AS m12, g / 1536 AS m20, h / 2048 AS m21 FROM (
+  SELECT *, ((p0.x - p1.x + p2.x - p3.x) * (p3.y - p2.y) - (p3.x - p2.x) * (p0.y - p1.y + p2.y - p3.y)) / den AS g, ((p1.x - p2.x) * (p0.y - p1.y + p2.y - p3.y) - (p0.x - p1.x + p2.x - p3.x) * (p1.y - p2.y)) / den AS h FROM (
+    SELECT *, (p1.x - p2.x) * (p3.y - p2.y) - (p3.x - p2.x) * (p1.y - p2.y) AS den FROM (
+      SELECT doc_id, c[1] AS p0, c[2] AS p1, c[3] AS p2, c[4] AS p3 FROM (SELECT doc_id, [{DRAWN}] AS c FROM (SELECT doc_id, {KEYED("'warp'")} * 0.05 + 0.02 AS j FROM ({V.DOCS}) d) w) k) a) b) e
+"""
+
+
+def _drawn_corners() -> Column:
+    """Where a photographed page's corners come to lie: each drawn within 2 to 7 % of the page."""
+    at = lambda what: layouts.fraction(F.col("doc_id"), what)
+    j = at("warp") * 0.05 + 0.02
+    x = [j * 1536 * at("x0"), 1536 - j * 1536 * at("x1"), 1536 - j * 1536 * at("x2"), j * 1536 * at("x3")]
+    y = [j * 2048 * at("y0"), j * 2048 * at("y1"), 2048 - j * 2048 * at("y2"), 2048 - j * 2048 * at("y3")]
+    return F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in zip(x, y, strict=True)])
+
+
+def _perspectives(spark: SparkSession, d: str) -> DataFrame:
+    pages = V.view(spark, d, V.DOCS).select("doc_id", _drawn_corners().alias("c"))
+    m = G.perspective(F.lit(1536), F.lit(2048), F.col("c"))
+    return pages.select("doc_id", *[m[i][j].alias(f"m{i}{j}") for i in range(3) for j in range(3) if (i, j) != (2, 2)])
+
+
+@query(f"SELECT doc_id, {', '.join(f'round(m{i}{j}, 9) AS m{i}{j}' for i in range(3) for j in range(3) if (i, j) != (2, 2))} FROM ({PERSPECTIVE}) p")
+def page_perspective(spark: SparkSession, d: str) -> DataFrame:
+    """G-11."""
+    m = _perspectives(spark, d)
+    return m.select("doc_id", *[F.round(c, 9).alias(c) for c in m.columns[1:]])
+
+
+@query(f"""
+SELECT doc_id, box_idx, round(l, 4) AS x, round(t, 4) AS y, round(r - l, 4) AS w, round(b - t, 4) AS h FROM (
+  SELECT doc_id, box_idx, greatest(0, x0 - (x1 - x0) * 0.1) AS l, greatest(0, y0 - greatest((y1 - y0) * 0.1, 3)) AS t, least(1536, x1 + (x1 - x0) * 0.1) AS r, least(2048, y1 + greatest((y1 - y0) * 0.1, 3)) AS b FROM (
+    SELECT doc_id, box_idx, min(u) AS x0, max(u) AS x1, min(v) AS y0, max(v) AS y1 FROM (
+      SELECT c.doc_id, box_idx, (m00 * px + m01 * py + m02) / (m20 * px + m21 * py + 1.0) AS u, (m10 * px + m11 * py + m12) / (m20 * px + m21 * py + 1.0) AS v
+      FROM ({CORNERS}) c JOIN ({PERSPECTIVE}) p ON p.doc_id = c.doc_id) m GROUP BY doc_id, box_idx) e) k
+WHERE r - l >= 8 AND b - t >= 8
+""")
+def page_warped_boxes(spark: SparkSession, d: str) -> DataFrame:
+    """G-11, G-12: boxes under each page's own drawn perspective."""
+    boxes = V.view(spark, d, V.BOXES).join(_perspectives(spark, d), "doc_id")
+    m = [[F.col(f"m{i}{j}") if (i, j) != (2, 2) else F.lit(1.0) for j in range(3)] for i in range(3)]
+    box = G.warped_box(F.col("x"), F.col("y"), F.col("w"), F.col("h"), m, F.lit(1536), F.lit(2048))
+    return boxes.select("doc_id", "box_idx", box.alias("b")).where("b is not null").select("doc_id", "box_idx", *[F.round(f"b.{c}", 4).alias(c) for c in "xywh"])
+
+
+#: Two dark scan lines a rule, 63 lines apart; some rules have faded.
+RULED = f"SELECT doc_id AS page_id, CAST(190 + 63 * k + doc_id % 7 + e AS INT) AS y FROM ({V.DOCS}) d CROSS JOIN (SELECT * FROM (VALUES {', '.join(f'({k})' for k in range(26))}) AS t(k)) r CROSS JOIN (SELECT * FROM (VALUES (0), (1)) AS t(e)) s WHERE (doc_id + k) % 11 <> 0"
+WRITTEN = f"SELECT doc_id AS page_id, y, h, 1536 AS width, 2048 AS height FROM ({V.BOXES}) b"
+CATALOGUE = "SELECT p_name AS word, CAST(500 * (1 + p_partkey % 40) AS BIGINT) AS base FROM part"
+RULED_BANDS = f"SELECT page_id, a, b FROM (SELECT page_id, y AS a, lead(y) OVER (PARTITION BY page_id ORDER BY y) AS b FROM (SELECT page_id, CAST(floor(avg(y)) AS INT) AS y FROM (SELECT page_id, y, y - row_number() OVER (PARTITION BY page_id ORDER BY y) AS g FROM ({RULED}) s) x GROUP BY page_id, g) r) z WHERE b - a > 0.012 * 2048 AND b - a < 0.06 * 2048"
+ROW_DRAW = lambda what: FRACTION(f"concat(CAST(page_id AS VARCHAR), '/', CAST(row AS VARCHAR), ':', {what})")
+CENTRE_CASE, ROOM_CASE = (" ".join(f"WHEN '{role}' THEN {v}" for role, v in values.items()) for values in (composite.CENTRES, composite.WIDTHS))
+
+
+@query(f"""
+WITH boxes AS ({WRITTEN}), bands AS ({RULED_BANDS}), words AS (SELECT *, row_number() OVER (ORDER BY encode(word), base) AS number FROM ({CATALOGUE}) c),
+body AS (SELECT page_id, y + h / 2 AS cy, h, row_number() OVER (PARTITION BY page_id ORDER BY h) - 1 AS nth, count(*) OVER (PARTITION BY page_id) AS n FROM boxes WHERE y + h / 2 < 0.62 * height),
+anchor AS (SELECT page_id, max(cy) AS last, max(h) FILTER (WHERE nth = n // 2) AS text_h FROM body GROUP BY page_id),
+used AS (SELECT page_id, list(DISTINCT round_even(y + h / 2, 0)) AS used FROM boxes GROUP BY page_id),
+every AS (SELECT b.*, last, text_h, used, min(b.b - b.a) OVER (PARTITION BY b.page_id) AS band_h FROM bands b JOIN anchor USING (page_id) JOIN used USING (page_id)),
+free AS (
+  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY {FRACTION("concat(CAST(page_id AS VARCHAR), ':band', CAST(a AS VARCHAR))")}, a) AS row FROM every e
+  WHERE a > last + text_h * 2.1 * 0.4 AND b < 2048 * 0.7 AND len(list_filter(used, lambda u: u BETWEEN a AND b)) = 0
+), drawn AS (
+  SELECT f.*, CAST(floor({ROW_DRAW("'word'")} * many) AS BIGINT) + 1 AS number FROM free f, (SELECT count(*) AS many FROM words) m WHERE row <= 4
+), picked AS (
+  SELECT page_id, row, (a + b) / 2 AS cy, text_h, band_h, word, ([1, 1, 2, 2, 3, 4, 5, 10, 12])[CAST(floor({ROW_DRAW("'qty'")} * 9) AS INT) + 1] AS qty,
+    CAST(greatest(500, floor(floor(base * ({ROW_DRAW("'price'")} * 0.35 + 0.85)) / 500) * 500) AS BIGINT) AS price
+  FROM drawn JOIN words ON words.number = drawn.number
+), cells AS (
+  SELECT page_id, row, cy, text_h, band_h, unnest(['qty', 'nama', 'harga', 'jumlah']) AS role, unnest([CAST(qty AS VARCHAR), word, CAST(price AS VARCHAR), CAST(qty * price AS VARCHAR)]) AS text FROM picked
+), sized AS (
+  SELECT *, CASE role {CENTRE_CASE} END * 1536 AS cx, greatest(8, least(floor(least(text_h, band_h * 0.72) * ({ROW_DRAW("'size', role")} * 0.16 + 0.92)), floor(CASE role {ROOM_CASE} END * 1536 * 0.85 / (0.5 * length(text))))) AS size FROM cells
+), boxed AS (
+  SELECT *, CAST(trunc(cx - size * 0.5 * length(text) / 2) AS INT) - 4 AS x0, CAST(trunc(cy - size / 2) AS INT) - 4 AS y0, CAST(trunc(cx + size * 0.5 * length(text) / 2) AS INT) + 4 AS x1, CAST(trunc(cy + size / 2) AS INT) + 4 AS y1 FROM sized
+)
+SELECT page_id, CAST(row AS INT) AS row, role, text, x0 AS x, y0 AS y, x1 - x0 AS w, y1 - y0 AS h FROM boxed WHERE x0 >= 0 AND y0 >= 0 AND x1 <= 1536 AND y1 <= 2048
+""")
+def composite_plan(spark: SparkSession, d: str) -> DataFrame:
+    """G-14, J-11, W-04: from dark scan lines to the cells of new rows."""
+    bands = scanlines.bands(scanlines.rules(V.view(spark, d, RULED)), 2048)
+    return composite.plan_rows(V.view(spark, d, WRITTEN), bands, V.view(spark, d, CATALOGUE))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
