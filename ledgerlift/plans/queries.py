@@ -132,6 +132,19 @@ def width_histogram(spark: SparkSession, d: str) -> DataFrame:
     return audit.histogram(V.view(spark, d, V.ANNOTATIONS), "w")
 
 
+@query(f"""
+WITH v AS (SELECT w AS v FROM ({V.ANNOTATIONS}) a WHERE w IS NOT NULL), e AS (SELECT min(v) AS lo, max(v) AS hi, count(*) AS n, stddev_samp(v) AS sd FROM v),
+p AS (SELECT (v - lo) / (hi - lo) * 1000 AS pos FROM v, e), f AS (SELECT pos, least(floor(pos), 999) AS k FROM p),
+knots AS (SELECT k, sum(s) AS s FROM (SELECT k, k + 1 - pos AS s FROM f UNION ALL SELECT k + 1, pos - k FROM f) x GROUP BY k),
+grid AS (SELECT g, lo + (hi - lo) * g / 199 AS x, lo, hi, n, sd * pow(n, -0.2) AS h FROM e, (SELECT unnest(range(200)) AS g) r)
+SELECT CAST(g AS INT) AS place, round(x, 6) AS x, round(sum(s * exp(-pow((x - lo - (hi - lo) * k / 1000) / h, 2) / 2)) / (n * h * sqrt(2 * pi())), 9) AS density FROM grid, knots GROUP BY g, x, n, h
+""")
+def width_density(spark: SparkSession, d: str) -> DataFrame:
+    """A-06."""
+    out = audit.density(V.view(spark, d, V.ANNOTATIONS), "w")
+    return out.select("place", F.round("x", 6).alias("x"), F.round("density", 9).alias("density"))
+
+
 CROPS = f"""
 SELECT a.*, c.name, i.file_name, i.width, i.height, CASE WHEN i.id IS NULL THEN 'missing_image' WHEN c.name IS NULL OR trim(c.name) IN ('', 'objects', 'object') THEN 'placeholder' WHEN w < 4 OR h < 4 THEN 'degenerate' END AS reason
 FROM ({V.ANNOTATIONS}) a LEFT JOIN (SELECT * FROM ({V.IMAGES}) z WHERE id % 50 <> 0) i ON a.image_id = i.id LEFT JOIN ({V.CATEGORIES}) c ON a.category_id = c.id

@@ -10,18 +10,55 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ledgerlift.operators.receipts import extract_receipts
+from ledgerlift.operators.receipts import extract_receipts, release
 
 
 def stream_receipts(boxes: DataFrame, docs: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Receipts of each micro-batch of boxes, as Parquet; a document's boxes must arrive in one batch."""
+    """Receipts of each micro-batch of boxes, as Parquet; a document's boxes must arrive in one batch (`whole_documents`)."""
     def sink(batch: DataFrame, epoch: int) -> None:
-        seen = docs.join(batch.select("doc_id").distinct(), "doc_id", "left_semi")
-        extract_receipts(batch, seen).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")  # a retried batch replaces itself
+        held = batch.persist()  # read several times; a stateful batch is not to be run again for each
+        seen = docs.join(held.select("doc_id").distinct(), "doc_id", "left_semi")
+        try:
+            extract_receipts(held, seen).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")  # a retried batch replaces itself
+        finally:
+            release()
+            held.unpersist()
 
     return boxes.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def whole_documents(boxes: DataFrame, late: str = "1 hour", at: str = "ts", total: str = "n_boxes") -> DataFrame:
+    """The rows of `boxes`, each document's together in one micro-batch, once it is whole.
+
+    Boxes of a document may come in any batches and order. They are held as state until there are as many as `total` says,
+    or, where that is null or never reached, until the watermark (`late` behind the latest time) passes the last one.
+    Boxes that come later than the watermark are left out. Only open documents are held, each under its own key.
+    """
+    spelled = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    schema = boxes.schema
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held, wanted, last = state.get if state.exists else ("", 0, 0)
+        rows = held.split("\n") if held else []
+        timed_out = state.hasTimedOut
+        for batch in () if timed_out else batches:
+            rows += batch["row"].tolist()
+            wanted = max([wanted, *(int(n) for n in batch["wanted"])])
+            last = max(last, int(batch["millis"].max()))
+        if timed_out or 0 < wanted <= len(rows):
+            if state.exists:
+                state.remove()
+            yield pd.DataFrame({"row": rows})
+        else:
+            state.update(("\n".join(rows), wanted, last))
+            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs() + 1))
+
+    marked = boxes.withWatermark(at, late)
+    spread = marked.select("doc_id", at, F.coalesce(F.col(total), F.lit(0)).cast("long").alias("wanted"), F.unix_millis(at).alias("millis"), F.to_json(F.struct(*boxes.columns), spelled).alias("row"))
+    whole = spread.groupBy("doc_id").applyInPandasWithState(step, "row string", "held string, wanted long, last long", "append", GroupStateTimeout.EventTimeTimeout)
+    return whole.select(F.from_json("row", schema, spelled).alias("b")).select("b.*")
+
+
 def windowed_demand(events: DataFrame, late: str = "1 day", width: str = "1 day", slide: str | None = None) -> DataFrame:
     """(start, user_id, n, value) by tumbling or sliding window; rows later than `late` are left out."""
     window = F.window("ts", width, slide) if slide else F.window("ts", width)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlift.functions import geometry as G
-from ledgerlift.operators import composite, deskew, quantiles, ranks, splits
+from ledgerlift.operators import audit, composite, deskew, quantiles, ranks, splits
 
 QUAD = "array<struct<x double, y double>>"
 
@@ -110,6 +110,18 @@ def test_exact_quantiles(spark, buckets):
     assert quantiles.exact_quantiles(spark.createDataFrame([], "name string, v double"), fractions) == {}
 
 
+def test_density_is_that_of_a_plain_kernel_sum(spark):
+    rng = random.Random(3)
+    values = [rng.gauss(0, 1) for _ in range(400)] + [rng.gauss(6, 0.5) for _ in range(200)]
+    got = sorted(tuple(r) for r in audit.density(spark.createDataFrame([(v,) for v in [*values, None, math.nan]], "v double"), "v").collect())
+    h = statistics.stdev(values) * len(values) ** -0.2
+    for n, (place, x, density) in enumerate(got):
+        want = sum(math.exp(-(((x - v) / h) ** 2) / 2) for v in values) / (len(values) * h * math.sqrt(2 * math.pi))
+        assert place == n and density == pytest.approx(want, rel=1e-3, abs=1e-6)
+    assert len(got) == 200 and got[0][1] == min(values) and got[-1][1] == pytest.approx(max(values))
+    assert audit.density(spark.createDataFrame([(1.0,), (1.0,)], "v double"), "v").count() == 0
+
+
 def test_running_sums(spark):
     rng = random.Random(1)
     rows = [(rng.choice(["a", "b", None]), i, rng.randrange(5) if i % 7 else None) for i in range(500)]

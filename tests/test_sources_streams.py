@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlift.operators import models
@@ -63,6 +64,43 @@ def test_streams(spark, tmp_path):
     assert out.count() == 10 and out.where("closing <> opening - sold").count() == 0
 
 
+def test_sessions_end_at_a_pause(spark, tmp_path):
+    rows = [(1, "2024-01-01 00:00:00"), (1, "2024-01-01 05:00:00"), (1, "2024-01-01 12:00:00"), (2, "2024-01-01 01:00:00")]
+    events = spark.createDataFrame(rows, "user_id bigint, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    events.write.parquet(str(tmp_path / "e"))
+    out = drain(spark, streams.sessions(spark.readStream.schema(events.schema).parquet(str(tmp_path / "e"))), "runs", "complete")
+    assert sorted((r["user_id"], r["n"]) for r in out.collect()) == [(1, 1), (1, 2), (2, 1)]
+
+
+@pytest.mark.parametrize("counted", [True, False])
+def test_receipts_whose_boxes_span_batches(spark, tmp_path, counted):
+    """A stream dealt at random gives the receipts of the batch, by counts or by timers."""
+    from ledgerlift.operators.receipts import extract_receipts
+    from ledgerlift.plans import views as V
+
+    boxes, docs = V.view(spark, SF, V.BOXES).where("doc_id < 16"), V.view(spark, SF, V.DOCS)
+    many = boxes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_boxes"))
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.xxhash64("doc_id", "box_idx"), F.lit(1800)) + F.lit(0.123456))
+    sent = boxes.join(many, "doc_id").withColumn("ts", at).withColumn("n_boxes", F.col("n_boxes") if counted else F.lit(None).cast("long"))
+    for part in range(4):
+        sent.where(F.pmod(F.xxhash64("box_idx", "doc_id"), F.lit(4)) == part).coalesce(1).write.mode("append").parquet(str(tmp_path / "b"))
+    bell = sent.limit(1).withColumn("doc_id", F.lit(10**9).cast(sent.schema["doc_id"].dataType)).withColumn("ts", F.timestamp_seconds(F.lit(1_800_000_000)))
+    stream = lambda: spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "b"))
+
+    def run():
+        q = streams.stream_receipts(streams.whole_documents(stream()).drop("ts", "n_boxes"), docs, str(tmp_path / "out"), str(tmp_path / "cp"))
+        q.awaitTermination(240)
+        assert q.exception() is None
+
+    run()
+    if not counted:  # a late box moves the watermark past all others
+        bell.coalesce(1).write.mode("append").parquet(str(tmp_path / "b"))
+        run()
+    flat = lambda df: sorted((r["doc_id"], str(r)) for r in df.drop("epoch").where("doc_id < 16").collect())
+    want = extract_receipts(boxes, docs.where("doc_id < 16"))
+    assert flat(spark.read.parquet(str(tmp_path / "out")).select(*want.columns)) == flat(want)
+
+
 def test_stream_receipts(spark, tmp_path):
     from ledgerlift.plans import views as V
 
