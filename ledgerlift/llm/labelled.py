@@ -21,12 +21,12 @@ def drawn(text: Column, longest: int, window: int = 512) -> Column:
     return F.when(F.length(text) <= longest, text).otherwise(F.array_join(at, " "))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, longest: int) -> tuple[list[str], list[int]]:
-    """At most `rows` texts that are not held out, drawn to about `longest` characters, with their labels 0 or 1.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, longest: int | None = None) -> tuple[list[str], list[int]]:
+    """At most `rows` texts that are not held out, with their labels 0 or 1: whole, or drawn to about `longest` characters.
 
     Which rows is settled by a hash of doc_id, so that the sample does not depend on partitioning; ids with both labels are
     left out, and of an id's texts the first in order is taken. Only ids and labels are ordered; texts are then fetched for
-    that bounded set of ids, and cut before they leave their tasks.
+    that bounded set of ids.
     """
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     picked = usable.groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("other")).where("label = other")
@@ -34,7 +34,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, l
     if not picked:
         return [], []
     by_id = {row["doc_id"]: row["label"] for row in picked}
-    texts = docs.where(F.col("doc_id").isin(list(by_id))).select("doc_id", drawn(whole_text(F.col("text")), longest).alias("text"))
+    text = whole_text(F.col("text"))
+    texts = docs.where(F.col("doc_id").isin(list(by_id))).select("doc_id", (text if longest is None else drawn(text, longest)).alias("text"))
     found = {row["doc_id"]: row["text"] for row in texts.groupBy("doc_id").agg(F.min("text").alias("text")).collect()}
     ids = sorted(found)
     return [found[i] for i in ids], [by_id[i] for i in ids]

@@ -20,7 +20,7 @@ from ledgerlift.llm.labelled import held_out, labelled_sample
 
 CHUNK, OVERLAP, WIDTH, STRIDE, FILTERS = 512, 64, 6, 2, 16
 AT_ONCE = 1024  # chunks whose responses are held together, so that a very long document needs no more memory
-SAMPLE_ROWS, SAMPLE_CHARS, EPOCHS, BATCH = 3000, 12_000, 10, 48
+SAMPLE_ROWS, EPOCHS, BATCH = 3000, 10, 48
 THRESHOLD = 0.3
 
 
@@ -131,9 +131,9 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
     return net
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> ByteNet:
-    """A network fitted on at most `sample_rows` labelled texts that are not held out; of those longer than `sample_chars`
-    characters, on windows from all of the text that come to about as many."""
+def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, sample_chars: int | None = None) -> ByteNet:
+    """A network fitted on at most `sample_rows` labelled texts that are not held out, each whole. Where `sample_chars` is
+    given, longer texts than that give windows from all of the text instead."""
     return fit(*labelled_sample(docs, labels, label, sample_rows, sample_chars))
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerlift.llm.common import carried_id
 from ledgerlift.llm.labelled import held_out, labelled_sample
 
-SAMPLE_ROWS, SAMPLE_CHARS = 6000, 20_000
+SAMPLE_ROWS = 6000
 LEAST_DOCS, LEAST_Z, MOST_FEATURES = 4, 4.5, 2048
 THRESHOLD, GRADES = 0.15, 4
 WORD = re.compile(r"[^\W\d_]+")
@@ -62,7 +62,8 @@ class OrdinalModel:
 
 
 def select_words(texts: list[str], toxic: list[int]) -> list[str]:
-    """Words that stand in at least LEAST_DOCS texts and far more often in toxic ones, or far less, than chance has it."""
+    """Words that stand in at least LEAST_DOCS texts and far more often in toxic ones than chance has it. Words of clean texts are no
+    evidence: they tell what a text is about."""
     seen, bad = Counter(), Counter()
     for text, y in zip(texts, toxic, strict=True):
         words = {f for w in set(WORD.findall(text.lower())) for f in features_of(w)}
@@ -139,9 +140,9 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 400, penalty: float =
     return OrdinalModel({word: float(w[i]) for word, i in place.items()}, thresholds)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> OrdinalModel:
-    """A model fitted on at most `sample_rows` labelled texts that are not held out; of those longer than `sample_chars`
-    characters, on windows from all of the text that come to about as many."""
+def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS, sample_chars: int | None = None) -> OrdinalModel:
+    """A model fitted on at most `sample_rows` labelled texts that are not held out, each whole. Where `sample_chars` is
+    given, longer texts than that give windows from all of the text instead."""
     return fit(*labelled_sample(docs, labels, label, sample_rows, sample_chars))
 
 
