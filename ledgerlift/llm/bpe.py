@@ -23,11 +23,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlift.llm.bits import BITMAP
 from ledgerlift.llm.common import cut_lineage, whole_text
 from ledgerlift.llm.packing import _byte_letters
 
 WINDOW, MEAN_CHUNK, LEAST_BODY = 8, 1024, 96
-FILTER_BITS_LEAST, FILTER_BITS_MOST, FILTER_BLOCK = 2**22, 2**27, 4096
+FILTER_BITS_LEAST, FILTER_BITS_MOST = 2**22, 2**27
 
 #: Fixed value: the pattern by which the byte-level vocabulary splits text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -120,20 +121,18 @@ def _shared_filter(shared: DataFrame) -> np.ndarray:
     while bits < min(16 * count, FILTER_BITS_MOST):
         bits *= 2
     at = shared.select(F.pmod("high", F.lit(bits)).alias("bit"))
-    words = at.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("value"))
-    blocks = words.groupBy((F.col("word") / (FILTER_BLOCK // 64)).cast("long").alias("block")).agg(F.collect_list(F.struct("word", "value")).alias("words"))
-    out = np.zeros(bits // 64, np.int64)
-    for row in blocks.collect():
-        for word, value in row["words"]:
-            out[word] = value
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool) if bits <= FILTER_BITS_LEAST else out
+    made = at.groupBy(F.expr(f"bit div {BITMAP}").alias("block")).agg(F.bitmap_construct_agg(F.col("bit") % BITMAP).alias("bitmap"))
+    out = np.zeros(bits // 8, np.uint8)
+    for row in made.collect():  # at most FILTER_BITS_MOST / BITMAP rows of 4 KB
+        out[row["block"] * BITMAP // 8 : (row["block"] + 1) * BITMAP // 8] = np.frombuffer(row["bitmap"], np.uint8)
+    return np.unpackbits(out, bitorder="little").view(bool) if bits <= FILTER_BITS_LEAST else out
 
 
 def _passes(filter_: np.ndarray, high: int) -> bool:
     if filter_.dtype == bool:
         return bool(filter_[high % len(filter_)])
-    bit = high % (64 * len(filter_))
-    return bool(int(filter_[bit >> 6]) >> (bit & 63) & 1)
+    bit = high % (8 * len(filter_))
+    return bool(int(filter_[bit >> 3]) >> (bit & 7) & 1)
 
 
 def encode_digests(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

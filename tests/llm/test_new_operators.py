@@ -268,3 +268,16 @@ def test_targets_stop_at_the_cap_and_are_shared_again(spark):
     got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
     assert all(math.isclose(got[s], t, rel_tol=1e-12) for s, t in brute_targets(sizes).items())
     assert math.isclose(sum(got.values()), sum(sizes.values()), rel_tol=1e-12)
+
+
+def test_shared_chunk_filter_knows_every_chunk(spark, monkeypatch):
+    """Both forms of the filter: unpacked, and as packed bytes."""
+    from ledgerlift.llm import bpe
+
+    highs = [-(2**63), -1, 0, 1, 2**40 + 7, 2**63 - 1, *range(1000, 5000, 13)]
+    shared = spark.createDataFrame([(h,) for h in highs], "high long")
+    for least in (bpe.FILTER_BITS_LEAST, 2**15):
+        monkeypatch.setattr(bpe, "FILTER_BITS_LEAST", least)
+        bits = bpe._shared_filter(shared)
+        assert all(bpe._passes(bits, h) for h in highs)
+        assert sum(bpe._passes(bits, h) for h in range(10**9, 10**9 + 2000)) < 1000
