@@ -107,42 +107,6 @@ def empirical_quantiles(train: DataFrame, horizon: int) -> DataFrame:
     return out.select("unique_id", "ds", F.col("q")[0].alias("q10"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q90"))
 
 
-def auto_ets(train: DataFrame, horizon: int, season_length: int = 7) -> DataFrame:
-    """(unique_id, ds, method, yhat): the best by AICc of simple, trended and seasonal exponential smoothing, each series
-    fitted by a grid in its own group."""
-
-    def fit(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("ds")
-        y = g["y"].to_numpy(float)
-        best = (math.inf, np.full(horizon, y[-1]))
-        for kind in ("N", "T", "S"):
-            if kind == "S" and len(y) < 2 * season_length:
-                continue
-            for a in (0.05, 0.2, 0.5, 0.8):
-                for b in (0.05, 0.2) if kind != "N" else (0.0,):
-                    level, trend = (y[: season_length].mean(), 0.0) if kind != "T" else (y[0], 0.0)
-                    seas = list(y[:season_length] - y[:season_length].mean()) if kind == "S" else [0.0] * season_length
-                    sse = 0.0
-                    for t, v in enumerate(y):
-                        s = seas[t % season_length]
-                        error = v - (level + trend + s)
-                        sse += error * error
-                        level += trend + a * error
-                        if kind == "T":
-                            trend += a * b * error
-                        if kind == "S":
-                            seas[t % season_length] += b * error
-                    k = {"N": 2, "T": 4, "S": 2 + season_length}[kind]
-                    aicc = len(y) * math.log(sse / len(y) + 1e-9) + 2 * k + 2 * k * (k + 1) / max(len(y) - k - 1, 1)
-                    if aicc < best[0]:
-                        best = (aicc, np.array([level + trend * h + seas[(len(y) + h - 1) % season_length] for h in range(1, horizon + 1)]))
-        days = pd.to_datetime(g["ds"].iloc[-1]) + pd.to_timedelta(np.arange(1, horizon + 1), unit="D")
-        return pd.DataFrame({"unique_id": g["unique_id"].iloc[0], "ds": days.date, "method": "AutoETS", "yhat": best[1]})
-
-    kind = train.schema["unique_id"].dataType.simpleString()
-    return train.select("unique_id", "ds", "y").groupBy("unique_id").applyInPandas(fit, f"unique_id {kind}, ds date, method string, yhat double")
-
-
 def generate_demand(catalogue: DataFrame, start: str, days: int, seed: int = 42) -> DataFrame:
     """(sale_date, sku_id, product_name, qty, unit_price, archetype): two draws per item and day from a generator seeded by
     (seed, item, day), so that any partitioning gives the same rows. catalogue: (sku_id, product_name, unit_price, archetype)."""

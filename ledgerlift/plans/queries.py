@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.functions import geometry as G
 from ledgerlift.functions import text as T
-from ledgerlift.operators import audit, composite, demand, deskew, evaluate, layouts, quads, receipts, scanlines, splits
+from ledgerlift.operators import audit, composite, demand, deskew, evaluate, layouts, quads, receipts, scanlines, smoothing, splits
 from ledgerlift.plans import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -619,10 +619,13 @@ def fc_tsb(spark: SparkSession, d: str) -> DataFrame:
     return s.select("unique_id", F.round(demand.tsb(F.col("ys")), 6).alias("yhat"))
 
 
+def _medians(train: DataFrame) -> DataFrame:
+    return demand.empirical_quantiles(train, HORIZON).select("unique_id", "ds", F.lit("Quantiles").alias("method"), F.col("q50").alias("yhat"))
+
+
 def _all_forecasts(train: DataFrame) -> DataFrame:
     """The closed methods, AutoETS and the medians of the empirical quantiles."""
-    medians = demand.empirical_quantiles(train, HORIZON).select("unique_id", "ds", F.lit("Quantiles").alias("method"), F.col("q50").alias("yhat"))
-    return demand.forecast(train, HORIZON).unionByName(demand.auto_ets(train, HORIZON)).unionByName(medians)
+    return demand.forecast(train, HORIZON).unionByName(smoothing.auto_ets(train, HORIZON).drop("form")).unionByName(_medians(train))
 
 
 @query()
@@ -690,14 +693,14 @@ def policy_outcome(spark: SparkSession, d: str) -> DataFrame:
     """W-07, A-24, A-28."""
     train, test = _cut(spark, d)
     forecasts, q90 = _all_forecasts(train), demand.empirical_quantiles(train, HORIZON)
-    by_q90 = forecasts.where("method = 'Quantiles'").withColumn("method", F.lit("Quantiles (q90)"))
+    by_q90 = _medians(train).withColumn("method", F.lit("Quantiles (q90)"))
     return demand.run_policy(forecasts, train, test).unionByName(demand.run_policy(by_q90, train, test, q90=q90))
 
 
 @query()
 def fc_auto_ets(spark: SparkSession, d: str) -> DataFrame:
     """Y-04."""
-    return demand.auto_ets(_cut(spark, d)[0], HORIZON)
+    return smoothing.auto_ets(_cut(spark, d)[0], HORIZON)
 
 
 @query(f"""
