@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,11 +14,13 @@ def rules(dark: DataFrame) -> DataFrame:
     return runs.groupBy("page_id", "island").agg(F.floor(F.avg("y")).cast("int").alias("y")).select("page_id", "y")
 
 
-def bands(lines: DataFrame, height: int, least: float = 0.012, most: float = 0.06) -> DataFrame:
+def bands(lines: DataFrame, height: int | Column, least: float = 0.012, most: float = 0.06) -> DataFrame:
     """(page_id, a, b): neighbouring rules as far apart as a table row."""
     w = Window.partitionBy("page_id").orderBy("y")
-    pairs = lines.select("page_id", F.col("y").alias("a"), F.lead("y").over(w).alias("b"))
-    return pairs.where((F.col("b") - F.col("a") > least * height) & (F.col("b") - F.col("a") < most * height))
+    sized = lines.withColumn("_height", height if isinstance(height, Column) else F.lit(height))
+    pairs = sized.select("page_id", F.col("y").alias("a"), F.lead("y").over(w).alias("b"), "_height")
+    gap = F.col("b") - F.col("a")
+    return pairs.where((gap > least * F.col("_height")) & (gap < most * F.col("_height"))).select("page_id", "a", "b")
 
 
 def free_bands(bands_: DataFrame, used: DataFrame) -> DataFrame:

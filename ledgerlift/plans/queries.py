@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.functions import geometry as G
 from ledgerlift.functions import text as T
-from ledgerlift.operators import audit, composite, demand, deskew, evaluate, layouts, quads, receipts, scanlines, smoothing, splits
+from ledgerlift.operators import audit, composite, demand, deskew, evaluate, layouts, pixels, quads, receipts, scanlines, smoothing, splits
 from ledgerlift.plans import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1213,6 +1213,54 @@ def composite_plan(spark: SparkSession, d: str) -> DataFrame:
     return composite.plan_rows(V.view(spark, d, WRITTEN), bands, V.view(spark, d, CATALOGUE))
 
 
+# --- pixels -------------------------------------------------------------------------------------------------------
+
+#: A small scan of each supplier: grey paper that darkens downwards, a rule every 9 lines, some of which stop halfway.
+SCANNED = """
+SELECT page_id, 60 AS width, 240 AS height, y, x, tone AS r, tone - 4 AS g, tone - 9 AS b FROM (
+  SELECT CAST(s_suppkey AS BIGINT) AS page_id, y, x, CAST(CASE WHEN (y + s_suppkey) % 9 = 0 AND (x < 30 OR (y + s_suppkey * 7) % 4 <> 0) THEN 40 + x % 13 ELSE 215 - y % 30 + (x * 7 + y * 3 + s_suppkey) % 11 END AS INT) AS tone
+  FROM supplier CROSS JOIN (SELECT explode(sequence(0, 239)) AS y) ys CROSS JOIN (SELECT explode(sequence(0, 59)) AS x) xs) t
+"""
+SCANNED_DUCK = SCANNED.replace("explode(sequence(0, 239))", "unnest(range(240))").replace("explode(sequence(0, 59))", "unnest(range(60))")
+
+
+@query(f"""
+WITH tones AS (SELECT page_id, y, r + g + b AS tone FROM ({SCANNED_DUCK}) p WHERE x >= 6 AND x < 57),
+dark AS (SELECT page_id, y, count(*) FILTER (WHERE tone < mean - 75) AS darkness FROM (SELECT *, avg(tone) OVER (PARTITION BY page_id) AS mean FROM tones) t GROUP BY page_id, y),
+lines AS (SELECT page_id, y, y - row_number() OVER (PARTITION BY page_id ORDER BY y) AS g FROM dark WHERE darkness > 50 * 0.55),
+rules AS (SELECT page_id, CAST(floor(avg(y)) AS INT) AS y FROM lines GROUP BY page_id, g)
+SELECT page_id, a, b FROM (SELECT page_id, y AS a, lead(y) OVER (PARTITION BY page_id ORDER BY y) AS b FROM rules) z WHERE b - a > 0.012 * 240 AND b - a < 0.06 * 240
+""")
+def pixel_bands(spark: SparkSession, d: str) -> DataFrame:
+    """G-15: from pixels to ruled bands."""
+    return pixels.ruled_bands(pixels.profile_of_pixels(V.view(spark, d, SCANNED)))
+
+
+#: Boxes of each order, and the pixels of a small page below them; some boxes have no size, some orders no box with pixels.
+INKED_BOXES = "SELECT l_orderkey AS page_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS box_idx, CAST(l_linenumber * 5 - 7 AS DOUBLE) AS x, CAST(l_partkey % 5 - 1 AS DOUBLE) AS y, CAST(CASE WHEN l_suppkey % 6 = 0 THEN 0 ELSE 3 + l_partkey % 4 END AS DOUBLE) AS w, CAST(4 + l_suppkey % 3 AS DOUBLE) AS h FROM lineitem"
+INKED = """
+SELECT page_id, y, x, CAST((page_id * 31 + x * 57 + y * 83) % 256 AS INT) AS r, CAST((page_id * 17 + x * 29 + y * 71) % 256 AS INT) AS g, CAST((page_id * 7 + x * 91 + y * 13) % 256 AS INT) AS b
+FROM (SELECT o_orderkey AS page_id FROM orders) o CROSS JOIN (SELECT explode(sequence(0, 9)) AS y) ys CROSS JOIN (SELECT explode(sequence(0, 29)) AS x) xs
+"""
+INKED_DUCK = INKED.replace("explode(sequence(0, 9))", "unnest(range(10))").replace("explode(sequence(0, 29))", "unnest(range(30))")
+
+
+@query(f"""
+WITH first AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY box_idx) AS box, x AS x0, y AS y0, w, h FROM ({INKED_BOXES}) b QUALIFY box <= 6),
+px AS (SELECT p.page_id, box, r, g, b, r + g + b AS tone FROM ({INKED_DUCK}) p JOIN first f ON p.page_id = f.page_id AND x >= greatest(x0, 0) AND x < x0 + w AND y >= greatest(y0, 0) AND y < y0 + h),
+counted AS (SELECT page_id, box, tone, count(*) AS n, sum(r) AS r, sum(g) AS g, sum(b) AS b FROM px GROUP BY page_id, box, tone),
+ranked AS (SELECT *, greatest(1, sum(n) OVER (PARTITION BY page_id, box) // 10) AS need, coalesce(sum(n) OVER (PARTITION BY page_id, box ORDER BY tone ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM counted),
+boxed AS (SELECT page_id, box, {", ".join(f"sum({c} * least(n, need - before) / CAST(n AS DOUBLE)) / max(need) AS {c}" for c in "rgb")} FROM ranked WHERE need > before GROUP BY page_id, box),
+paged AS (SELECT page_id, {", ".join(f"CAST(floor(round(avg({c}), 6)) AS INT) AS {c}" for c in "rgb")} FROM boxed GROUP BY page_id)
+SELECT o.page_id, coalesce(r, 35) AS r, coalesce(g, 35) AS g, coalesce(b, 45) AS b FROM (SELECT DISTINCT o_orderkey AS page_id FROM orders) o LEFT JOIN paged p ON o.page_id = p.page_id
+""")
+def page_ink(spark: SparkSession, d: str) -> DataFrame:
+    """G-16: the ink of every page."""
+    seen = V.view(spark, d, INKED)
+    pages = V.view(spark, d, "SELECT o_orderkey AS page_id FROM orders")
+    return pixels.ink_colour(pages, pixels.tones_of_pixels(seen, V.view(spark, d, INKED_BOXES)))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-COCO_SCHEMA = "images array<struct<id bigint, file_name string, width int, height int>>, annotations array<struct<id bigint, image_id bigint, category_id bigint, bbox array<double>, area double, segmentation array<array<double>>>>, categories array<struct<id bigint, name string>>"
+from ledgerlift.functions.text import normalise
+from ledgerlift.sources.exports import CocoExports
+
+COCO_SCHEMAS = {
+    "images": "id bigint, file_name string, width int, height int",
+    "annotations": "id bigint, image_id bigint, category_id bigint, bbox array<double>, area double",
+    "categories": "id bigint, name string",
+}
 CATALOGUE_SCHEMA = "product_name string, unit_price int, archetype string, corpus_count int"
 BOXES_SCHEMA = "doc_id string, box_idx int, x double, y double, w double, h double, text string, conf double"
 RECEIPT_SCHEMA = "items array<struct<nama string, qty bigint, harga bigint, jumlah bigint, confidence double, reconciled boolean, warnings array<string>>>, total struct<computed bigint, stated bigint, matches boolean>, warnings array<string>, needs_review boolean, ms int"
@@ -29,31 +36,23 @@ def _find(spark: SparkSession, roots: tuple[str, ...], name: str) -> list[str]:
     return sorted(found)
 
 
-def _read_whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        texts = []
-        for path in batch["path"]:
-            store, at = fs.FileSystem.from_uri(path)
-            with store.open_input_stream(at) as file:
-                texts.append(file.read().decode("utf-8"))
-        yield pd.DataFrame({"path": batch["path"], "value": texts})
-
-
 def read_coco(spark: SparkSession, *roots: str, name: str = "_annotations.coco.json") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(images, annotations, categories) of every export below the roots; `split` is the name of its folder.
 
     Spark's file sources pass over names that begin with an underscore, as exports' do. Their paths are listed by the
-    file system's own interface, and tasks open them, one JSON document each.
+    file system's own interface; `exports.CocoExports` plans a task an export and reads it element by element, so an
+    export may be larger than a task's memory.
     """
-    paths = spark.createDataFrame([(p,) for p in _find(spark, roots, name)], "path string")
-    raw = paths.repartition("path").mapInPandas(_read_whole, "path string, value string")
-    raw = raw.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("split"), F.from_json("value", COCO_SCHEMA).alias("d")).select("split", "d.*")
-    images = raw.select("split", F.inline("images"))
-    boxes = raw.select("split", F.inline("annotations"))
+    spark.dataSource.register(CocoExports)
+    paths = json.dumps(_find(spark, roots, name))
+
+    def part(of: str) -> DataFrame:
+        raw = spark.read.format(CocoExports.name()).option("paths", paths).option("part", of).load()
+        return raw.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("split"), F.from_json("value", COCO_SCHEMAS[of]).alias("d")).select("split", "d.*")
+
+    boxes = part("annotations")
     boxes = boxes.select("split", "id", "image_id", "category_id", "area", *[F.get("bbox", F.lit(i)).alias(n) for i, n in enumerate("xywh")])
-    return images, boxes, raw.select("split", F.inline("categories"))
+    return part("images"), boxes, part("categories")
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
@@ -74,10 +73,25 @@ def read_detection_labels(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.substring_index("value", "\t", 1).alias("path"), F.from_json(F.regexp_extract("value", r"^[^\t]*\t(.*)$", 1), kind).alias("polys"))
 
 
+#: Names and prices where no catalogue is given.
+CATALOGUE_DEFAULT = (
+    ("es teh", 5000), ("air es", 2000), ("teh hangat", 5000), ("gorengan", 2000), ("kopi", 2000), ("es jeruk", 7000), ("risoles", 2500),
+    ("nasi goreng", 15000), ("snack", 15000), ("gula", 17000), ("garam", 6000), ("pulpen", 5000), ("nasi kotak", 25000), ("buku gambar", 12000),
+    ("hvs a4 sidu", 55000), ("indomie", 3000), ("minyak goreng", 35000), ("beras 5kg", 68000), ("telur 1kg", 28000), ("sabun cuci", 12000),
+)
+
+
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CATALOGUE_SCHEMA).option("header", True).csv(path)
 
 
+def read_vocabulary(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """(product_name, unit_price) of a catalogue, by the names in its header whatever their order; without one, the default list."""
+    if path is None:
+        return spark.createDataFrame(CATALOGUE_DEFAULT, "product_name string, unit_price int")
+    return spark.read.option("header", True).csv(path).select("product_name", F.col("unit_price").cast("int").alias("unit_price"))
+
+
 def read_word_index(spark: SparkSession, path: str) -> DataFrame:
     """(word, file) of a JSON object from words to lists of files."""
     raw = spark.read.option("wholetext", True).text(path)
@@ -85,6 +99,31 @@ def read_word_index(spark: SparkSession, path: str) -> DataFrame:
     return lists.select("word", F.explode("files").alias("file"))
 
 
+def read_word_pool(spark: SparkSession, folder: str) -> DataFrame:
+    """(word, file) of a pool: its verified index, else its index, else nothing."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in ("verified.json", "index.json"):
+        if store.exists(spark._jvm.org.apache.hadoop.fs.Path(at, name)):
+            return read_word_index(spark, f"{folder}/{name}")
+    return spark.createDataFrame([], "word string, file string")
+
+
+def drawn_words(texts: DataFrame, pool: DataFrame, seed: int = 0) -> DataFrame:
+    """`texts` (id, text, ..) with `file`: a drawn rendering of the text's normalised form from `pool` (word, file), null where
+    the pool has none; a column `file` of `texts` is replaced. The draw is settled by (seed, id); a word's files are ordered by name, so any partitioning agrees.
+
+    Words are joined with a count of their files, then with the file of the drawn number: no word's files are gathered.
+    """
+    files = pool.select(F.col("word").alias("_pool"), F.col("file").alias("_file")).distinct()
+    numbered = files.withColumn("_nth", F.row_number().over(Window.partitionBy("_pool").orderBy("_file")))
+    many = files.groupBy(F.col("_pool").alias("_word")).agg(F.count(F.lit(1)).alias("_many"))
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("id").cast("string")), F.col("_many")) + 1
+    asked = texts.withColumn("_word", normalise(F.col("text"))).join(many, "_word", "left").withColumn("_draw", draw)
+    found = asked.join(numbered, (F.col("_word") == F.col("_pool")) & (F.col("_draw") == F.col("_nth")), "left")
+    return found.select(*[c for c in texts.columns if c != "file"], F.col("_file").alias("file"))
+
+
 def read_receipts(spark: SparkSession, path: str, ms: int | None = None) -> DataFrame:
     """Stored responses; `ms` overwrites their time."""
     out = spark.read.schema(RECEIPT_SCHEMA).option("multiLine", True).json(path)
@@ -112,9 +151,8 @@ def read_uploads(spark: SparkSession, path: str, largest: int = LARGEST_UPLOAD)
 
 
 def write_manifest(splits: DataFrame, path: str, seed: int, grouped_by: str = "source") -> None:
-    """One JSON object: the sources of each split."""
-    one = splits.groupBy("split").agg(F.sort_array(F.collect_list("source")).alias("sources")).agg(F.map_from_entries(F.collect_list(F.struct("split", "sources"))).alias("receipts"))
-    one.select(F.lit(seed).alias("seed"), F.lit(grouped_by).alias("grouped_by"), "receipts").write.json(path)
+    """One JSON object a source: which split it is in, with the seed and the grouping. No task holds a split's sources."""
+    splits.select(F.lit(seed).alias("seed"), F.lit(grouped_by).alias("grouped_by"), "split", "source").distinct().write.json(path)
 
 
 def write_charset(characters: DataFrame, path: str) -> None:

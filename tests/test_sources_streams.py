@@ -34,7 +34,7 @@ def test_word_index_and_manifest(spark, tmp_path):
     (tmp_path / "index.json").write_text(json.dumps({"teh": ["1.png", "2.png"], "es": ["3.png"]}))
     assert corpus.read_word_index(spark, str(tmp_path / "index.json")).count() == 3
     corpus.write_manifest(spark.createDataFrame([("a", "train"), ("b", "val")], "source string, split string"), str(tmp_path / "m"), 42)
-    assert spark.read.json(str(tmp_path / "m")).first()["receipts"]["train"] == ["a"]
+    assert sorted((r["split"], r["source"], r["seed"], r["grouped_by"]) for r in spark.read.json(str(tmp_path / "m")).collect()) == [("train", "a", 42, "source"), ("val", "b", 42, "source")]
 
 
 def test_upload_status(spark):
