@@ -187,6 +187,17 @@ def _fallback() -> Column:
     return F.struct(F.lit(0).alias("matched"), F.lit(0.0).alias("plausible"), F.lit(0.0).alias("score"), F.when(some, qty).otherwise(none).alias("qty"), F.when(some, harga).otherwise(none).alias("harga"), F.when(some, jumlah).otherwise(none).alias("jumlah"))
 
 
+def _better(plain: DataFrame, alt: DataFrame) -> DataFrame:
+    """Of the two readings of a document the one that matches more rows, the split one among equals; adds was_split.
+
+    Documents without a split reading are only passed on: both sides are dealt by document, and no row is gathered.
+    """
+    other = alt.select("doc_id", F.struct(*plain.columns).alias("other"))
+    both = plain.join(other, "doc_id", "left").withColumn("was_split", F.coalesce(F.col("other.matched") >= F.col("matched"), F.lit(False)))
+    chosen = [F.when(F.col("was_split"), F.col(f"other.{c}")).otherwise(F.col(c)).alias(c) for c in plain.columns if c != "doc_id"]
+    return both.select("doc_id", "was_split", *chosen)
+
+
 def assign_roles(grid: DataFrame, strict: bool = False) -> DataFrame:
     """(doc_id, was_split, split_col, n_cols, g, p, matched, plausible, score, qty, harga, jumlah, nama), one row per document.
 
@@ -196,17 +207,16 @@ def assign_roles(grid: DataFrame, strict: bool = False) -> DataFrame:
     # Kept, as both readings and the rows use them, and so that the planner meets small plans: it plans anew after every
     # stage, and all of this as one plan took it longer than the work.
     cells, columns = keep(fill_cells(grid)), keep(profiles(grid))
-    plain = search_roles(keep(gather(cells, columns))).withColumn("was_split", F.lit(0)).withColumn("split_col", F.lit(None).cast("int")).withColumn("n_cols", F.size("p"))
+    plain = keep(search_roles(gather(cells, columns))).withColumn("split_col", F.lit(None).cast("int")).withColumn("n_cols", F.size("p"))
     split = keep(unmerge_counts(cells, strict))
     extra = profiles(split.where("col_id = new_col"))
     rules = split.groupBy("doc_id").agg(F.first("split_col").alias("split_col"), F.first("new_col").alias("n_cols"))
     old = columns.join(rules.select("doc_id"), "doc_id", "left_semi")
-    alt = search_roles(keep(gather(split.select("doc_id", "row_id", "col_id", "text"), old.unionByName(extra)))).withColumn("was_split", F.lit(1)).join(rules, "doc_id")
-    both = plain.unionByName(alt)
-    best = both.groupBy("doc_id").agg(F.max_by(F.struct(*both.columns), F.struct("matched", "was_split")).alias("best")).select("best.*")
+    alt = keep(search_roles(gather(split.select("doc_id", "row_id", "col_id", "text"), old.unionByName(extra)))).join(rules, "doc_id")
+    best = _better(plain, alt)
     free = F.filter("p", lambda c: ~c["col_id"].eqNullSafe(F.col("qty")) & ~c["col_id"].eqNullSafe(F.col("harga")) & ~c["col_id"].eqNullSafe(F.col("jumlah")))
     nama = -F.array_max(F.transform(free, lambda c: F.struct((1 - c["numeric_frac"]).alias("f"), c["n"].alias("n"), (-c["col_id"]).alias("i"))))["i"]
-    return best.withColumn("was_split", F.col("was_split") == 1).withColumn("nama", nama)
+    return best.withColumn("nama", nama)
 
 
 def reconcile(qty: Column, harga: Column, jumlah: Column) -> Column:
