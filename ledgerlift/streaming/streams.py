@@ -14,9 +14,15 @@ from ledgerlift.operators.receipts import extract_receipts, release
 
 
 def stream_receipts(boxes: DataFrame, docs: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Receipts of each micro-batch of boxes, as Parquet; a document's boxes must arrive in one batch (`whole_documents`)."""
+    """Receipts of each micro-batch of boxes, as Parquet; a document's boxes must arrive in one batch (`whole_documents`).
+
+    A batch without boxes writes nothing.
+    """
     def sink(batch: DataFrame, epoch: int) -> None:
         held = batch.persist()  # read several times; a stateful batch is not to be run again for each
+        if held.isEmpty():  # while documents are still open, batches often release none
+            held.unpersist()
+            return
         seen = docs.join(held.select("doc_id").distinct(), "doc_id", "left_semi")
         try:
             extract_receipts(held, seen).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")  # a retried batch replaces itself
