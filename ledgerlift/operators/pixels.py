@@ -60,14 +60,14 @@ def profile_of_pixels(pixels: DataFrame) -> DataFrame:
 
 
 def dark_lines(profile: DataFrame) -> DataFrame:
-    """(page_id, y): lines of which more than SHARE of the span is dark."""
-    return profile.where(F.col("darkness") > F.floor(F.col("width") * (RIGHT - LEFT)) * SHARE).select("page_id", "y")
+    """(page_id, y, height): lines of which more than SHARE of the span is dark."""
+    return profile.where(F.col("darkness") > F.floor(F.col("width") * (RIGHT - LEFT)) * SHARE).select("page_id", "y", "height")
 
 
 def ruled_bands(profile: DataFrame) -> DataFrame:
-    """(page_id, a, b): gaps of a table row's height between printed rules."""
-    height = profile.groupBy("page_id").agg(F.max("height").alias("height"))
-    return scanlines.bands(scanlines.rules(dark_lines(profile)).join(height, "page_id"), F.col("height"))
+    """(page_id, a, b): gaps of a table row's height between printed rules. The height comes with the dark lines, so that the
+    profile, and with it every pixel, is worked out once."""
+    return scanlines.bands(scanlines.rules(dark_lines(profile), keep=("height",)), F.col("height"))
 
 
 def _first_boxes(boxes: DataFrame, most: int) -> DataFrame:
@@ -91,6 +91,20 @@ def tones_of_pixels(pixels: DataFrame, boxes: DataFrame, most: int = INK_BOXES)
     return met.groupBy("page_id", F.col("at.box").alias("box"), tone.alias("tone")).agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).cast("long").alias(c) for c in "rgb"])
 
 
+def boxed_pages(pages: DataFrame, boxes: DataFrame, most: int = INK_BOXES) -> DataFrame:
+    """(page_id, box, x0, y0, x1, y1): every row of `pages` (page_id) with each of its first boxes."""
+    return pages.join(_first_boxes(boxes, most), "page_id")
+
+
+def tones_of_boxed(pixels: DataFrame) -> DataFrame:
+    """The counts of `tones_of_pixels` from pixels that are made of `boxed_pages`' rows: (page_id, box, x0, y0, x1, y1, y, x,
+    r, g, b). The bounds are plain conditions that reach the place where pixels are made, and those of a page stay in the
+    part that holds its boxes: no pixel is shuffled."""
+    inside = (F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x1")) & (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y1"))
+    tone = (F.col("r") + F.col("g") + F.col("b")).cast("int")
+    return pixels.where(inside).groupBy("page_id", "box", tone.alias("tone")).agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).cast("long").alias(c) for c in "rgb"])
+
+
 def tones_of_images(pages: DataFrame, boxes: DataFrame, most: int = INK_BOXES) -> DataFrame:
     """The same counts from `read_pages`' images, made where the image is."""
     first = _first_boxes(boxes, most).groupBy("page_id").agg(F.collect_list(F.struct("box", "x0", "y0", "x1", "y1")).alias("all"))

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def rules(dark: DataFrame) -> DataFrame:
-    """(page_id, y): the centre, in whole lines, of each run of consecutive dark lines (page_id, y)."""
+def rules(dark: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(page_id, y): the centre, in whole lines, of each run of consecutive dark lines (page_id, y); with the columns of
+    `keep`, which are the same on all lines of a page."""
     w = Window.partitionBy("page_id").orderBy("y")
     runs = dark.withColumn("island", F.col("y") - F.row_number().over(w))
-    return runs.groupBy("page_id", "island").agg(F.floor(F.avg("y")).cast("int").alias("y")).select("page_id", "y")
+    return runs.groupBy("page_id", "island").agg(F.floor(F.avg("y")).cast("int").alias("y"), *[F.max(c).alias(c) for c in keep]).select("page_id", "y", *keep)
 
 
 def bands(lines: DataFrame, height: int | Column, least: float = 0.012, most: float = 0.06) -> DataFrame:

@@ -5,6 +5,7 @@ Every view is deterministic arithmetic on whole tables.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,9 +85,20 @@ def for_duckdb(sql: str) -> str:
     return re.sub(r"\bAS STRING\b", "AS VARCHAR", sql)
 
 
-def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """The view's frame over the tables of a folder; only those it names are opened."""
+def parts(spark: SparkSession, sf_dir: str, table: str, each: int) -> int:
+    """How many parts of about `each` rows a table makes; two for each core at least."""
+    return max(2 * spark.sparkContext.defaultParallelism, math.ceil(spark.read.parquet(f"{sf_dir}/{table}.parquet").count() / each))
+
+
+def view(spark: SparkSession, sf_dir: str, sql: str, dealt: dict[str, tuple[str, int]] | None = None) -> DataFrame:
+    """The view's frame over the tables of a folder; only those it names are opened.
+
+    dealt: (key, number of parts) of tables that are dealt out by a key as they are read, because a view makes many rows of
+    each of theirs: a small file is one task otherwise, and what it makes would be shuffled afterwards. A stated number is
+    not put together again by size.
+    """
     named = [t for t in TABLES if re.search(rf"\b(FROM|JOIN)\s+{t}\b", sql)]
     for t in named:
         sql = re.sub(rf"\b(FROM|JOIN)\s+{t}\b", rf"\1 {{{t}}}", sql)
-    return spark.sql(sql, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in named})
+    read = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in named}
+    return spark.sql(sql, **{t: read[t].repartition(dealt[t][1], dealt[t][0]) if t in (dealt or {}) else read[t] for t in named})
