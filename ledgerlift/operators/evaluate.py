@@ -82,10 +82,27 @@ def naive_scale(train: DataFrame) -> DataFrame:
     return diffs.groupBy("unique_id").agg(F.coalesce(F.nullif(F.avg("d"), F.lit(0.0)), F.lit(1.0)).alias("scale"))
 
 
+def naive_scale_of_hits(at: DataFrame) -> DataFrame:
+    """`naive_scale` from the days with demand alone (`demand.numbered` rows): between days that do not touch, and at either
+    end of the span, the series goes to 0 and comes from there."""
+    w = Window.partitionBy("unique_id").orderBy("t")
+    near = at.select("unique_id", "y", "t", "n", F.lag("y").over(w).alias("py"), F.lag("t").over(w).alias("pt"), F.lead("t").over(w).alias("nt"))
+    size = F.abs("y")
+    come = F.when(F.col("pt").isNull(), F.when(F.col("t") > 1, size).otherwise(0)).when(F.col("t") == F.col("pt") + 1, F.abs(F.col("y") - F.col("py"))).otherwise(size)
+    go = F.when((F.col("t") < F.col("n")) & (F.coalesce("nt", F.col("n") + 2) > F.col("t") + 1), size).otherwise(0)
+    s = near.groupBy("unique_id").agg(F.sum(F.when(F.col("t") <= F.col("n"), come + go).otherwise(0)).cast("double").alias("d"), F.first("n").alias("n")).where("n >= 1")
+    return s.select("unique_id", F.coalesce(F.nullif(F.try_divide("d", F.col("n") - 1), F.lit(0.0)), F.lit(1.0)).alias("scale"))
+
+
 def score(forecasts: DataFrame, test: DataFrame, scale: DataFrame, by: list[str] | None = None) -> DataFrame:
     """(method, [by], n, mase, rmsse_mae, rmse): pooled over rows that have both a forecast and an observation.
 
     rmsse_mae divides squared errors by the squared naive MAE, as the source system does.
     """
-    e = forecasts.join(test.select("unique_id", "ds", "y"), ["unique_id", "ds"]).join(scale, "unique_id").withColumn("e", F.col("yhat") - F.col("y"))
+    return pooled(forecasts.join(test.select("unique_id", "ds", "y"), ["unique_id", "ds"]).join(scale, "unique_id"), by)
+
+
+def pooled(met: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """`score` of rows (method, [by], yhat, y, scale) in which forecasts and observations have met."""
+    e = met.withColumn("e", F.col("yhat") - F.col("y"))
     return e.groupBy("method", *(by or [])).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.abs("e") / F.col("scale")), 6).alias("mase"), F.round(F.sqrt(F.avg(F.pow(F.col("e") / F.col("scale"), 2))), 6).alias("rmsse_mae"), F.round(F.sqrt(F.avg(F.pow("e", 2))), 6).alias("rmse"))
