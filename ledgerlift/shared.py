@@ -37,3 +37,9 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str, each_core: int = 4) -> DataFrame:
+    """Rows dealt out by a key into a stated number of parts, so many for each core, where little data makes much work: a
+    shuffle's parts are put together by size, and a small file is one part."""
+    return df.repartition(each_core * df.sparkSession.sparkContext.defaultParallelism, key)
