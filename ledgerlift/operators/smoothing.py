@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlift.shared import spread
+
 BLOCK = 256  # series fitted together
 STEPS = 60  # most steps of the search from one start; it ends where no step gains a part in TOLERANCE
 TOLERANCE = 1e-8
@@ -219,7 +221,8 @@ def auto_ets(train: DataFrame, horizon: int, season_length: int = 7) -> DataFram
     """
     m = season_length
     days = F.array_sort(F.collect_list(F.struct("ds", F.coalesce(F.col("y").cast("double"), F.lit(0.0)).alias("y"))))
-    series = train.groupBy("unique_id").agg(days.alias("days"), F.max("ds").alias("last")).select("unique_id", "last", F.col("days.y").alias("y"))
+    # dealt out in a stated number of parts: a fit takes long for the few bytes of a series, by which parts would be put together
+    series = spread(train, "unique_id", 2).groupBy("unique_id").agg(days.alias("days"), F.max("ds").alias("last")).select("unique_id", "last", F.col("days.y").alias("y"))
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
