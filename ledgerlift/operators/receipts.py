@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlift.functions.text import has_digit, is_number, split_count, to_int
+from ledgerlift.operators import folds
 
 MIN_CONFIDENCE = 0.70
 KEEP = StorageLevel.MEMORY_AND_DISK
@@ -68,29 +69,25 @@ def release() -> None:
         _kept.pop().unpersist()
 
 
-def _once(df: DataFrame, **columns: Column) -> DataFrame:
-    """`df` with columns that are worked out once: a one-row generator keeps the optimizer from copying them upwards."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
-
-
 def build_grid(boxes: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc_id, box_idx, row_id, col_id, text, conf, pitch) of every box that has text.
 
     boxes: (doc_id, box_idx, x, y, w, h, text, conf); docs: (doc_id, width, height). One shuffle by document: a document's
-    boxes are gathered once, columns, pitch and rows are folds over that array, and it is laid out once at the end.
+    boxes are gathered once, columns, pitch and rows are folds over that array, many documents at a time within an Arrow batch
+    (`folds`), and it is laid out once at the end.
     """
     seen = boxes.where(F.trim("text") != "").select("doc_id", F.col("box_idx").cast("int").alias("box_idx"), (F.col("x") + F.col("w") / 2).alias("cx"), (F.col("y") + F.col("h") / 2).alias("cy"), "w", "h", "text", F.col("conf"))
     sized = seen.join(docs.select("doc_id", "width", "height"), "doc_id")
     b = sized.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("box_idx", "cx", "cy", "text", "conf"))).alias("boxes"), upper_median(F.collect_list("w")).alias("med_w"), upper_median(F.collect_list("h")).alias("med_h"), F.first("width").alias("width"), F.first("height").alias("height"))
-    points = lambda axis: F.transform("boxes", lambda p, i: F.struct(p[axis].alias("v"), i.alias("idx")))
-    clusters = lambda found: F.transform(F.array_sort(found), lambda c: c["cluster"])  # by box
-    b = _once(b, cols=clusters(cluster_1d(points("cx"), F.greatest(F.col("med_w") * 0.6, F.col("width") * 0.02))))
-    b = _once(b, down=F.array_sort(F.transform("boxes", lambda p, i: F.struct(F.get("cols", i).alias("c"), p["cy"].alias("cy"), i.alias("i")))))
-    steps = F.zip_with(F.slice("down", 2, F.size("down")), "down", lambda low, high: F.when(low["c"] == high["c"], low["cy"] - high["cy"]))
-    b = _once(b, pitch=F.coalesce(upper_median(F.filter(steps, lambda s: s.isNotNull())), F.lit(0.0)))
-    gap = F.when(F.col("pitch") > 0, F.col("pitch") / 2).otherwise(F.greatest(F.col("med_h") * 0.8, F.col("height") * 0.008))
-    b = _once(b, rows=clusters(cluster_1d(points("cy"), gap)))
-    return b.select("doc_id", "pitch", F.inline(F.transform("boxes", lambda p, i: F.struct(p["box_idx"].alias("box_idx"), F.get("rows", i).alias("row_id"), F.get("cols", i).alias("col_id"), p["text"].alias("text"), p["conf"].alias("conf")))))
+    gap_x, gap_y = F.greatest(F.col("med_w") * 0.6, F.col("width") * 0.02), F.greatest(F.col("med_h") * 0.8, F.col("height") * 0.008)
+    laid = F.arrow_udf(folds.laid_out, "struct<cols:array<int>,rows:array<int>,pitch:double>")(F.col("boxes.cx"), F.col("boxes.cy"), gap_x.cast("double"), gap_y.cast("double"))
+    b = b.select("doc_id", "boxes", laid.alias("laid")).select("doc_id", F.col("laid.pitch").alias("pitch"), F.inline(F.arrays_zip("boxes", F.col("laid.rows").alias("row_id"), F.col("laid.cols").alias("col_id"))).alias("box", "row_id", "col_id"))
+    return b.select("doc_id", "pitch", "box.box_idx", "row_id", "col_id", "box.text", "box.conf")
+
+
+def dealt(grid: DataFrame) -> DataFrame:
+    """The grid by document once, for what gathers its documents several times: Python's columns lose how rows are dealt."""
+    return grid.repartition("doc_id")
 
 
 def profiles(texts: DataFrame) -> DataFrame:
@@ -132,44 +129,16 @@ def gather(cells: DataFrame, columns: DataFrame) -> DataFrame:
     return g.join(p, "doc_id")
 
 
-def _candidate(q: Column | None, h: Column, j: Column) -> Column:
-    one = F.lit(1).cast("decimal(38,0)")
-
-    def step(a: Column, r: Column) -> Column:
-        vals = r["vals"]
-        quantity = one if q is None else vals[q]
-        whole = quantity.isNotNull() & vals[h].isNotNull() & vals[j].isNotNull()
-        adds = F.coalesce(F.try_multiply(quantity, vals[h]) == vals[j], F.lit(False))
-        return F.when(whole, F.struct((a["checked"] + 1).alias("checked"), (a["matched"] + adds.cast("int")).alias("matched"))).otherwise(a)
-
-    p, none = F.col("p"), F.lit(None).cast("int")
-    plausible = F.lit(1.0) if q is None else F.when(p[q]["mag"] <= p[h]["mag"], 1.0).otherwise(0.0)
-
-    def finish(a: Column) -> Column:  # array_max over this takes the best key and, among equals, the first permutation
-        score = F.when(a["checked"] > 0, a["matched"] / a["checked"]).otherwise(0.0)
-        return F.struct(a["matched"].alias("matched"), plausible.alias("plausible"), score.alias("score"), (none if q is None else -q).alias("q"), (-h).alias("h"), (-j).alias("j"))
-
-    return F.aggregate("g", F.struct(F.lit(0).alias("checked"), F.lit(0).alias("matched")), step, finish)
-
-
 def search_roles(gathered: DataFrame) -> DataFrame:
     """Adds matched, plausible, score, qty, harga, jumlah: the columns whose rows add up best.
 
     All ordered triples first; pairs with an implied quantity of one for documents of which no triple matches a row; the
-    layout that the forms share where no pair does either. Each pass is a column over attributes only, so that nothing
-    is worked out again inside a lambda.
+    layout that the forms share where no pair does either. The search is over many documents at a time within an Arrow
+    batch (`folds.searched`): a pair of columns is one operation over all rows of the batch.
     """
-    at = F.transform("p", lambda c, i: i)
-    others = lambda *used: F.filter(at, lambda i: ~i.isin(*used))
-    best = lambda found: F.array_max(F.filter(found, lambda c: c["matched"] > 0))
-    triples = F.flatten(F.flatten(F.transform(at, lambda q: F.transform(others(q), lambda h: F.transform(others(q, h), lambda j: _candidate(q, h, j))))))
-    pairs = F.flatten(F.transform(at, lambda h: F.transform(others(h), lambda j: _candidate(None, h, j))))
-    picked = F.coalesce(best(triples), best(pairs))
-    # one-row generators: what they make is worked out once, whatever the optimizer merges above them
-    g = gathered.select("*", F.inline(F.array(F.struct(picked.alias("best")))))
-    roles = F.struct(F.col("best.matched").alias("matched"), F.col("best.plausible").alias("plausible"), F.col("best.score").alias("score"), (-F.col("best.q")).alias("qty"), (-F.col("best.h")).alias("harga"), (-F.col("best.j")).alias("jumlah"))
-    chosen = F.when(F.col("best").isNotNull(), roles).otherwise(_fallback())
-    return g.select("doc_id", "g", "p", F.inline(F.array(chosen)))
+    best = F.arrow_udf(folds.searched, "struct<matched:int,plausible:double,score:double,qty:int,harga:int,jumlah:int>")(F.col("g.vals"), F.col("p.mag"))
+    chosen = F.when(F.col("best.matched").isNotNull(), F.col("best")).otherwise(_fallback())
+    return gathered.select("*", best.alias("best")).select("doc_id", "g", "p", F.inline(F.array(chosen)))
 
 
 def _fallback() -> Column:
@@ -272,5 +241,5 @@ def receipts(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 def extract_receipts(boxes: DataFrame, docs: DataFrame) -> DataFrame:
     """Boxes to receipts, one row per document of `docs`; call `release` when the result is written."""
-    grid = keep(build_grid(boxes, docs))
+    grid = keep(dealt(build_grid(boxes, docs)))
     return receipts(read_rows(assign_roles(grid), grid), docs)
