@@ -105,12 +105,13 @@ def fill_cells(grid: DataFrame) -> DataFrame:
 
 def unmerge_counts(cells: DataFrame, strict: bool = False) -> DataFrame:
     """The cells of documents that have a column whose rule is a count welded to a name: names stay, counts get a new last
-    column. Adds split_col, the first such column, and new_col."""
-    seen = cells.withColumn("s", split_count(F.col("text"), strict))
-    by_col = seen.groupBy("doc_id", "col_id").agg(F.count_if(F.col("text") != "").alias("filled"), F.count("s").alias("n"))
+    column. Adds split_col, the first such column, and new_col. Columns and documents are windows over one order: texts are
+    judged once, and cells that lie by document are neither joined nor dealt out anew."""
+    by_col, by_doc = Window.partitionBy("doc_id", "col_id"), Window.partitionBy("doc_id")
+    seen = cells.where("doc_id IS NOT NULL").withColumn("s", split_count(F.col("text"), strict))
+    counted = seen.withColumns({"filled": F.count_if(F.col("text") != "").over(by_col), "n": F.count("s").over(by_col)})
     rule = F.when((F.col("filled") >= 2) & (F.col("n") >= F.col("filled") * 0.5), F.col("col_id"))
-    by_doc = by_col.groupBy("doc_id").agg(F.min(rule).alias("split_col"), (F.max("col_id") + 1).alias("new_col")).where("split_col IS NOT NULL")
-    both = seen.join(by_doc, "doc_id")
+    both = counted.withColumns({"split_col": F.min(rule).over(by_doc), "new_col": F.max("col_id").over(by_doc) + 1}).where("split_col IS NOT NULL")
     hit = (F.col("col_id") == F.col("split_col")) & F.col("s").isNotNull()
     parts = F.when(hit, F.array(F.struct(F.col("col_id").alias("c"), F.col("s.name").alias("t")), F.struct(F.col("new_col").alias("c"), F.col("s.count").cast("string").alias("t")))).otherwise(F.array(F.struct(F.col("col_id").alias("c"), F.col("text").alias("t"))))
     return both.select("doc_id", "row_id", "split_col", "new_col", F.inline(parts).alias("col_id", "text"))
