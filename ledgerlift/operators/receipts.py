@@ -47,11 +47,15 @@ def with_predictions(boxes: DataFrame, predictions: DataFrame) -> DataFrame:
     """`boxes` with text and conf of the prediction at the same place of their document, as far as both lists go (J-14).
 
     boxes: (doc_id, box_idx, ..), in the order of box_idx; predictions: (doc_id, at, text, conf), in that of at. A missing
-    text is empty, a missing confidence 0.
+    text is empty, a missing confidence 0. Both lists of a document are gathered and meet as one row each: a join by document
+    and place would deal rows out anew that already lie by document.
     """
-    place = lambda by: F.row_number().over(Window.partitionBy("doc_id").orderBy(by))
-    read = predictions.select("doc_id", place("at").alias("_place"), F.trim(F.coalesce("text", F.lit(""))).alias("text"), F.coalesce("conf", F.lit(0.0)).alias("conf"))
-    return boxes.withColumn("_place", place("box_idx")).join(read, ["doc_id", "_place"]).drop("_place")
+    listed = lambda rows, name: rows.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(*[c for c in rows.columns if c != "doc_id"]))).alias(name))
+    others = [c for c in boxes.columns if c not in ("doc_id", "box_idx")]
+    read = predictions.select("doc_id", "at", F.trim(F.coalesce("text", F.lit(""))).alias("text"), F.coalesce("conf", F.lit(0.0)).alias("conf"))
+    both = listed(boxes.select("doc_id", "box_idx", *others), "boxes").join(listed(read, "read"), "doc_id")
+    pairs = F.slice(F.arrays_zip("boxes", "read"), F.lit(1), F.least(F.size("boxes"), F.size("read")))
+    return both.select("doc_id", F.inline(pairs).alias("box", "seen")).select("doc_id", *[F.col(f"box.{c}") for c in boxes.columns if c != "doc_id"], "seen.text", "seen.conf")
 
 
 _kept: list[DataFrame] = []
