@@ -75,23 +75,6 @@ def area(quad: Column) -> Column:
     return F.abs(F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)) / 2
 
 
-def warped_box(x: Column, y: Column, w: Column, h: Column, m: list[list[float]] | list[list[Column]], width: Column, height: Column, pad: float = 0.10, min_side: float = 8) -> Column:
-    """struct(x, y, w, h) of a box's extent under the homography m, padded and clamped; null if a side falls short."""
-    def moved(p: Column) -> Column:
-        scale = m[2][0] * p["x"] + m[2][1] * p["y"] + m[2][2]
-        return F.struct(((m[0][0] * p["x"] + m[0][1] * p["y"] + m[0][2]) / scale).alias("x"), ((m[1][0] * p["x"] + m[1][1] * p["y"] + m[1][2]) / scale).alias("y"))
-
-    def padded(e: Column) -> Column:
-        px, py = (e["x1"] - e["x0"]) * pad, F.greatest((e["y1"] - e["y0"]) * pad, F.lit(3.0))
-        return F.struct(F.greatest(F.lit(0.0), e["x0"] - px).alias("x"), F.greatest(F.lit(0.0), e["y0"] - py).alias("y"), F.least(width.cast("double"), e["x1"] + px).alias("r"), F.least(height.cast("double"), e["y1"] + py).alias("b"))
-
-    corners = F.array(*[F.struct(px.alias("x"), py.alias("y")) for px, py in ((x, y), (x + w, y), (x + w, y + h), (x, y + h))])
-    # each step is a transform, so that its input is worked out once
-    extent = F.transform(F.array(F.transform(corners, moved)), lambda q: F.struct(F.array_min(q["x"]).alias("x0"), F.array_max(q["x"]).alias("x1"), F.array_min(q["y"]).alias("y0"), F.array_max(q["y"]).alias("y1")))
-    box = F.transform(F.transform(extent, padded), lambda c: F.struct(c["x"].alias("x"), c["y"].alias("y"), (c["r"] - c["x"]).alias("w"), (c["b"] - c["y"]).alias("h")))
-    return F.get(F.filter(box, lambda c: (c["w"] >= min_side) & (c["h"] >= min_side)), F.lit(0))
-
-
 def crop_rectangle(x: Column, y: Column, w: Column, h: Column, width: Column, height: Column, pad: float = CROP_PAD) -> Column:
     """struct(left, top, right, bottom): padded, cut toward zero, clamped to the page."""
     cut = lambda c: c.cast("int")
