@@ -5,6 +5,8 @@ Draws are hashes of a key, so that a form is the same wherever and however often
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,26 +31,44 @@ def weighted_choice(at: Column, weights: dict[str, float]) -> Column:
     return out.otherwise(list(weights)[-1])
 
 
-def sample_layouts(docs: DataFrame) -> DataFrame:
-    """(doc_id, layout, place, role, left, width, n_rows, ruled, header_y, row_h), one row per column of a form.
+def _each(column: str) -> Column:
+    """The rows of an array. Of a bare column Spark infers a filter, which works out what the array is made of over again."""
+    return F.inline(F.slice(column, F.lit(1), F.size(column)))
+
+
+def sample_forms(docs: DataFrame) -> DataFrame:
+    """(doc_id, layout, n_rows, ruled, header_y, row_h, columns array<struct<place, role, left, width>>), one row per form.
 
-    docs: (doc_id). The order is drawn evenly, widths are jittered by 0.8 to 1.25 and scaled to one page.
+    docs: (doc_id), each once. The order is drawn evenly, widths are jittered by 0.8 to 1.25 and scaled to one page. All is plain
+    arithmetic of a row: no column of a form is a row of its own that would have to be gathered.
     """
     key = F.col("doc_id")
-    orders = F.array(*[F.array(*map(F.lit, order)) for order in COLUMN_ORDERS])
     form = docs.select(
         "doc_id", F.floor(fraction(key, "order") * len(COLUMN_ORDERS)).cast("int").alias("layout"), (F.floor(fraction(key, "rows") * 9) + 8).cast("int").alias("n_rows"),
-        (fraction(key, "ruled") < 0.75).alias("ruled"), (fraction(key, "header") * 0.12 + 0.16).alias("header_y"), (fraction(key, "row") * 0.017 + 0.038).alias("row_h"))
-    base = F.create_map(*[F.lit(x) for pair in BASE_WIDTHS.items() for x in pair])
-    columns = form.select("*", F.posexplode(F.get(orders, F.col("layout"))).alias("place", "role"))
-    columns = columns.withColumn("raw", base[F.col("role")] * (fraction(key, F.col("role")) * 0.45 + 0.8))
-    form_rows = columns.groupBy("doc_id", "layout", "n_rows", "ruled", "header_y", "row_h").agg(F.array_sort(F.collect_list(F.struct("place", "role", "raw"))).alias("c"))
-    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x["raw"])
-    laid = F.transform("c", lambda x, i: F.struct(x["place"].alias("place"), x["role"].alias("role"), (total(F.slice("c", 1, i)) / total(F.col("c"))).alias("left"), (x["raw"] / total(F.col("c"))).alias("width")))
-    return form_rows.select("doc_id", "layout", "n_rows", "ruled", "header_y", "row_h", F.inline(laid))
-
-
-def truth_boxes(layouts: DataFrame, width: int = 1536, height: int = 2048) -> DataFrame:
-    """(doc_id, row, role, x, y, w, h): the cells of a form's item rows in pixels, as a renderer would place them."""
-    rows = layouts.select("*", F.explode(F.sequence(F.lit(1), F.col("n_rows"))).alias("row"))
-    return rows.select("doc_id", "row", "role", (F.col("left") * width).alias("x"), ((F.col("header_y") + F.col("row") * F.col("row_h")) * height).alias("y"), (F.col("width") * width).alias("w"), (F.col("row_h") * height).alias("h"))
+        (fraction(key, "ruled") < 0.75).alias("ruled"), (fraction(key, "header") * 0.12 + 0.16).alias("header_y"), (fraction(key, "row") * 0.017 + 0.038).alias("row_h"),
+        *[(F.lit(base) * (fraction(key, role) * 0.45 + 0.8)).alias(f"_{role}") for role, base in BASE_WIDTHS.items()])
+
+    def laid(order: tuple[str, ...]) -> Column:
+        upto = list(accumulate((F.col(f"_{role}") for role in order), initial=F.lit(0.0)))
+        return F.array(*[F.struct(F.lit(i).alias("place"), F.lit(role).alias("role"), (upto[i] / upto[-1]).alias("left"), (F.col(f"_{role}") / upto[-1]).alias("width")) for i, role in enumerate(order)])
+
+    columns = F.coalesce(*[F.when(F.col("layout") == i, laid(order)) for i, order in enumerate(COLUMN_ORDERS)])
+    return form.select("doc_id", "layout", "n_rows", "ruled", "header_y", "row_h", columns.alias("columns"))
+
+
+def sample_layouts(docs: DataFrame) -> DataFrame:
+    """(doc_id, layout, place, role, left, width, n_rows, ruled, header_y, row_h), one row per column of a form."""
+    return sample_forms(docs).select("doc_id", "layout", "n_rows", "ruled", "header_y", "row_h", _each("columns"))
+
+
+def truth_boxes(forms: DataFrame, width: int = 1536, height: int = 2048, places: int | None = None) -> DataFrame:
+    """(doc_id, row, role, x, y, w, h): the cells of a form's item rows in pixels, as a renderer would place them.
+
+    forms: what `sample_forms` gives. places: decimal places, all if none. What is the same for all cells of a row or column is
+    worked out and rounded before they are made.
+    """
+    shown = lambda c: c if places is None else F.round(c, places)
+    rows = F.transform(F.sequence(F.lit(1), F.col("n_rows")), lambda r: F.struct(r, shown((F.col("header_y") + r * F.col("row_h")) * height)))
+    columns = forms.select("doc_id", rows.alias("rows"), shown(F.col("row_h") * height).alias("h"), _each("columns"))
+    sized = columns.select("doc_id", "role", "rows", "h", shown(F.col("left") * width).alias("x"), shown(F.col("width") * width).alias("w"))
+    return sized.select("doc_id", _each("rows").alias("row", "y"), "role", "x", "w", "h").select("doc_id", "row", "role", *"xywh")
