@@ -81,19 +81,29 @@ def crop_rectangle(x: Column, y: Column, w: Column, h: Column, width: Column, he
     return F.struct(F.greatest(F.lit(0), cut(x - w * pad)).alias("left"), F.greatest(F.lit(0), cut(y - h * pad)).alias("top"), F.least(width, cut(x + w + w * pad)).alias("right"), F.least(height, cut(y + h + h * pad)).alias("bottom"))
 
 
-def turned_point(p: Column, width: Column, height: Column, degrees: Column) -> Column:
-    """A point of a page that is turned counter-clockwise, on the canvas that `rotated_size` gives."""
+def page_turn(width: Column, height: Column, degrees: Column) -> Column:
+    """struct: what all points of a page share that is turned counter-clockwise, on the canvas that `rotated_size` gives. quarter
+    is 0 to 3 for turns without interpolation, else null."""
     new = rotated_size(width, height, degrees)
-    quarter = F.pmod(F.bround(degrees / 90, 0).cast("int"), F.lit(4))
+    quarter = F.when(new["action"] == "none", F.lit(0)).when(new["action"] == "quarter", F.pmod(F.bround(degrees / 90, 0).cast("int"), F.lit(4)))
+    return F.struct(quarter.alias("quarter"), F.cos(F.radians(degrees)).alias("cos"), F.sin(F.radians(degrees)).alias("sin"), width.alias("width"), height.alias("height"),
+                    (width / 2).alias("cx"), (height / 2).alias("cy"), (new["width"] / 2).alias("to_x"), (new["height"] / 2).alias("to_y"))
+
+
+def point_turned(p: Column, t: Column) -> Column:
+    """A point of a page under what `page_turn` gives."""
     point = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
-    cos, sin = F.cos(F.radians(degrees)), F.sin(F.radians(degrees))
-    x, y = p["x"] - width / 2, p["y"] - height / 2
-    return (F.when(new["action"] == "none", point(p["x"], p["y"]))
-            .when((new["action"] == "quarter") & (quarter == 0), point(p["x"], p["y"]))
-            .when((new["action"] == "quarter") & (quarter == 1), point(p["y"], width - p["x"]))
-            .when((new["action"] == "quarter") & (quarter == 2), point(width - p["x"], height - p["y"]))
-            .when(new["action"] == "quarter", point(height - p["y"], p["x"]))
-            .otherwise(point(x * cos + y * sin + new["width"] / 2, y * cos - x * sin + new["height"] / 2)))
+    x, y = p["x"] - t["cx"], p["y"] - t["cy"]
+    return (F.when(t["quarter"].isNull(), point(x * t["cos"] + y * t["sin"] + t["to_x"], y * t["cos"] - x * t["sin"] + t["to_y"]))
+            .when(t["quarter"] == 0, point(p["x"], p["y"]))
+            .when(t["quarter"] == 1, point(p["y"], t["width"] - p["x"]))
+            .when(t["quarter"] == 2, point(t["width"] - p["x"], t["height"] - p["y"]))
+            .otherwise(point(t["height"] - p["y"], p["x"])))
+
+
+def turned_point(p: Column, width: Column, height: Column, degrees: Column) -> Column:
+    """A point of a page that is turned counter-clockwise, on the canvas that `rotated_size` gives."""
+    return point_turned(p, page_turn(width, height, degrees))
 
 
 def perspective(width: Column, height: Column, corners: Column) -> list[list[Column]]:

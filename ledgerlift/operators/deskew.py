@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.functions.geometry import MIN_TILT, long_edge, turned_point
+from ledgerlift.functions.geometry import MIN_TILT, long_edge, page_turn, point_turned
 from ledgerlift.shared import written
 
 PASSES, LEAST_LINES = 3, 4
@@ -22,8 +22,10 @@ def lines_angle(quads: Column) -> Column:
 
 
 def turned_quads(quads: Column, width: Column, height: Column, degrees: Column) -> Column:
-    """An array of quads on a page that is turned counter-clockwise by `degrees`, as `rotated_size` says how."""
-    return F.transform(quads, lambda q: F.transform(q, lambda p: turned_point(p, width, height, degrees)))
+    """An array of quads on a page that is turned counter-clockwise by `degrees`, as `rotated_size` says how; what its points
+    share is worked out once a page."""
+    turned = lambda t: F.transform(quads, lambda q: F.transform(q, lambda p: point_turned(p, t)))
+    return F.get(F.transform(F.array(page_turn(width, height, degrees)), turned), F.lit(0))
 
 
 def deskew(pages: DataFrame, detect: Callable[[DataFrame], DataFrame], passes: int = PASSES, least_lines: int = LEAST_LINES) -> DataFrame:
