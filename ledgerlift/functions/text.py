@@ -18,7 +18,7 @@ def count_pattern(strict: bool = False) -> str:
 
 def to_int(text: Column) -> Column:
     """All ASCII digits as one number (signs, decimal and thousands marks vanish); null if there are none."""
-    return F.regexp_replace(text, "[^0-9]", "").try_cast("decimal(38,0)")
+    return F.when(text.rlike("[0-9]"), F.regexp_replace(text, "[^0-9]+", "").try_cast("decimal(38,0)"))  # a failed cast costs an exception
 
 
 def is_number(text: Column) -> Column:
@@ -42,7 +42,8 @@ def split_count(text: Column, strict: bool = False) -> Column:
     pattern = count_pattern(strict)
     name = F.trim(F.regexp_extract(text, pattern, 3))
     letters = F.length(F.regexp_replace(F.lower(name), "[^a-z]", ""))
-    fits = text.rlike(pattern) & name.rlike(r"^\p{L}") & (letters >= 3) & ~F.lower(name).isin(*UNITS)
+    starts = text.rlike(r"^\s*\d{1,3}\D")  # so begins all that fits; the units are tried on nothing else
+    fits = starts & text.rlike(pattern) & name.rlike(r"^\p{L}") & (letters >= 3) & ~F.lower(name).isin(*UNITS)
     return F.when(fits, F.struct(F.regexp_extract(text, pattern, 1).try_cast("int").alias("count"), name.alias("name")))
 
 

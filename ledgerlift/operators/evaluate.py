@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlift.functions.text import cer, is_number, normalise
-from ledgerlift.operators import folds
+from ledgerlift.operators import folds, receipts
 
 
 def cer_by_stratum(predictions: DataFrame) -> DataFrame:
@@ -50,29 +50,32 @@ def fixed_geometry_roles(boxes: DataFrame, docs: DataFrame) -> DataFrame:
     return banded(boxes, docs).where("band is not null").groupBy("doc_id", F.col("band").alias("role")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def layout_benchmark(found: DataFrame) -> DataFrame:
+def layout_benchmark(boxes: DataFrame, layout: Column) -> DataFrame:
     """(layout, n_items, n_docs, correct, fixed_correct), by layout, by number of items and overall (the others null):
     documents whose discovered qty, harga and jumlah columns hold mostly that role's boxes, and those whose fixed bands do.
 
-    found: (doc_id, layout, width, boxes, blank, cols, was_split, split_col, n_cols, qty, harga, jumlah), one row per document, of
-    `receipts.assign_roles` and of `receipts.gathered` with role and row of each box, which say what it is. A column made by
+    boxes: what `receipts.gathered` gives, carrying what each box is (`truth`); layout: that of a doc_id. A column made by
     splitting counts off stands for the one it came from. A document is judged within its row: no box is dealt out or joined.
     """
     wanted = ("qty", "harga", "jumlah")
-    true = lambda b: F.struct(b["box_idx"].alias("box_idx"), b["cx"].alias("cx"), b["role"].alias("role"), b["row"].alias("row"))
-    marked = lambda b, at: F.struct(b["box_idx"].alias("box_idx"), b["role"].alias("role"), b["row"].alias("row"), F.coalesce((b["row"] > 0) & ~b["role"].startswith("total"), F.lit(False)).alias("item"), band(b["cx"] / F.col("width")).alias("band"))
-    column = lambda c: F.when(F.col("was_split") & (F.col(c) == F.col("n_cols")), F.col("split_col")).otherwise(F.col(c)).alias(c)
-    # Boxes with text come first: their columns are the first of `cols`, the others have none.
-    truth = found.select("doc_id", "layout", "width", "cols", *map(column, wanted), F.concat(F.transform("boxes", true), F.transform("blank", true)).alias("truth"))
-    truth = truth.select("doc_id", "layout", *wanted, F.transform("truth", marked).alias("truth"), F.transform("truth", lambda b, at: F.get("cols", at)).alias("cols"))
-    of = lambda keys, kind: F.arrow_udf(folds.most_frequent, f"map<{kind},string>")(keys, "truth.role", "truth.box_idx", "truth.item")
-    met = truth.select("layout", *wanted, F.array_distinct("truth.role").alias("roles"), F.size(F.array_distinct(F.filter("truth", lambda b: b["item"])["row"])).alias("n_items"), of("cols", "int").alias("got"), of("truth.band", "string").alias("held"))
-    right = lambda got: reduce(and_, [~F.array_contains("roles", c) | F.coalesce(got(c) == c, F.lit(False)) for c in wanted])
-    judged = met.select("layout", "n_items", right(lambda c: F.try_element_at("got", F.col(c))).alias("ok"), right(lambda c: F.try_element_at("held", F.lit(c))).alias("fixed_ok"), F.arrays_overlap("roles", F.array(*map(F.lit, wanted))).alias("asked")).where("asked")
-    docs = judged.groupBy("layout", "n_items").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("ok").alias("correct"), F.count_if("fixed_ok").alias("fixed_correct"))
+    both = lambda c: F.concat(f"boxes.{c}", f"blank.{c}")
+    most = lambda kind: F.arrow_udf(folds.most_frequent, f"map<{kind},string>")
+    held = most("string")(F.transform(both("cx"), lambda x: band(x / F.col("width"))), both("role"), both("box_idx"), both("item_row"))
+    n_items, roles = F.size(F.array_distinct(F.array_compact(both("item_row")))), F.array_distinct(both("role"))
+    grid = receipts.gridded(boxes, held=held, n_items=n_items, roles=roles, role=F.col("boxes.role"), box_idx=F.col("boxes.box_idx"), item_row=F.col("boxes.item_row"))
+    found = receipts.assign_roles(grid, got=most("int")("cols", "role", "box_idx", "item_row"), held=F.col("held"), n_items=F.col("n_items"), roles=F.col("roles"))
+    column = lambda c: F.when(F.col("was_split") & (F.col(c) == F.col("n_cols")), F.col("split_col")).otherwise(F.col(c))
+    right = lambda got, key: reduce(and_, [~F.array_contains("roles", c) | F.coalesce(F.try_element_at(got, key(c)) == c, F.lit(False)) for c in wanted])
+    judged = found.select(layout.alias("layout"), "n_items", right(F.col("got"), column).alias("ok"), right(F.col("held"), F.lit).alias("fixed_ok"), F.arrays_overlap("roles", F.array(*map(F.lit, wanted))).alias("asked"))
+    docs = judged.groupBy("layout", "n_items").agg(*[F.count_if(c).alias(n) for c, n in (("asked", "n_docs"), (F.col("asked") & F.col("ok"), "correct"), (F.col("asked") & F.col("fixed_ok"), "fixed_correct"))]).where("n_docs > 0")
     return docs.groupingSets([["layout"], ["n_items"], []], "layout", "n_items").agg(*[F.sum(c).alias(c) for c in ("n_docs", "correct", "fixed_correct")])
 
 
+def truth(boxes: DataFrame) -> DataFrame:
+    """`boxes` (.., role, row) with item_row: the row of a box of an item, null for those of headers and totals."""
+    return boxes.withColumn("item_row", F.when((F.col("row") > 0) & ~F.col("role").startswith("total"), F.col("row")))
+
+
 def naive_scale(train: DataFrame) -> DataFrame:
     """(unique_id, scale): mean absolute lag-1 difference, 1 where it is 0 or missing."""
     w = Window.partitionBy("unique_id").orderBy("ds")

@@ -364,11 +364,11 @@ def split_roles(at: pa.Array, digits: pa.Array, counts: pa.Array, names: pa.Arra
 
 
 def most_frequent(keys: pa.Array, values: pa.Array, box_idx: pa.Array, counted: pa.Array) -> pa.Array:
-    """map(key, value) by document: of the counted places the most frequent value of each key; among equals the one met first
-    by box_idx. Missing keys count nowhere."""
+    """map(key, value) by document: the most frequent value of each key, among equals the one met first by box_idx; of the places
+    where `counted` is not missing. Missing keys count nowhere."""
     sizes, key, value = _sizes(keys), keys.flatten(), values.flatten()
     doc = np.repeat(np.arange(len(sizes)), sizes)
-    may = np.flatnonzero(_flags(counted) & key.is_valid().to_numpy(zero_copy_only=False) & value.is_valid().to_numpy(zero_copy_only=False))
+    may = np.flatnonzero(counted.flatten().is_valid().to_numpy(zero_copy_only=False) & key.is_valid().to_numpy(zero_copy_only=False) & value.is_valid().to_numpy(zero_copy_only=False))
     k, v = (pc.fill_null(x.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)[may] for x in (key, value))
     d, idx = doc[may], box_idx.flatten().to_numpy(zero_copy_only=False)[may]
     order = np.lexsort([idx, v, k, d])

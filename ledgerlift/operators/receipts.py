@@ -68,13 +68,15 @@ def gathered(boxes: DataFrame, docs: DataFrame, carried: tuple[str, ...] = (), h
     has = F.trim(text) != ""
     number = (digits != "") & ~F.lower(text).rlike("[a-z]")  # is_number, where the digits are known
     seen = F.struct("box_idx", "cx", "cy", "w", "h", "text", "conf", "digits", number.alias("number"), F.when(digits != "", True).otherwise(has_digit(text)).alias("digit"), *carried)
-    listed = [F.sort_array(F.collect_list(F.when(has, seen) if carried else seen)).alias("boxes")]
+    # Structs are made before they are collected: an aggregate's arguments are interpreted.
     if carried:
-        listed.append(F.sort_array(F.collect_list(F.when(~F.coalesce(has, F.lit(False)), F.struct("box_idx", "cx", *carried)))).alias("blank"))
-    b = (placed if carried else placed.where(has)).groupBy("doc_id").agg(*listed)
+        b = placed.select("doc_id", F.when(has, seen).alias("boxes"), F.when(~F.coalesce(has, F.lit(False)), F.struct("box_idx", "cx", *carried)).alias("blank"))
+    else:
+        b = placed.where(has).select("doc_id", seen.alias("boxes"))
+    b = b.groupBy("doc_id").agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in b.columns[1:]])
     # The documents, small rows, are looked up by hash: rows with arrays are not sorted once more to be merged.
     b = docs.select("doc_id", "width", "height").hint("shuffle_hash").join(b, "doc_id", how)
-    filled = [F.coalesce(c, F.array().cast(b.schema[c].dataType)).alias(c) for c in ("boxes", "blank")[: 1 + bool(carried)]]
+    filled = [F.coalesce(c, F.array().cast(b.schema[c].dataType)).alias(c) for c in b.columns[3:]]
     gap_x, gap_y = F.greatest(upper_median(F.col("boxes.w")) * 0.6, F.col("width") * 0.02), F.greatest(upper_median(F.col("boxes.h")) * 0.8, F.col("height") * 0.008)
     return b.select("doc_id", "width", "height", *filled, gap_x.cast("double").alias("gap_x"), gap_y.cast("double").alias("gap_y"))
 
@@ -92,12 +94,13 @@ def build_grid(boxes: DataFrame, docs: DataFrame) -> DataFrame:
     return b.select("doc_id", "pitch", "box.box_idx", "row_id", "col_id", "box.text", "box.conf")
 
 
-def gridded(gathered: DataFrame, *also: str) -> DataFrame:
-    """(doc_id, cols, at, text, digits, columns, rows, also..), one row per document: what `folds.gridded` says of `gathered`."""
+def gridded(gathered: DataFrame, **also: Column) -> DataFrame:
+    """(doc_id, cols, at, text, digits, columns, rows, also..), one row per document: what `folds.gridded` says of `gathered`.
+    also: what else is worked out of `gathered`, within the same pass if it is an Arrow function."""
     kind = "struct<cols:array<int>,at:array<bigint>,text:array<string>,digits:array<string>,columns:array<struct<col_id:int,n:bigint,numeric_frac:double,digit_frac:double,mean_digits:double>>,rows:array<struct<row_id:int,confidence:double>>>"
     box = lambda c: F.col(f"boxes.{c}")
     made = F.arrow_udf(folds.gridded, kind)(box("box_idx"), box("cx"), box("cy"), "gap_x", "gap_y", box("text"), box("digits"), box("number"), box("digit"), box("conf"))
-    return gathered.select("doc_id", *also, made.alias("grid")).select("doc_id", "grid.*", *also)
+    return gathered.select("doc_id", *[c.alias(name) for name, c in also.items()], made.alias("grid")).select("doc_id", "grid.*", *also)
 
 
 def unmerge_counts(cells: DataFrame, strict: bool = False) -> DataFrame:
@@ -129,20 +132,20 @@ def plain_roles(grid: DataFrame) -> DataFrame:
     return grid.select("doc_id", best.alias("best")).select("doc_id", F.inline(F.array("best")))
 
 
-def assign_roles(grid: DataFrame, strict: bool = False, also: tuple[str, ...] = ()) -> DataFrame:
+def assign_roles(grid: DataFrame, strict: bool = False, **also: Column) -> DataFrame:
     """(doc_id, was_split, split_col, n_cols, matched, plausible, score, qty, harga, jumlah, nama, at, text, split, rows, also..),
     one row per document.
 
     grid: what `gridded` gives. The reading with counts split off is taken if it matches at least as many rows; the split column
-    keeps its profile. split: count and name of each cell in which they are welded. A document stays one row: nothing is dealt
-    out or gathered again.
+    keeps its profile. split: count and name of each cell in which they are welded; also: as in `gridded`. A document stays one
+    row: nothing is dealt out or gathered again.
     """
-    kept = ["at", "text", "rows", *also]
-    welded = grid.select("doc_id", *kept, "digits", "columns", F.transform("text", lambda t: split_count(t, strict)).alias("split"))
+    welded = grid.select("*", F.transform("text", lambda t: split_count(t, strict)).alias("split"))
     welded = welded.select("*", F.transform("split", lambda s: F.regexp_replace(s["name"], "[^0-9]+", "")).alias("names"))
     best = F.arrow_udf(folds.split_roles, f"struct<{_BEST},split_col:int>")("at", "digits", "split.count", "names", *_PROFILE)
-    found = welded.select("doc_id", *kept, "split", F.size("columns").alias("n_cols"), best.alias("best"))
-    return found.select("doc_id", F.col("best.split_col").isNotNull().alias("was_split"), "n_cols", "best.*", *kept, "split")
+    kept = ["at", "text", "split", "rows"]
+    found = welded.select("doc_id", *kept, F.size("columns").alias("n_cols"), best.alias("best"), *[c.alias(name) for name, c in also.items()])
+    return found.select("doc_id", F.col("best.split_col").isNotNull().alias("was_split"), "n_cols", "best.*", *kept, *also)
 
 
 def reconcile(qty: Column, harga: Column, jumlah: Column) -> Column:
@@ -176,7 +179,8 @@ def read_rows(assigned: DataFrame) -> DataFrame:
 
     # One step after another: within a lambda, what an expression names twice is worked out twice.
     steps = [
-        lambda r: F.struct(r["row_id"].alias("row_id"), r["confidence"].alias("confidence"), F.trim(F.coalesce(cell(r, "nama"), F.lit(""))).alias("nama"), *[to_int(cell(r, c)).alias(c) for c in roles[1:]]),
+        lambda r: F.struct(r["row_id"].alias("row_id"), r["confidence"].alias("confidence"), *[cell(r, c).alias(c) for c in roles]),
+        lambda r: F.struct(r["row_id"].alias("row_id"), r["confidence"].alias("confidence"), F.trim(F.coalesce(r["nama"], F.lit(""))).alias("nama"), *[to_int(r[c]).alias(c) for c in roles[1:]]),
         lambda r: F.struct(*[r[c].alias(c) for c in ("row_id", "confidence", *roles)], F.when(r["qty"].isNull(), split_count(r["nama"])).alias("welded")),
         lambda r: F.struct(r["row_id"].alias("row_id"), r["confidence"].alias("confidence"), F.coalesce(r["welded"]["name"], r["nama"]).alias("nama"), F.coalesce(r["qty"], r["welded"]["count"].cast("decimal(38,0)")).alias("qty"), r["harga"].alias("harga"), r["jumlah"].alias("jumlah")),
         lambda r: F.struct(*[r[c].alias(c) for c in ("row_id", "confidence", *roles)], reconcile(r["qty"], r["harga"], r["jumlah"]).alias("check")),
