@@ -140,7 +140,8 @@ def assign_roles(grid: DataFrame, strict: bool = False, **also: Column) -> DataF
     keeps its profile. split: count and name of each cell in which they are welded; also: as in `gridded`. A document stays one
     row: nothing is dealt out or gathered again.
     """
-    welded = grid.select("*", F.transform("text", lambda t: split_count(t, strict)).alias("split"))
+    # As rows of their own, one a document: else the optimizer works them out anew for each argument and for the result.
+    welded = grid.select("*", F.explode(F.array(F.transform("text", lambda t: split_count(t, strict)))).alias("split"))
     welded = welded.select("*", F.transform("split", lambda s: F.regexp_replace(s["name"], "[^0-9]+", "")).alias("names"))
     best = F.arrow_udf(folds.split_roles, f"struct<{_BEST},split_col:int>")("at", "digits", "split.count", "names", *_PROFILE)
     kept = ["at", "text", "split", "rows"]

@@ -67,3 +67,11 @@ def test_benchmark_judges_documents_with_blank_boxes(spark):
     got = evaluate.layout_benchmark(placed, F.length("doc_id") - 1).collect()
     # a: four items by its blank box; b: three; c has no text, so that no column is found for it, but its box is in its band; d asks for no role
     assert {(r["layout"], r["n_items"]): (r["n_docs"], r["correct"], r["fixed_correct"]) for r in got} == {(0, None): (3, 2, 1), (None, 4): (1, 1, 0), (None, 3): (1, 1, 0), (None, 1): (1, 0, 1), (None, None): (3, 2, 1)}
+
+
+@pytest.mark.parametrize("name", ["receipt_summary", "line_items", "assigned_roles", "layout_benchmark"])
+def test_welded_counts_are_looked_for_once(spark, name):
+    """Not in the arguments of a Python function, where each one works them out for itself, and in its result again."""
+    plan = Q.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "split_roles" in plan and not re.search(r"ArrowEvalPython [^\n]*RLIKE", plan)
+    assert len(re.findall(r"\n[^\n]*transform\(text#", plan)) == 1
