@@ -75,3 +75,12 @@ def test_welded_counts_are_looked_for_once(spark, name):
     plan = Q.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "split_roles" in plan and not re.search(r"ArrowEvalPython [^\n]*RLIKE", plan)
     assert len(re.findall(r"\n[^\n]*transform\(text#", plan)) == 1
+
+
+def test_lines_come_in_order_with_the_rows_of_their_document(spark):
+    """Several documents of a batch, one without text: each line keeps its document, row, worst confidence and warnings."""
+    boxes = [box("a", 10 * r + c, c, r, t, conf) for r, (row, conf) in enumerate([(("2", "teh", "500", "1000"), 0.9), (("3", "kopi", "700", "2101"), 0.65)]) for c, t in enumerate(row)]
+    boxes += [box("b", 0, 0, 0, "  ")] + [box("c", 10 * r + c, c, r, t) for r, row in enumerate([("teh", "4", "250", "1000"), ("es", "1", "900", "900")]) for c, t in enumerate(row)]
+    got = receipts.line_items(receipts.read_rows(read(spark, boxes))).orderBy("doc_id", "row_id").collect()
+    assert [(r["doc_id"], r["row_id"], r["nama"], r["qty"], r["harga"], r["jumlah"], r["reconciled"]) for r in got] == [("a", 0, "teh", 2, 500, 1000, True), ("a", 1, "kopi", 3, 700, 2101, False), ("c", 0, "teh", 4, 250, 1000, True), ("c", 1, "es", 1, 900, 900, True)]
+    assert [r["warnings"] for r in got] == [[], ["arithmetic_mismatch: 3 x 700 = 2100, receipt says 2101", "low_confidence"], [], []]
