@@ -84,3 +84,12 @@ def test_lines_come_in_order_with_the_rows_of_their_document(spark):
     got = receipts.line_items(receipts.read_rows(read(spark, boxes))).orderBy("doc_id", "row_id").collect()
     assert [(r["doc_id"], r["row_id"], r["nama"], r["qty"], r["harga"], r["jumlah"], r["reconciled"]) for r in got] == [("a", 0, "teh", 2, 500, 1000, True), ("a", 1, "kopi", 3, 700, 2101, False), ("c", 0, "teh", 4, 250, 1000, True), ("c", 1, "es", 1, 900, 900, True)]
     assert [r["warnings"] for r in got] == [[], ["arithmetic_mismatch: 3 x 700 = 2100, receipt says 2101", "low_confidence"], [], []]
+
+
+def test_layout_that_forms_share_settles_roles_where_nothing_adds_up(spark):
+    """The largest money is the total, the next of three digits the price; the quantity is neither those nor the wordiest."""
+    boxes = [box("a", 10 * r + c, c, r, t) for r, row in enumerate([("9", "teh", "500", "7001"), ("8", "kopi", "700", "9001"), ("7", "gula", "800", "9501")]) for c, t in enumerate(row)]
+    boxes += [box("b", 10 * r + c, c, r, t) for r, row in enumerate([("teh", "susu"), ("kopi", "es")]) for c, t in enumerate(row)]
+    got = {r["doc_id"]: r for r in read(spark, boxes).collect()}
+    assert [got["a"][c] for c in ("matched", "qty", "harga", "jumlah", "nama")] == [0, 0, 2, 3, 1]
+    assert [got["b"][c] for c in ("matched", "qty", "harga", "jumlah", "nama")] == [0, None, None, None, 0]
